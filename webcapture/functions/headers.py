@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from webcapture.functions.text import _col, strip
-from webcapture.functions.variant import _path, is_object, string_only
+from webcapture.functions.variant import _path, is_object, parse_body, string_only
 
 _TOKEN = r"\A[A-Za-z0-9!#$%&'*+\-.^_`|~]+\z"
 _START = r"\A(?:HTTP/|(?:CONNECT|DELETE|GET|HEAD|OPTIONS|PATCH|POST|PUT|TRACE) )"
@@ -99,7 +99,7 @@ def _records(items: Column) -> Column:
 def parse_header_json(c) -> Column:
     """JSON headers to a map: a plain object of strings, ``{"headers": [...]}`` or a bare array of
     ``{name, value}`` records. Anything else, cookie exports included, gives null."""
-    v = F.try_parse_json(strip(c))
+    v = parse_body(strip(c))
     members = F.try_variant_get(v, "$", "map<string,variant>")
     all_strings = F.forall(F.map_values(members), lambda x: F.schema_of_variant(x) == "STRING")
     plain = F.transform_values(members, lambda _, x: F.try_variant_get(x, "$", "string"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from webcapture.functions.text import _col, strip
+from webcapture.functions.variant import parse_body
 
 # The built-in boilerplate selectors, in order.
 DEFAULT_EXCLUDES = (
@@ -86,7 +87,7 @@ def parse_selectors(c) -> Column:
     ``selectors_error``.
     """
     text = strip(c)
-    listed = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    listed = F.try_variant_get(parse_body(text), "$", "array<variant>")
     strings = F.transform(listed, lambda x: F.try_variant_get(x, "$", "string"))
     return (
         F.when(selectors_error(c).isNotNull() | (text == ""), F.lit(None).cast("array<string>"))
@@ -98,7 +99,7 @@ def parse_selectors(c) -> Column:
 def selectors_error(c) -> Column:
     """Reason why a selector text is rejected, else null."""
     text = strip(c)
-    listed = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    listed = F.try_variant_get(parse_body(text), "$", "array<variant>")
     kinds = F.transform(listed, lambda x: F.schema_of_variant(x))
     ok = F.coalesce(F.forall(kinds, lambda k: k.isin("STRING", "VOID")), F.lit(False))
     return F.when(

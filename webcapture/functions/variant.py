@@ -12,6 +12,24 @@ def _path(keys) -> str:
     return "$" + "".join(f"['{k}']" for k in keys)
 
 
+def parse_body(c) -> Column:
+    """Text to VARIANT, null unless the whole text is one JSON value.
+
+    Spark's parser stops after the first value and ignores what follows it. Inside two brackets such
+    a rest is an error or a second element, unless it closes both brackets itself; texts where that
+    could be are parsed once more inside an object, where a bracket cannot follow the value.
+    """
+    c = _col(c)
+    wrapped = F.try_parse_json(F.concat(F.lit("[["), c, F.lit("]]")))
+    single = (
+        F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+        & F.try_variant_get(wrapped, "$[0][1]", "variant").isNull()
+    )
+    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}"))).isNotNull()
+    whole = single & (~c.rlike(r"\]\s*\]") | in_object)
+    return F.when(whole, F.try_variant_get(wrapped, "$[0][0]", "variant"))
+
+
 def pick(v, *keys: str, default=None, as_type: str = "string") -> Column:
     """Walk object keys; a missing key or a non-object on the way gives ``default``.
 

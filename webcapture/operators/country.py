@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from webcapture.functions.names import alias_variants, nfkd, normalize_name
 from webcapture.functions.text import strip
+from webcapture.functions.variant import parse_body
 
 
 def dictionary_entries(df: DataFrame, json_col: str = "value") -> DataFrame:
     """``(code, names)`` per member of JSON dictionaries; ``names`` stays VARIANT, code as written."""
-    members = F.try_variant_get(F.try_parse_json(json_col), "$", "map<string,variant>")
+    members = F.try_variant_get(parse_body(json_col), "$", "map<string,variant>")
     return df.select(F.explode(members).alias("code", "names"))
 
 

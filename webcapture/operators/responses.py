@@ -66,8 +66,9 @@ def scholar_results(df: DataFrame) -> DataFrame:
     return _results(df, "scholar")
 
 
-def search_results(df: DataFrame, kinds=("web", "news", "images")) -> DataFrame:
-    """Items of the asked kinds with a ``kind`` tag, missing fields null.
+def search_results(df: DataFrame, kinds=("web", "news", "images"), carry=()) -> DataFrame:
+    """Items of the asked kinds with a ``kind`` tag, missing fields null; ``carry`` names further
+    columns of the response to keep.
 
     The result is that of a union of the single kinds, but each response is read and parsed once: the
     lists are brought to one shape and concatenated before they are exploded.
@@ -86,8 +87,8 @@ def search_results(df: DataFrame, kinds=("web", "news", "images")) -> DataFrame:
         shape = "array<struct<kind:string,pos:int,{}>>".format(",".join(f"{f}:string" for f in fields))
         return F.coalesce(F.transform(_items(F.col("v"), kind), item), F.array()).cast(shape)
 
-    rows = df.select("response_id", F.explode(F.concat(*[shaped(k) for k in kinds])).alias("r"))
-    return rows.select("response_id", "r.*")
+    rows = df.select("response_id", *carry, F.explode(F.concat(*[shaped(k) for k in kinds])).alias("r"))
+    return rows.select("response_id", *carry, "r.*")
 
 
 def search_envelope(df: DataFrame) -> DataFrame:

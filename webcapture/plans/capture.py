@@ -63,11 +63,10 @@ def capture_pages(
 def flatten_search(df: DataFrame, limit_col: str | None = None, kinds=("web", "news", "images")) -> tuple[DataFrame, DataFrame]:
     """Search responses to result rows, at most ``limit_col`` per response and kind, and the quarantine."""
     good, bad = split_outcomes(classify(df, "search"))
-    rows = search_results(good, kinds)
-    if limit_col is not None:
-        limits = good.select("response_id", limit_col)
-        rows = limit_per_request(rows.join(limits, "response_id"), limit_col)
-    return rows, bad
+    if limit_col is None:
+        return search_results(good, kinds), bad
+    rows = search_results(good, kinds, carry=(limit_col,))
+    return limit_per_request(rows, limit_col).drop(limit_col), bad
 
 
 def flatten_scrapes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
