@@ -336,4 +336,5 @@ def html_events(html, exclude: tuple[Selector, ...], include: tuple[Selector, ..
     def events(pages: pa.Array) -> pa.Array:
         return scan_batch(pages, exclude, include, with_raw)
 
-    return events(html)
+    # Not deterministic for the optimizer's sake: it would copy the call into filters above it.
+    return events.asNondeterministic()(html)

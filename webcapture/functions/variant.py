@@ -12,6 +12,26 @@ def _path(keys) -> str:
     return "$" + "".join(f"['{k}']" for k in keys)
 
 
+def parsed_bodies(c) -> Column:
+    """Array with the one element ``parse_body`` gives.
+
+    Exploding it makes the parsed value a column of its own: the optimizer copies a projected
+    expression into the filters above it, and every copy would parse again.
+    """
+    c = _col(c)
+
+    def checked(wrapped):
+        single = (
+            F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+            & F.try_variant_get(wrapped, "$[0][1]", "variant").isNull()
+        )
+        in_object = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}"))).isNotNull()
+        whole = single & (~c.rlike(r"\]\s*\]") | in_object)
+        return F.when(whole, F.try_variant_get(wrapped, "$[0][0]", "variant"))
+
+    return F.transform(F.array(F.try_parse_json(F.concat(F.lit("[["), c, F.lit("]]")))), checked)
+
+
 def parse_body(c) -> Column:
     """Text to VARIANT, null unless the whole text is one JSON value.
 
@@ -19,15 +39,7 @@ def parse_body(c) -> Column:
     a rest is an error or a second element, unless it closes both brackets itself; texts where that
     could be are parsed once more inside an object, where a bracket cannot follow the value.
     """
-    c = _col(c)
-    wrapped = F.try_parse_json(F.concat(F.lit("[["), c, F.lit("]]")))
-    single = (
-        F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-        & F.try_variant_get(wrapped, "$[0][1]", "variant").isNull()
-    )
-    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}"))).isNotNull()
-    whole = single & (~c.rlike(r"\]\s*\]") | in_object)
-    return F.when(whole, F.try_variant_get(wrapped, "$[0][0]", "variant"))
+    return F.get(parsed_bodies(c), 0)
 
 
 def pick(v, *keys: str, default=None, as_type: str = "string") -> Column:

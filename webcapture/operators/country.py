@@ -31,7 +31,9 @@ def dictionary_aliases(entries: DataFrame, as_written: bool = False) -> DataFram
 
 def _alias_keys(aliases: DataFrame) -> DataFrame:
     variants = aliases.select("code", F.explode(alias_variants("alias")).alias("variant"))
-    return variants.select("code", normalize_name("variant").alias("key")).filter(F.col("key") != "")
+    # A filter on the key would be moved below it, with a second call of the Python function.
+    keys = F.filter(F.array(normalize_name("variant")), lambda k: k != "")
+    return variants.select("code", F.explode(keys).alias("key"))
 
 
 def build_alias_index(aliases: DataFrame) -> DataFrame:

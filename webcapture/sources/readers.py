@@ -7,7 +7,7 @@ import importlib.resources
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcapture.functions.variant import parse_body
+from webcapture.functions.variant import parsed_bodies
 from webcapture.operators.country import dictionary_aliases, dictionary_entries
 from webcapture.operators.requests import DOCUMENT_EXTENSIONS
 
@@ -17,7 +17,7 @@ def parse_responses(df: DataFrame, raw_col: str = "raw") -> DataFrame:
 
     An object that repeats a key does not parse either, unless the session allows duplicate keys.
     """
-    return df.withColumn("v", parse_body(raw_col))
+    return df.select("*", F.explode(parsed_bodies(raw_col)).alias("v"))
 
 
 def read_responses(spark: SparkSession, path: str, fmt: str = "text", stream: bool = False) -> DataFrame:
