@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webcapture.functions.text import _col, strip
+from webcapture.functions.text import _col, bind, strip
 from webcapture.functions.variant import _path, is_object, parse_body, string_only
 
 _TOKEN = r"\A[A-Za-z0-9!#$%&'*+\-.^_`|~]+\z"
 _START = r"\A(?:HTTP/|(?:CONNECT|DELETE|GET|HEAD|OPTIONS|PATCH|POST|PUT|TRACE) )"
 
 
-def _no_map() -> Column:
-    return F.lit(None).cast("map<string,string>")
-
-
 def merge_headers(base, override) -> Column:
     """Right side wins per key; keys are case-sensitive."""
-    base, override = _col(base), _col(override)
     empty = F.create_map().cast("map<string,string>")
-    right = F.coalesce(override, empty)
-    left = F.map_filter(F.coalesce(base, empty), lambda k, _: ~F.map_contains_key(right, k))
-    return F.when(base.isNotNull() | override.isNotNull(), F.map_concat(left, right))
+
+    def merged(both):
+        right = F.coalesce(both["right"], empty)
+        left = F.map_filter(F.coalesce(both["left"], empty), lambda k, _: ~F.map_contains_key(right, k))
+        return F.when(both["left"].isNotNull() | both["right"].isNotNull(), F.map_concat(left, right))
+
+    return bind(F.struct(_col(base).alias("left"), _col(override).alias("right")), merged)
 
 
 def _put(m: Column, name: Column, value: Column) -> Column:
@@ -30,51 +29,58 @@ def _put(m: Column, name: Column, value: Column) -> Column:
     return F.map_concat(kept, F.map_from_arrays(F.array(name), F.array(value)))
 
 
+def _line(line: Column) -> Column:
+    """What a header line is by itself, and its name and value."""
+    bare, colon = strip(line), F.instr(line, ":")
+    name = strip(F.substring_index(line, ":", 1))
+    kind = (
+        F.when(bare == "", "blank")
+        .when(bare.rlike(_START), "start")
+        .when(bare.startswith(":"), "pseudo")
+        .when((colon > 0) & name.rlike(_TOKEN), "header")
+        .otherwise("bad")
+    )
+    return F.struct(
+        kind.alias("kind"),
+        line.rlike(r"\A[ \t]").alias("indented"),
+        bare.alias("bare"),
+        name.alias("name"),
+        strip(F.substring(line, colon + 1, F.length(line))).alias("value"),
+    )
+
+
 def parse_header_block(c) -> Column:
     """HTTP header text to a map; null when any line is bad or no header is left.
 
     Start lines and ``:pseudo`` lines are skipped, continuation lines folded, repeats joined.
     """
     text = strip(c)
-    lines = F.split(text, r"\r*\n")
-    start = F.struct(
-        F.create_map().cast("map<string,string>").alias("m"),
-        F.lit("").alias("last"),
-        F.lit(False).alias("bad"),
-    )
+    lines = F.transform(F.split(text, r"\r*\n"), _line)
+
+    def state(m, last, bad=False):
+        return F.struct(m.alias("m"), last.alias("last"), F.lit(bad).alias("bad"))
 
     def step(acc, line):
-        m, last = acc["m"], acc["last"]
-        bare = strip(line)
-        name = strip(F.substring_index(line, ":", 1))
-        value = strip(F.substring(line, F.instr(line, ":") + F.lit(1), F.length(line)))
+        m, last, value = acc["m"], acc["last"], line["value"]
+        # A line that continues a header takes the name of that header.
+        name = F.when(line["indented"] & (last != ""), last).otherwise(line["name"])
         old = F.coalesce(F.element_at(m, name), F.lit(""))
-        joined = (
-            F.when((old != "") & (value != ""), F.concat(old, F.lit(", "), value))
-            .when(old != "", old)
-            .otherwise(value)
-        )
-        folded = strip(F.concat(F.coalesce(F.element_at(m, last), F.lit("")), F.lit(" "), bare))
-
-        def state(m, last, bad):
-            return F.struct(m.alias("m"), last.alias("last"), bad.alias("bad"))
-
-        good_line = line.contains(":") & name.rlike(_TOKEN)
+        joined = F.when(old == "", value).when(value == "", old).otherwise(F.concat(old, F.lit(", "), value))
+        folded = strip(F.concat(old, F.lit(" "), line["bare"]))
         return (
-            F.when(acc["bad"] | (bare == ""), acc)
-            .when((last != "") & line.rlike(r"\A[ \t]"), state(_put(m, last, folded), last, F.lit(False)))
-            .when(bare.rlike(_START), acc)
-            .when(bare.startswith(":"), state(m, F.lit(""), F.lit(False)))
-            .when(good_line, state(_put(m, name, joined), name, F.lit(False)))
-            .otherwise(state(m, last, F.lit(True)))
+            F.when(acc["bad"] | (line["kind"] == "blank"), acc)
+            .when(line["indented"] & (last != ""), state(_put(m, name, folded), last))
+            .when(line["kind"] == "start", acc)
+            .when(line["kind"] == "pseudo", state(m, F.lit("")))
+            .when(line["kind"] == "header", state(_put(m, name, joined), name))
+            .otherwise(state(m, last, True))
         )
 
-    return F.when(
-        text != "",
-        F.aggregate(
-            lines, start, step, lambda a: F.when(~a["bad"] & (F.cardinality(a["m"]) > 0), a["m"])
-        ),
+    start = state(F.create_map().cast("map<string,string>"), F.lit(""))
+    folded = F.aggregate(
+        lines, start, step, lambda a: F.when(~a["bad"] & (F.cardinality(a["m"]) > 0), a["m"])
     )
+    return F.when(text != "", folded)
 
 
 # Members that mark an array of cookies rather than of headers.
@@ -85,37 +91,47 @@ _COOKIE_KEYS = (
 
 def _records(items: Column) -> Column:
     """Array of {name, value} objects to a map; the last repeat of a name wins."""
-    pairs = F.transform(
-        items,
-        lambda x: F.struct(strip(string_only(x, "name")).alias("name"), string_only(x, "value").alias("value")),
-    )
-    bad = F.exists(pairs, lambda p: ~F.coalesce(p["name"].rlike(_TOKEN) & p["value"].isNotNull(), F.lit(False)))
-    merged = F.aggregate(
-        pairs, F.create_map().cast("map<string,string>"), lambda m, p: _put(m, p["name"], p["value"])
-    )
-    return F.when((F.size(items) > 0) & ~bad, merged)
+
+    def merged(pairs):
+        good = F.forall(
+            pairs, lambda p: F.coalesce(p["name"].rlike(_TOKEN) & p["value"].isNotNull(), F.lit(False))
+        )
+        later = F.aggregate(
+            pairs, F.create_map().cast("map<string,string>"), lambda m, p: _put(m, p["name"], p["value"])
+        )
+        return F.when((F.size(pairs) > 0) & good, later)
+
+    def pair(x):
+        return F.struct(
+            strip(string_only(x, "name")).alias("name"), string_only(x, "value").alias("value")
+        )
+
+    return bind(F.transform(items, pair), merged)
 
 
 def parse_header_json(c) -> Column:
     """JSON headers to a map: a plain object of strings, ``{"headers": [...]}`` or a bare array of
     ``{name, value}`` records. Anything else, cookie exports included, gives null."""
-    v = parse_body(strip(c))
-    members = F.try_variant_get(v, "$", "map<string,variant>")
-    all_strings = F.forall(F.map_values(members), lambda x: F.schema_of_variant(x) == "STRING")
-    plain = F.transform_values(members, lambda _, x: F.try_variant_get(x, "$", "string"))
-    bare = F.try_variant_get(v, "$", "array<variant>")
-    cookies = F.exists(
-        bare,
-        lambda x: F.greatest(
-            *[F.try_variant_get(x, _path([k]), "variant").isNotNull() for k in _COOKIE_KEYS]
-        ),
-    )
-    return (
-        F.when(is_object(v) & all_strings, plain)
-        .when(is_object(v), _records(F.try_variant_get(v, "$.headers", "array<variant>")))
-        .when(bare.isNotNull() & ~cookies, _records(bare))
-        .otherwise(_no_map())
-    )
+
+    def as_headers(v):
+        members = F.try_variant_get(v, "$", "map<string,variant>")
+        all_strings = F.forall(F.map_values(members), lambda x: F.schema_of_variant(x) == "STRING")
+        plain = F.transform_values(members, lambda _, x: F.try_variant_get(x, "$", "string"))
+        bare = F.try_variant_get(v, "$", "array<variant>")
+        cookies = F.exists(
+            bare,
+            lambda x: F.greatest(
+                *[F.try_variant_get(x, _path([k]), "variant").isNotNull() for k in _COOKIE_KEYS]
+            ),
+        )
+        return (
+            F.when(is_object(v) & all_strings, plain)
+            .when(is_object(v), _records(F.try_variant_get(v, "$.headers", "array<variant>")))
+            .when(bare.isNotNull() & ~cookies, _records(bare))
+            .otherwise(F.lit(None).cast("map<string,string>"))
+        )
+
+    return bind(parse_body(strip(c)), as_headers)
 
 
 def parse_headers(c) -> Column:

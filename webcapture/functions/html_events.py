@@ -64,6 +64,7 @@ _MARKUP = re.compile(
         (?P<attrs>(?:[^"'=>]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)>""",
     re.S | re.X,
 )
+_BLANKS = re.compile(r"[ \t\n\f\r]+")
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 
 _FIELDS = [
@@ -266,7 +267,11 @@ class _Page:
 
     def text(self, source, kind="text", decode=True):
         if source:
-            self.emit(kind, raw=source, val=_text(source) if decode else source)
+            val = _text(source) if decode else source
+            # Outside pre, runs of blanks count as one.
+            if not self.pre and ("\n" in val or "  " in val or "\t" in val or "\r" in val):
+                val = _BLANKS.sub(" ", val)
+            self.emit(kind, raw=source, val=val)
 
     def scan(self, html):
         at, size = 0, len(html)

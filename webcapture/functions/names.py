@@ -7,11 +7,12 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from webcapture.functions.text import WS, _col, strip
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkd(s: pd.Series) -> pd.Series:
     # Spark has no Unicode normalisation; ASCII text is already in normal form.
     return s.map(

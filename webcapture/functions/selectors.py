@@ -80,6 +80,12 @@ def _clean(items: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(items, strip), lambda s: s != ""))
 
 
+def _listed(text: Column) -> Column:
+    """A JSON array whose items are strings or null, else null."""
+    items = F.try_variant_get(parse_body(text), "$", "array<variant>")
+    return F.when(F.forall(items, lambda x: F.schema_of_variant(x).isin("STRING", "VOID")), items)
+
+
 def parse_selectors(c) -> Column:
     """Comma text or a JSON string array to a clean, stably unique list.
 
@@ -87,10 +93,9 @@ def parse_selectors(c) -> Column:
     ``selectors_error``.
     """
     text = strip(c)
-    listed = F.try_variant_get(parse_body(text), "$", "array<variant>")
-    strings = F.transform(listed, lambda x: F.try_variant_get(x, "$", "string"))
+    strings = F.transform(_listed(text), lambda x: F.try_variant_get(x, "$", "string"))
     return (
-        F.when(selectors_error(c).isNotNull() | (text == ""), F.lit(None).cast("array<string>"))
+        F.when(text == "", F.lit(None).cast("array<string>"))
         .when(text.startswith("["), _clean(strings))
         .otherwise(_clean(F.split(text, ",")))
     )
@@ -99,11 +104,9 @@ def parse_selectors(c) -> Column:
 def selectors_error(c) -> Column:
     """Reason why a selector text is rejected, else null."""
     text = strip(c)
-    listed = F.try_variant_get(parse_body(text), "$", "array<variant>")
-    kinds = F.transform(listed, lambda x: F.schema_of_variant(x))
-    ok = F.coalesce(F.forall(kinds, lambda k: k.isin("STRING", "VOID")), F.lit(False))
     return F.when(
-        text.startswith("[") & ~ok, F.lit("must be a comma-separated string or JSON string array")
+        text.startswith("[") & _listed(text).isNull(),
+        F.lit("must be a comma-separated string or JSON string array"),
     )
 
 

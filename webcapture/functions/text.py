@@ -15,6 +15,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, fn) -> Column:
+    """``fn`` applied to a value that is computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def strip(c) -> Column:
     """Remove Unicode white space from both ends (Spark's trim knows only the blank)."""
     return F.regexp_replace(_col(c), rf"\A[{WS}]+|(?<![{WS}])[{WS}]+\z", "")
@@ -55,10 +60,8 @@ def text_window(c, max_chars, start=0) -> Column:
 
     size, begin = as_long(max_chars), as_long(start)
     begin = F.when(begin >= 0, F.least(begin, F.lit(_MAX_INT - 1))).otherwise(F.lit(0))
-    size = F.least(size, F.lit(_MAX_INT))
-    return F.when(
-        size > 0, F.substring(c, (begin + 1).cast("int"), size.cast("int"))
-    ).otherwise(c)
+    taken = F.least(size, F.lit(_MAX_INT)).cast("int")
+    return F.when(size > 0, F.substring(c, (begin + 1).cast("int"), taken)).otherwise(c)
 
 
 def strip_base64_images(c) -> Column:

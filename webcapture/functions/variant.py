@@ -9,7 +9,7 @@ from webcapture.functions.text import _col
 
 
 def _path(keys) -> str:
-    return "$" + "".join(f"['{k}']" for k in keys)
+    return "$" + "".join(f'["{k}"]' if "'" in k else f"['{k}']" for k in keys)
 
 
 def parsed_bodies(c) -> Column:
@@ -26,7 +26,7 @@ def parsed_bodies(c) -> Column:
             & F.try_variant_get(wrapped, "$[0][1]", "variant").isNull()
         )
         in_object = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}"))).isNotNull()
-        whole = single & (~c.rlike(r"\]\s*\]") | in_object)
+        whole = single & (~c.rlike(r"\]\s*(?:\]|\z)") | in_object)
         return F.when(whole, F.try_variant_get(wrapped, "$[0][0]", "variant"))
 
     return F.transform(F.array(F.try_parse_json(F.concat(F.lit("[["), c, F.lit("]]")))), checked)
@@ -36,8 +36,8 @@ def parse_body(c) -> Column:
     """Text to VARIANT, null unless the whole text is one JSON value.
 
     Spark's parser stops after the first value and ignores what follows it. Inside two brackets such
-    a rest is an error or a second element, unless it closes both brackets itself; texts where that
-    could be are parsed once more inside an object, where a bracket cannot follow the value.
+    a rest is an error or a second element, unless it closes brackets itself; texts where that could
+    be are parsed once more inside an object, where a bracket cannot follow the value.
     """
     return F.get(parsed_bodies(c), 0)
 

@@ -79,7 +79,9 @@ def resolve_country(df: DataFrame, col: str, alias_index: DataFrame, default: st
 
 def missing_codes(aliases: DataFrame, required: DataFrame) -> DataFrame:
     """Required codes that the dictionary lacks."""
-    return required.select("code").distinct().join(aliases.select("code"), "code", "left_anti")
+    # Distinct on both sides, so that a code with many aliases reaches the join once per task.
+    have = aliases.select("code").distinct()
+    return required.select("code").distinct().join(have, "code", "left_anti")
 
 
 def duplicate_aliases(aliases: DataFrame) -> DataFrame:

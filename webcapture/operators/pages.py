@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from webcapture.functions.html_events import BLOCK, html_events
 from webcapture.functions.selectors import compile_selectors, resolve_exclude_list
-from webcapture.functions.text import _col
+from webcapture.functions.text import _col, bind
 
 # The skeleton of a page is a short string of marks, one slot per piece of content. Line breaks and
 # emphasis are settled on the skeleton alone, then the contents go into their slots; so no pattern ever
@@ -47,7 +47,10 @@ def _piece(e: Column) -> Column:
     """Skeleton marks and content of one event; content is null where there is no slot."""
     kind, tag, val, cell = e["kind"], e["tag"], e["val"], e["cell"]
     lit = F.lit
-    prefix = F.concat(F.repeat(lit(_QUOTE), e["quote"]), F.repeat(lit(_INDENT), e["indent"]))
+    prefix = F.when(
+        e["quote"] + e["indent"] > 0,
+        F.concat(F.repeat(lit(_QUOTE), e["quote"]), F.repeat(lit(_INDENT), e["indent"])),
+    ).otherwise(lit(""))
     slot = F.concat(prefix, lit(_SLOT))
     none = lit(None).cast("string")
 
@@ -62,8 +65,7 @@ def _piece(e: Column) -> Column:
     list_break = F.when(e["indent"] > 0, line).otherwise(para)
     is_link = (tag == "a") & F.coalesce(F.trim(val) != "", lit(False))
 
-    flowing = F.regexp_replace(val, r"[ \t\n\x0B\f\r]+", " ")
-    bare = F.trim(flowing)
+    bare = F.trim(val)
     line_start = F.concat(lit("\n"), F.repeat(lit("> "), e["quote"]), F.repeat(lit("  "), e["indent"]))
     verbatim = F.regexp_replace(val, lit("\r?\n"), line_start)
     text = (
@@ -72,9 +74,9 @@ def _piece(e: Column) -> Column:
         .otherwise(
             piece(
                 F.concat(
-                    F.when(flowing.startswith(" "), lit(" ")).otherwise(lit("")),
+                    F.when(val.startswith(" "), lit(" ")).otherwise(lit("")),
                     slot,
-                    F.when(flowing.endswith(" "), lit(" ")).otherwise(lit("")),
+                    F.when(val.endswith(" "), lit(" ")).otherwise(lit("")),
                 ),
                 F.when(cell, F.replace(bare, lit("|"), lit("\\|"))).otherwise(bare),
             )
@@ -183,34 +185,57 @@ def render_markdown(events, kept_only: bool = True) -> Column:
         both = F.zip_with(gaps, contents, lambda g, c: F.concat(g, F.coalesce(c, F.lit(""))))
         return F.array_join(both, "")
 
-    # A one-element array binds the pieces, so that they are computed once.
-    return F.get(F.transform(F.array(F.transform(events, _piece)), fill), 0)
+    return bind(F.transform(events, _piece), fill)
+
+
+def render_with_fallback(events) -> Column:
+    """Struct of ``markdown`` and ``used_fallback``: the kept events, or all of them where those give
+    exactly ``""``. The second rendering runs only there."""
+    events = _col(events)
+
+    def state(markdown, tries):
+        return F.struct(markdown.alias("markdown"), tries.alias("tries"))
+
+    return F.aggregate(
+        F.array(F.filter(events, lambda e: e["keep"]), events),
+        state(F.lit(""), F.lit(0)),
+        lambda acc, es: F.when(
+            acc["markdown"] == "", state(render_markdown(es, kept_only=False), acc["tries"] + 1)
+        ).otherwise(acc),
+        lambda acc: F.struct(acc["markdown"], (acc["tries"] == 2).alias("used_fallback")),
+    )
 
 
 def _first(events: Column, test, field: str = "val") -> Column:
     found = F.filter(events, lambda e: test(e) & (F.trim(e[field]) != ""))
-    return F.trim(F.regexp_replace(F.get(found, 0)[field], r"[ \t\n\x0B\f\r]+", " "))
+    return F.trim(F.regexp_replace(F.get(found, 0)[field], r"[ \t\n\f\r]+", " "))
 
 
-def metadata_columns(events) -> dict[str, Column]:
-    """Title, description, language, canonical URL and og:url of a page, null where absent."""
-    events = F.filter(
-        _col(events), lambda e: (e["kind"] == "title") | e["tag"].isin("meta", "link", "html")
-    )
+def metadata(events) -> Column:
+    """Struct of title, description, language, canonical URL and og:url; null where absent."""
 
-    def meta(name):
-        return _first(events, lambda e: (e["tag"] == "meta") & (F.lower(e["alt"]) == name))
+    def fields(heads):
+        def meta(name):
+            return _first(heads, lambda e: (e["tag"] == "meta") & (F.lower(e["alt"]) == name))
 
-    return {
-        "title": F.coalesce(_first(events, lambda e: e["kind"] == "title"), meta("og:title")),
-        "description": F.coalesce(meta("description"), meta("og:description")),
-        "language": _first(events, lambda e: (e["kind"] == "open") & (e["tag"] == "html")),
-        "canonical": _first(
-            events, lambda e: (e["tag"] == "link") & F.array_contains(F.split(F.lower(e["alt"]), " "), "canonical")
-        ),
-        "og_url": meta("og:url"),
-    }
+        title = _first(heads, lambda e: e["kind"] == "title")
+        canonical = _first(
+            heads,
+            lambda e: (e["tag"] == "link")
+            & F.array_contains(F.split(F.lower(e["alt"]), " "), "canonical"),
+        )
+        return F.struct(
+            F.coalesce(title, meta("og:title")).alias("title"),
+            F.coalesce(meta("description"), meta("og:description")).alias("description"),
+            _first(heads, lambda e: e["tag"] == "html").alias("language"),
+            canonical.alias("canonical"),
+            meta("og:url").alias("ogUrl"),
+        )
 
+    heads = F.filter(
+        _col(events), lambda e: (e["kind"] == "title") | e["tag"].isin("meta", "link", "html")
+    )
+    return bind(heads, fields)
 
 
 def clean_pages(df: DataFrame, exclude=None, include=None, empty_tags: bool = False) -> DataFrame:
@@ -228,14 +253,14 @@ def pages_to_markdown(df: DataFrame, exclude=None, include=None, empty_tags: boo
 def page_metadata(df: DataFrame) -> DataFrame:
     """One row per page: title, description, language, url (canonical when given) and ogUrl."""
     events = page_events(df, empty_tags=True)
-    found = metadata_columns("events")
-    return events.select(
+    found = events.select("page_id", F.col("url").alias("_requested"), metadata("events").alias("m"))
+    return found.select(
         "page_id",
-        found["title"].alias("title"),
-        found["description"].alias("description"),
-        found["language"].alias("language"),
-        F.coalesce(found["canonical"], F.col("url")).alias("url"),
-        found["og_url"].alias("ogUrl"),
+        "m.title",
+        "m.description",
+        "m.language",
+        F.coalesce("m.canonical", "_requested").alias("url"),
+        "m.ogUrl",
     )
 
 
@@ -245,7 +270,8 @@ def with_fallback(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     Only a Markdown of exactly ``""`` from a response that did not fail qualifies, and the second
     result counts only if it succeeded and has a data object. Both sides carry ``key``, ``success``
     and ``markdown``; ``second`` also ``has_data``. Only qualifying keys reach the join: the other
-    first rows are passed through without a shuffle.
+    first rows are passed through without a shuffle. Give a stored table as ``first``, since it is
+    read twice; ``capture_pages`` does the same for raw pages without a join.
     """
     empty = F.coalesce(F.col("markdown") == "", F.lit(False)) & F.coalesce(F.col("success"), F.lit(True))
     value_columns = [c for c in first.columns if c != key]

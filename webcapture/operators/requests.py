@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from webcapture.functions.recency import CODES, recency_error
 from webcapture.functions.selectors import selectors_error
-from webcapture.functions.text import _col, strip
+from webcapture.functions.text import _col, bind, strip
 
 # Extensions of documents that can be parsed, result limits, longest timeout in seconds.
 DOCUMENT_EXTENSIONS = (".html", ".htm", ".pdf", ".docx", ".doc", ".odt", ".rtf", ".xlsx", ".xls")
@@ -111,10 +111,14 @@ def recent(df: DataFrame, ts_col: str, code, as_of) -> DataFrame:
     ts = F.col(ts_col)
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
     if isinstance(code, Column):
-        start = F.lit(None).cast("timestamp")
-        for known, span in _SPAN.items():
-            start = F.when(code == known, as_of - F.expr(span)).otherwise(start)
-        return df.filter(code.isNull() | ((ts > start) & (ts <= as_of)))
+
+        def in_time(known_code):
+            start = F.lit(None).cast("timestamp")
+            for known, span in _SPAN.items():
+                start = F.when(known_code == known, as_of - F.expr(span)).otherwise(start)
+            return known_code.isNull() | ((ts > start) & (ts <= as_of))
+
+        return df.filter(bind(code, in_time))
     if code is None:
         return df
     if code not in CODES:
@@ -147,7 +151,7 @@ def in_date_window(df: DataFrame, cols, frm: str | None = None, to: str | None =
         if high is not None:
             test = test & (value < F.lit(high + dt.timedelta(days=1)))
         hit = hit | test
-    return F.coalesce(hit, F.lit(False))
+    return hit
 
 
 def fresh_captures(
@@ -155,20 +159,18 @@ def fresh_captures(
 ) -> tuple[DataFrame, DataFrame]:
     """Per key the newest capture not older than ``max_age_ms`` at ``as_of``, and the keys without one.
 
-    The aggregation keeps one candidate per key and map task, so a key that holds much of the table
-    costs no more than any other. Both results come from the same aggregation; cache or write it first
-    when both are used.
+    The first result reads only the window of time, the second only keys and times. Both keep one
+    candidate per key and map task, so a key that holds much of the table costs no more than any other.
     """
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    seconds = max_age_ms / 1000
-    age = F.col(ts).between(as_of - F.expr(f"make_dt_interval(0, 0, 0, {seconds:.3f})"), as_of)
-    order = F.struct(ts, *([tie] if tie else []))
+    oldest = as_of - F.expr(f"make_dt_interval(0, 0, 0, {max_age_ms / 1000:.3f})")
+    in_time = (F.col(ts) >= oldest) & (F.col(ts) <= as_of)
     rest = [c for c in df.columns if c != key]
-    newest = F.max_by(F.when(age, F.struct(*rest)), F.when(age, order))
-    latest = df.groupBy(key).agg(newest.alias("_newest"))
-    fresh = latest.filter(F.col("_newest").isNotNull()).select(key, *[F.col("_newest")[c].alias(c) for c in rest])
-    stale = latest.filter(F.col("_newest").isNull()).select(key)
-    return fresh, stale
+    order = F.struct(ts, *([tie] if tie else []))
+    newest = df.filter(in_time).groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_newest"))
+    fresh = newest.select(key, *[F.col("_newest")[c].alias(c) for c in rest])
+    any_fresh = df.groupBy(key).agg(F.max(F.when(in_time, 1).otherwise(0)).alias("_fresh"))
+    return fresh, any_fresh.filter("_fresh = 0").select(key)
 
 
 def limit_per_request(df: DataFrame, n_col, pos: str = "pos") -> DataFrame:

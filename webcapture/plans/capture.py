@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcapture.functions.text import strip_base64_images
-from webcapture.operators.pages import metadata_columns, page_events, render_markdown
+from webcapture.operators.pages import metadata, page_events, render_with_fallback
 from webcapture.operators.requests import limit_per_request
 from webcapture.operators.responses import classify, scrape_records, search_results, split_outcomes
 from webcapture.sources.writers import render_capture
@@ -30,32 +30,22 @@ def capture_pages(
     if partitions is not None:
         pages = pages.repartition(partitions)
     events = page_events(pages, exclude, include, empty_tags).drop("html")
-    meta = metadata_columns("events")
-    first = events.select(
+    captured = events.select(
         "page_id",
         F.col("url").alias("_requested"),
-        *[meta[name].alias(name) for name in ("title", "description", "language")],
-        F.coalesce(meta["canonical"], meta["og_url"], F.col("url")).alias("url"),
-        render_markdown("events").alias("_markdown"),
-        "events",
+        metadata("events").alias("_meta"),
+        render_with_fallback("events").alias("_text"),
     )
-    empty = F.col("_markdown") == ""
-    # The second rendering is evaluated only where the first one is empty.
-    second = first.select(
+    records = captured.select(
         "page_id",
-        "url",
-        "title",
-        "description",
-        "language",
-        F.when(empty, render_markdown("events", kept_only=False)).otherwise(F.col("_markdown")).alias("markdown"),
-        empty.alias("used_fallback"),
-    )
-    records = second.withColumns(
-        {
-            "markdown": strip_base64_images("markdown"),
-            "creditsUsed": F.lit(None).cast("long"),
-            "success": F.lit(True),
-        }
+        F.coalesce("_meta.canonical", "_meta.ogUrl", "_requested").alias("url"),
+        "_meta.title",
+        "_meta.description",
+        "_meta.language",
+        strip_base64_images("_text.markdown").alias("markdown"),
+        "_text.used_fallback",
+        F.lit(None).cast("long").alias("creditsUsed"),
+        F.lit(True).alias("success"),
     )
     return render_capture(records)
 
