@@ -1,5 +1,6 @@
 import json
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,14 +71,14 @@ def test_pages_stream_equals_batch(spark, tmp_path):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     pages.repartition(4).write.parquet(source)
     stream = stream_table(spark, source, PAGES, files_per_trigger=1)
-    write_available(capture_pages(stream, include=["h1"]), out, "captures").awaitTermination()
+    write_available(capture_pages(stream, include=["h1"]), out, f"captures-{uuid.uuid4().hex}").awaitTermination()
     got = spark.read.parquet(out)
     want = capture_pages(pages, include=["h1"])
     assert got.count() == 50
     assert got.exceptAll(want.select(got.columns)).count() == 0
     lines = str(tmp_path / "lines")
     write_available(
-        grep_lines(clean_pages(stream_table(spark, source, PAGES)), "<article>", "page_id", "clean_html"), lines, "lines"
+        grep_lines(clean_pages(stream_table(spark, source, PAGES)), "<article>", "page_id", "clean_html"), lines, f"lines-{uuid.uuid4().hex}"
     ).awaitTermination()
     assert spark.read.parquet(lines).count() == grep_lines(clean_pages(pages), "<article>", "page_id", "clean_html").count()
 

@@ -157,10 +157,16 @@ def test_flatten(responses):
 def test_read_text_dump(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"a":1}\nbad\n\n')
     df = read_responses(spark, str(tmp_path))
-    assert df.columns == ["response_id", "target_url", "raw", "v"]
+    assert set(df.columns) == {"response_id", "target_url", "raw", "v"}
     assert sorted((r.raw, r.x) for r in df.select("raw", F.to_json("v").alias("x")).collect()) == [("", None), ("bad", None), ('{"a":1}', '{"a":1}')]
 
 
+def test_read_table_dump(spark, tmp_path):
+    path = str(tmp_path / "dump")
+    spark.createDataFrame([("r", "{}", 500)], "response_id string, raw string, status int").write.parquet(path)
+    assert classify(read_responses(spark, path, "parquet"), status_col="status").first().outcome == "http_error"
+
+
 def test_bodies_are_parsed_once(responses):
     plan = flatten_search(responses({"data": {}}).withColumn("n", F.lit(1)), "n")[0]._jdf.queryExecution().optimizedPlan().toString()
     # One parse inside brackets, and one more that runs only for doubtful texts.

@@ -315,31 +315,55 @@ class _Page:
         return [excluded == 0 < included for excluded, included in zip(*depth)]
 
 
-def scan_batch(pages, exclude, include, with_raw=False):
-    """Events of every page in an Arrow string array, as an Arrow list array."""
-    rules = Rules(exclude), Rules(include) if include else None
-    out: list[tuple] = []
-    keep: list[bool] = []
-    offsets = [0]
-    for html in pages.to_pylist():
-        if html is not None:
-            page = _Page(rules, with_raw)
-            page.scan(html)
-            out.extend(page.out)
-            keep.extend(page.keep())
-        offsets.append(len(keep))
-    columns = [*zip(*out), keep] if out else [[] for _ in _FIELDS]
+# Events that metadata is read from.
+HEAD_TAGS = frozenset(("html", "link", "meta"))
+# A batch is turned into Arrow piece by piece, which bounds the Python objects alive at a time.
+_EVENTS_PER_PIECE = 100_000
+
+
+def _list_array(rows, keep, offsets):
+    columns = [*zip(*rows), keep] if rows else [[] for _ in _FIELDS]
     columns = [pa.array(values, type=f[2]) for values, f in zip(columns, _FIELDS)]
     structs = pa.StructArray.from_arrays(columns, fields=[pa.field(f[0], f[2]) for f in _FIELDS])
     return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), structs)
 
 
-def html_events(html, exclude: tuple[Selector, ...], include: tuple[Selector, ...] = (), with_raw: bool = False):
+def scan_batch(pages, exclude, include, with_raw=False, wanted="all"):
+    """Events of every page in an Arrow string array, as an Arrow list array.
+
+    ``wanted`` is "all", "kept" for kept events only, or "head" for those of the metadata.
+    """
+    rules = Rules(exclude), Rules(include) if include else None
+    pieces, rows, keep, offsets = [], [], [], [0]
+    for html in pages:
+        if html.is_valid:
+            page = _Page(rules, with_raw)
+            page.scan(html.as_py())
+            found, flags = page.out, page.keep()
+            if wanted == "kept":
+                found = [row for row, flag in zip(found, flags) if flag]
+                flags = [True] * len(found)
+            elif wanted == "head":
+                at = [i for i, row in enumerate(found) if row[0] == "title" or row[1] in HEAD_TAGS]
+                found, flags = [found[i] for i in at], [flags[i] for i in at]
+            rows += found
+            keep += flags
+        offsets.append(len(rows))
+        if len(rows) >= _EVENTS_PER_PIECE:
+            pieces.append(_list_array(rows, keep, offsets))
+            rows, keep, offsets = [], [], [0]
+    pieces.append(_list_array(rows, keep, offsets))
+    return pa.concat_arrays(pieces)
+
+
+def html_events(
+    html, exclude: tuple[Selector, ...], include: tuple[Selector, ...] = (), with_raw: bool = False, wanted: str = "all"
+):
     """Events of an HTML column; ``raw`` source slices are filled only when asked for."""
 
     @F.arrow_udf(EVENTS_DDL)
     def events(pages: pa.Array) -> pa.Array:
-        return scan_batch(pages, exclude, include, with_raw)
+        return scan_batch(pages, exclude, include, with_raw, wanted)
 
     # Not deterministic for the optimizer's sake: it would copy the call into filters above it.
     return events.asNondeterministic()(html)

@@ -29,18 +29,18 @@ _PARA_TAGS = sorted(
 )
 
 
-def page_events(df: DataFrame, exclude=None, include=None, empty_tags: bool = False, with_raw: bool = False) -> DataFrame:
+def page_events(
+    df: DataFrame, exclude=None, include=None, empty_tags: bool = False, with_raw: bool = False, wanted: str = "all"
+) -> DataFrame:
     """Add ``events``. Selectors are compiled here, so an unsupported one fails before the job."""
     dropped = compile_selectors(resolve_exclude_list(exclude, empty_tags))
     kept = compile_selectors(resolve_exclude_list(include, empty_tags=True))
-    return df.withColumn("events", html_events(F.col("html"), dropped, kept, with_raw))
+    return df.withColumn("events", html_events(F.col("html"), dropped, kept, with_raw, wanted))
 
 
 def clean_html(events) -> Column:
     """Source text of the kept events."""
-    return F.array_join(
-        F.transform(_col(events), lambda e: F.when(e["keep"], e["raw"]).otherwise(F.lit(""))), ""
-    )
+    return F.array_join(F.filter(_col(events), lambda e: e["keep"])["raw"], "")
 
 
 def _piece(e: Column) -> Column:
@@ -241,18 +241,18 @@ def metadata(events) -> Column:
 def clean_pages(df: DataFrame, exclude=None, include=None, empty_tags: bool = False) -> DataFrame:
     """Delete every element, with its subtree, that an exclusion matches; with ``include`` keep only
     the matching subtrees first. The remaining source text is untouched."""
-    events = page_events(df, exclude, include, empty_tags, with_raw=True)
+    events = page_events(df, exclude, include, empty_tags, with_raw=True, wanted="kept")
     return events.select("page_id", "url", clean_html("events").alias("clean_html"))
 
 
 def pages_to_markdown(df: DataFrame, exclude=None, include=None, empty_tags: bool = False) -> DataFrame:
-    events = page_events(df, exclude, include, empty_tags)
-    return events.select("page_id", "url", render_markdown("events").alias("markdown"))
+    events = page_events(df, exclude, include, empty_tags, wanted="kept")
+    return events.select("page_id", "url", render_markdown("events", kept_only=False).alias("markdown"))
 
 
 def page_metadata(df: DataFrame) -> DataFrame:
     """One row per page: title, description, language, url (canonical when given) and ogUrl."""
-    events = page_events(df, empty_tags=True)
+    events = page_events(df, empty_tags=True, wanted="head")
     found = events.select("page_id", F.col("url").alias("_requested"), metadata("events").alias("m"))
     return found.select(
         "page_id",

@@ -21,7 +21,7 @@ def parse_responses(df: DataFrame, raw_col: str = "raw") -> DataFrame:
 
 
 def read_responses(spark: SparkSession, path: str, fmt: str = "text", stream: bool = False) -> DataFrame:
-    """Response dump as ``response_id, target_url, raw, v``.
+    """Response dump with ``response_id, target_url, raw, v``, and any further column such as a status.
 
     Text has one body per line and takes the hash of the body as its id, so that a task that runs
     again gives the same id. Other formats bring ``raw``, and may bring ``response_id`` and
@@ -38,7 +38,7 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "text", stream: bo
         df = df.withColumn("response_id", F.sha2("raw", 256))
     if "target_url" not in df.columns:
         df = df.withColumn("target_url", F.lit(None).cast("string"))
-    return parse_responses(df.select("response_id", "target_url", "raw"))
+    return parse_responses(df)
 
 
 def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
