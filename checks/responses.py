@@ -227,13 +227,12 @@ def _(spark, sf):
     )
 
 
-@query(
-    "av_records",
-    """SELECT CAST(doc_id AS VARCHAR) AS response_id, CAST(n_chars AS BIGINT) AS "creditsUsed", source AS title, lang AS description,
-       CASE WHEN doc_id % 2 = 0 THEN concat('https://media.example/', doc_id) END AS audio,
-       CASE WHEN doc_id % 2 = 1 THEN concat('https://media.example/', doc_id) END AS video, true AS success FROM documents""",
-)
-def _(spark, sf):
+def _av_sql(kind, rest):
+    return f"""SELECT CAST(doc_id AS VARCHAR) AS response_id, CAST(n_chars AS BIGINT) AS "creditsUsed", source AS title, lang AS description,
+        CASE WHEN doc_id % 2 = {rest} THEN concat('https://media.example/', doc_id) END AS {kind}, true AS success FROM documents"""
+
+
+def _av_responses(spark, sf):
     lit = F.lit
     kind = F.when(F.col("doc_id") % 2 == 0, "audio").otherwise("video")
     raw = F.concat(
@@ -241,11 +240,17 @@ def _(spark, sf):
         lit(',"description":'), _json(F.col("lang")), lit('},"'), kind, lit('":"https://media.example/'), F.col("doc_id"), lit('"}}'),
     )
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("response_id"), raw.alias("raw"))
-    parsed = parse_responses(docs)
-    audio = av_records(parsed, "audio").withColumn("video", pick(F.lit(None).cast("variant"), "x"))
-    video = av_records(parsed, "video").withColumn("audio", F.lit(None).cast("string"))
-    even = F.col("response_id").cast("long") % 2 == 0
-    return audio.filter(even).unionByName(video.filter(~even))
+    return parse_responses(docs)
+
+
+@query("audio_records", _av_sql("audio", 0))
+def _(spark, sf):
+    return av_records(_av_responses(spark, sf), "audio")
+
+
+@query("video_records", _av_sql("video", 1))
+def _(spark, sf):
+    return av_records(_av_responses(spark, sf), "video")
 
 
 @query(

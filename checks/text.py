@@ -77,7 +77,7 @@ def _(spark, sf):
     "SELECT doc_id, concat('![pic](', ') ', text, '<img src=\"\" alt=\"x\">') AS stripped FROM documents",
 )
 def _(spark, sf):
-    payload = F.base64(F.encode(F.substring("text", 1, 500), "utf-8"))
+    payload = F.base64(F.encode("text", "utf-8"))
     payload = F.regexp_replace(payload, r"\s", "")
     with_images = F.concat(
         F.lit("![pic](data:image/png;base64,"), payload, F.lit(") "), F.col("text"),

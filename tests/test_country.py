@@ -76,17 +76,27 @@ def test_resolve(spark, aliases, name, code, rule):
     assert (row.country_code, row.match_rule) == (code, rule)
 
 
-def test_resolve_skewed_names_without_broadcast(spark, aliases):
-    """One name holds most rows, the index does not fit a broadcast: nothing is lost."""
+@pytest.mark.parametrize("salts", [1, 16])
+def test_resolve_skewed_names_without_broadcast(spark, aliases, salts):
+    """One name holds most rows and the index is not broadcast: nothing is lost, and with salts no task
+    gets most of the rows."""
     rows = spark.range(30000).select(
-        F.when(F.col("id") % 3 > 0, "South Korea").otherwise(F.concat(F.lit("x"), F.col("id"))).alias("name")
+        "id",
+        F.when(F.col("id") % 3 > 0, "South Korea").when(F.col("id") % 2 == 0, F.concat(F.lit("x"), F.col("id"))).alias("name"),
     )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = resolve_country(rows, "name", build_alias_index(aliases)).groupBy("country_code").count().collect()
+        resolved = resolve_country(rows, "name", build_alias_index(aliases), salts=salts)
+        got = resolved.groupBy("country_code", "match_rule").count().collect()
+        per_task = [r["count"] for r in resolved.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert {r.country_code: r["count"] for r in got} == {"KR": 20000, "US": 10000}
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {(r.country_code, r.match_rule): r["count"] for r in got} == {
+        ("KR", "alias"): 20000, ("US", "default"): 5000, ("US", "blank"): 5000,
+    }
+    assert max(per_task) < 15000
 
 
 def test_iso_seed_covers_itself(spark):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webcapture.functions.names import alias_variants, nfkd, normalize_name
 from webcapture.functions.text import strip
@@ -41,23 +42,44 @@ def build_alias_index(aliases: DataFrame) -> DataFrame:
     return _alias_keys(aliases).groupBy("key").agg(F.min("code").alias("code"))
 
 
-def resolve_country(df: DataFrame, col: str, alias_index: DataFrame, default: str = "US") -> DataFrame:
+def _row_hash(df: DataFrame) -> Column:
+    """Hash of the plain columns of a row, the same whenever a task runs again."""
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType, T.ArrayType, T.StructType))]
+    return F.xxhash64(*plain)
+
+
+def resolve_country(
+    df: DataFrame, col: str, alias_index: DataFrame, default: str = "US", salts: int = 1
+) -> DataFrame:
     """Add ``country_code`` and ``match_rule``.
 
     Blank names take the default; then an index hit on the normalised name; then two letters are
     taken as a code, unchecked; then a hit on the normalised upper-case name; else the default.
 
-    No broadcast is forced: Spark broadcasts the index while its size allows that. Beyond, the rows
-    are shuffled by name, and a name shared by many rows is split by adaptive skew handling.
+    No broadcast is forced: Spark broadcasts the index while its size allows that, and no row moves.
+    Beyond, rows are shuffled by name; then ``salts`` splits the rows of a frequent name into so many
+    parts, against as many copies of the index. Rows without a key to look up are spread by their hash.
     """
     name = strip(col)
-    keyed = df.withColumn("_name", name).withColumn("_key", normalize_name("_name"))
-    upper_key = normalize_name(F.upper("_name"))
-    # Differs from the first key only for letters such as sharp s, so it is null nearly always.
-    keyed = keyed.withColumn("_upper_key", F.nullif(upper_key, F.col("_key")))
-    first = alias_index.select(F.col("key").alias("_key"), F.col("code").alias("_code"))
-    second = alias_index.select(F.col("key").alias("_upper_key"), F.col("code").alias("_upper_code"))
-    joined = keyed.join(first, "_key", "left").join(second, "_upper_key", "left")
+    keyed = df.withColumn("_hash", _row_hash(df)).withColumn("_name", name)
+    keyed = keyed.withColumn("_key", normalize_name("_name")).withColumn("_upper", normalize_name(F.upper("_name")))
+    # A normalised name holds no "#", so these keys match nothing.
+    nowhere = F.concat(F.lit("#"), F.pmod("_hash", F.lit(4096)).cast("string"))
+    salt = F.pmod("_hash", F.lit(salts)).cast("int")
+    keyed = keyed.select(
+        "*",
+        F.when(F.col("_key") != "", F.col("_key")).otherwise(nowhere).alias("_first"),
+        # The second key differs from the first only for letters such as sharp s.
+        F.when(F.col("_upper") != F.col("_key"), F.col("_upper")).otherwise(nowhere).alias("_second"),
+        salt.alias("_salt"),
+    )
+
+    def side(key, code):
+        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0)
+        return alias_index.select(F.col("key").alias(key), F.col("code").alias(code), copies.alias("_salt"))
+
+    joined = keyed.join(side("_first", "_code"), ["_first", "_salt"], "left")
+    joined = joined.join(side("_second", "_upper_code"), ["_second", "_salt"], "left")
     blank = F.coalesce(F.col("_name"), F.lit("")) == ""
     two = F.coalesce(F.col("_name").rlike(r"\A\p{L}{2}\z"), F.lit(False))
     code, upper_code = F.col("_code"), F.col("_upper_code")
