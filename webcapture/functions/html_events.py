@@ -46,6 +46,10 @@ IMPLIED_END = {
 }
 P_SCOPE = {"button", "caption", "object", "table", "td", "th"}
 END_SCOPE = {"caption", "table", "td", "th"}
+TABLE_PARTS = {"caption", "table", "tbody", "tfoot", "thead", "tr"}
+LISTS = {"ul", "ol", "menu"}
+# Elements that carry state for the events inside them.
+STATEFUL = LISTS | {"blockquote", "li", "pre", "table", "td", "th", "tr"}
 # Browsers flatten deeper nesting too.
 MAX_DEPTH = 512
 # Attributes carried by the events: (value, second value) per tag.
@@ -56,6 +60,13 @@ CARRIED = {
     "link": ("href", "rel"),
     "meta": ("content", "name"),
 }
+# Tags that Markdown or metadata is made from; the others give events only where the source is wanted.
+TELLING = BLOCK | set(CARRIED) | {"b", "br", "code", "em", "i", "strong"}
+# What an opening tag ends: (open elements, elements the search does not leave).
+ENDERS = {
+    tag: tuple(x for x in (IMPLIED_END.get(tag), ({"p"}, P_SCOPE) if tag in P_ENDERS else None) if x)
+    for tag in P_ENDERS | set(IMPLIED_END)
+}
 
 _START = re.compile(r"<(?=[A-Za-z!?]|/[A-Za-z])")
 _MARKUP = re.compile(
@@ -140,7 +151,9 @@ class _Open:
 
     def __init__(self, tag, attrs, first):
         self.tag, self.attrs, self.first = tag, attrs, first
-        self.hit, self.waiting, self.inside = [False, False], [(), ()], set()
+        # Per list of selectors: matched at once, and the alternatives of ``:has`` still to be decided.
+        self.hit, self.waiting = [False, False], [(), ()]
+        self.inside = None
 
 
 class _Page:
@@ -149,6 +162,7 @@ class _Page:
     def __init__(self, rules, with_raw):
         self.out: list[tuple] = []
         self.rules, self.with_raw = rules, with_raw
+        self.lists_in_use = [which for which in (0, 1) if rules[which] is not None]
         self.stack: list[_Open] = []
         self.open_count: dict[str, int] = {}
         self.spans: tuple[list, list] = ([], [])
@@ -157,146 +171,192 @@ class _Page:
         self.tables: list[list] = []
 
     def emit(self, kind, tag="", raw="", val=None, alt=None, n=0, indent=None):
-        indent = len(self.lists) if indent is None else indent
-        raw = raw if self.with_raw else None
-        self.out.append((kind, tag, raw, val, alt, self.quote, indent, n, self.pre > 0, self.cell > 0))
+        self.out.append(
+            (
+                kind,
+                tag,
+                raw if self.with_raw else None,
+                val,
+                alt,
+                self.quote,
+                len(self.lists) if indent is None else indent,
+                n,
+                self.pre > 0,
+                self.cell > 0,
+            )
+        )
 
     def close_from(self, at, raw=""):
         """Close the open elements from the top of the stack down to position ``at``."""
-        while len(self.stack) > at:
-            self.leave(raw if len(self.stack) == at + 1 else "")
+        while len(self.stack) > at + 1:
+            self.leave("")
+        if len(self.stack) > at:
+            self.leave(raw)
 
     def leave(self, raw):
         el = self.stack.pop()
         tag = el.tag
         self.open_count[tag] -= 1
         n = 0
-        if tag in ("ul", "ol", "menu") and self.lists:
-            self.lists.pop()
-        elif tag == "blockquote":
-            self.quote -= 1
-        elif tag == "table":
-            self.tables.pop()
-        elif tag in ("td", "th"):
-            self.cell -= 1
-        elif tag == "tr" and self.tables:
-            self.tables[-1][0] += 1
-            n = self.tables[-1][1] if self.tables[-1][0] == 1 else 0
-        carried = el.attrs.get("href") if tag == "a" else None
-        self.emit("close", tag, raw, carried, n=n)
+        if tag in STATEFUL:
+            if tag in LISTS:
+                self.lists.pop()
+            elif tag == "blockquote":
+                self.quote -= 1
+            elif tag == "table":
+                self.tables.pop()
+            elif tag == "td" or tag == "th":
+                self.cell -= 1
+            elif tag == "tr" and self.tables:
+                table = self.tables[-1]
+                table[0] += 1
+                n = table[1] if table[0] == 1 else 0
+        if self.with_raw or tag in TELLING:
+            self.emit("close", tag, raw, el.attrs.get("href") if tag == "a" else None, None, n)
         if tag == "pre":
             self.pre -= 1
-        if self.stack and el.inside:
-            self.stack[-1].inside |= el.inside
-        for which in (0, 1):
-            if el.hit[which] or any(not el.inside.isdisjoint(has) for has in el.waiting[which]):
+        inside = el.inside
+        if inside and self.stack:
+            self.found_inside(inside)
+        for which in self.lists_in_use:
+            if el.hit[which] or (
+                inside and any(not inside.isdisjoint(has) for has in el.waiting[which])
+            ):
                 if which:
                     self.emit("gap")
                 self.spans[which].append((el.first, len(self.out)))
 
+    def found_inside(self, compounds):
+        parent = self.stack[-1]
+        parent.inside = compounds if parent.inside is None else parent.inside | compounds
+
+    def end_implied(self, tag):
+        for ends, scope in ENDERS[tag]:
+            for t in ends:
+                if self.open_count.get(t):
+                    break
+            else:
+                continue
+            cut = None
+            for at in range(len(self.stack) - 1, -1, -1):
+                here = self.stack[at].tag
+                if here in scope:
+                    break
+                if here in ends:
+                    cut = at
+            if cut is not None:
+                self.close_from(cut)
+
     def enter(self, tag, attr_text, raw):
-        enders = [IMPLIED_END[tag]] if tag in IMPLIED_END else []
-        if tag in P_ENDERS:
-            enders.append(({"p"}, P_SCOPE))
-        for ends, scope in enders:
-            if any(self.open_count.get(t) for t in ends):
-                cut = None
-                for at in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[at].tag in scope:
-                        break
-                    if self.stack[at].tag in ends:
-                        cut = at
-                if cut is not None:
-                    self.close_from(cut)
+        if tag in ENDERS:
+            self.end_implied(tag)
         attrs = _attributes(attr_text) if attr_text else {}
         el = _Open(tag, attrs, len(self.out))
-        for which in (0, 1):
+        for which in self.lists_in_use:
             rules = self.rules[which]
-            if rules is not None:
-                el.hit[which], el.waiting[which] = rules.matches(tag, attrs, self.stack)
-                if rules.has and self.stack:
-                    found = {c for c in rules.has if compound_matches(c, tag, attrs)}
-                    self.stack[-1].inside |= found
+            el.hit[which], el.waiting[which] = rules.matches(tag, attrs, self.stack)
+            if rules.has and self.stack:
+                found = {c for c in rules.has if compound_matches(c, tag, attrs)}
+                if found:
+                    self.found_inside(found)
         n, indent = 0, None
-        if tag == "li":
-            indent = max(len(self.lists) - 1, 0)
-            if self.lists:
-                n, self.lists[-1][1] = self.lists[-1][1], self.lists[-1][1] + self.lists[-1][0]
-        elif tag in ("ul", "ol", "menu"):
-            n = len(self.lists)
-        elif tag == "tr" and self.tables:
-            self.tables[-1][1] = 0
-        elif tag in ("td", "th") and self.tables:
-            self.tables[-1][1] += 1
-        elif tag == "pre":
-            self.pre += 1
-        first, second = CARRIED.get(tag, (None, None))
-        val = attrs.get(first) if first else None
-        alt = attrs.get(second) if second else None
-        if tag == "meta" and alt is None:
-            alt = attrs.get("property")
-        self.emit("open", tag, raw, val, alt, n, indent)
+        if tag in STATEFUL:
+            if tag == "li":
+                indent = max(len(self.lists) - 1, 0)
+                if self.lists:
+                    step, n = self.lists[-1]
+                    self.lists[-1][1] = n + step
+            elif tag == "pre":
+                self.pre += 1
+            elif self.tables and tag == "tr":
+                self.tables[-1][1] = 0
+            elif self.tables and (tag == "td" or tag == "th"):
+                self.tables[-1][1] += 1
+        if self.with_raw or tag in TELLING:
+            val = alt = None
+            if tag in CARRIED:
+                first, second = CARRIED[tag]
+                val, alt = attrs.get(first), attrs.get(second)
+                if tag == "meta" and alt is None:
+                    alt = attrs.get("property")
+            self.emit("open", tag, raw, val, alt, n, indent)
         if tag in VOID or len(self.stack) >= MAX_DEPTH:
-            for which in (0, 1):
+            if tag == "pre":
+                self.pre -= 1
+            for which in self.lists_in_use:
                 if el.hit[which]:
                     self.spans[which].append((el.first, len(self.out)))
             return
         self.stack.append(el)
         self.open_count[tag] = self.open_count.get(tag, 0) + 1
-        if tag in ("ul", "ol", "menu"):
-            start = attrs.get("start", "")
-            first_n = int(start) if re.fullmatch(r"[0-9]{1,9}", start) else 1
-            self.lists.append([1, first_n] if tag == "ol" else [0, 0])
-        elif tag == "blockquote":
-            self.quote += 1
-        elif tag == "table":
-            self.tables.append([0, 0])
-        elif tag in ("td", "th"):
-            self.cell += 1
+        if tag in STATEFUL:
+            if tag in LISTS:
+                start = attrs.get("start", "")
+                first_n = int(start) if re.fullmatch(r"[0-9]{1,9}", start) else 1
+                # Step and next number; bullets stay at 0.
+                self.lists.append([1, first_n] if tag == "ol" else [0, 0])
+            elif tag == "blockquote":
+                self.quote += 1
+            elif tag == "table":
+                # Rows closed, and cells of the current row.
+                self.tables.append([0, 0])
+            elif tag == "td" or tag == "th":
+                self.cell += 1
 
     def end(self, tag, raw):
         if self.open_count.get(tag):
+            inline = tag not in BLOCK
             for at in range(len(self.stack) - 1, -1, -1):
                 here = self.stack[at].tag
                 if here == tag:
                     return self.close_from(at, raw)
                 # A stray inline end tag does not end the blocks opened after it, nor any a table cell.
-                if (here in BLOCK and tag not in BLOCK) or (here in END_SCOPE and tag not in ("table", "tr")):
+                if (inline and here in BLOCK) or (here in END_SCOPE and tag not in TABLE_PARTS):
                     break
-        self.emit("other", tag, raw)
+        if self.with_raw:
+            self.emit("other", tag, raw)
+
+    def text(self, source):
+        val = unescape(source) if "&" in source else source
+        # Outside pre, runs of blanks count as one.
+        if not self.pre and ("\n" in val or "  " in val or "\t" in val or "\r" in val):
+            val = _BLANKS.sub(" ", val)
+        self.emit("text", "", source, val)
 
-    def text(self, source, kind="text", decode=True):
-        if source:
-            val = _text(source) if decode else source
-            # Outside pre, runs of blanks count as one.
-            if not self.pre and ("\n" in val or "  " in val or "\t" in val or "\r" in val):
-                val = _BLANKS.sub(" ", val)
-            self.emit(kind, raw=source, val=val)
+    def raw_text(self, tag, source):
+        """Content of a raw-text element; only the title is of use outside the source itself."""
+        if source and (self.with_raw or tag == "title"):
+            self.emit(tag, "", source, _BLANKS.sub(" ", _text(source)) if tag == "title" else None)
 
     def scan(self, html):
         at, size = 0, len(html)
+        find, match = _START.search, _MARKUP.match
         while at < size:
-            start = _START.search(html, at)
-            markup = _MARKUP.match(html, start.start()) if start else None
+            start = find(html, at)
+            begin = start.start() if start else size
+            markup = match(html, begin) if start else None
             if markup is None:
                 # No further tag, or one that never ends: the rest is text.
                 self.text(html[at:])
                 break
-            self.text(html[at : markup.start()])
+            if begin > at:
+                self.text(html[at:begin])
             at = markup.end()
-            tag = markup["tag"]
+            ending, tag, attr_text = markup.groups()
+            raw = html[begin:at] if self.with_raw else ""
             if tag is None:
-                self.emit("other", raw=markup[0])
+                if self.with_raw:
+                    self.emit("other", "", raw)
                 continue
             tag = tag.lower()
-            if markup["end"]:
-                self.end(tag, markup[0])
+            if ending:
+                self.end(tag, raw)
                 continue
-            self.enter(tag, markup["attrs"], markup[0])
+            self.enter(tag, attr_text, raw)
             if tag in RAW_TEXT:
                 closing = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
                 stop = closing.start() if closing else size
-                self.text(html[at:stop], tag, decode=tag in ("title", "textarea"))
+                self.raw_text(tag, html[at:stop])
                 at = stop
         self.close_from(0)
 

@@ -23,6 +23,7 @@ _INDENT, _QUOTE = "\x12", "\x13"  # prefix of a line inside a list item or a quo
 _BR, _LINE, _PARA = "\x1c", "\x1d", "\x1e"  # hard break, line break, paragraph break
 _STRONG, _STRONG_END, _EM, _EM_END = "\x05", "\x06", "\x07", "\x08"
 
+_LISTS = ("ul", "ol", "menu")
 _HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _PARA_TAGS = sorted(
     BLOCK.difference(_HEADINGS, "li tr td th ul ol menu pre hr optgroup option".split())
@@ -43,106 +44,100 @@ def clean_html(events) -> Column:
     return F.array_join(F.filter(_col(events), lambda e: e["keep"])["raw"], "")
 
 
-def _piece(e: Column) -> Column:
-    """Skeleton marks and content of one event; content is null where there is no slot."""
-    kind, tag, val, cell = e["kind"], e["tag"], e["val"], e["cell"]
-    lit = F.lit
+def _marks(e: Column) -> Column:
+    """Skeleton marks of one event."""
+    kind, tag, val, cell, lit = e["kind"], e["tag"], e["val"], e["cell"], F.lit
+    nothing, blank = lit(""), lit(" ")
     prefix = F.when(
         e["quote"] + e["indent"] > 0,
         F.concat(F.repeat(lit(_QUOTE), e["quote"]), F.repeat(lit(_INDENT), e["indent"])),
-    ).otherwise(lit(""))
+    ).otherwise(nothing)
     slot = F.concat(prefix, lit(_SLOT))
-    none = lit(None).cast("string")
-
-    def piece(marks, content=none):
-        return F.struct(
-            (lit(marks) if isinstance(marks, str) else marks).alias("marks"), content.alias("content")
-        )
-
     # Inside a table cell everything stays on the line of its row.
-    para = F.when(cell, lit(" ")).otherwise(lit(_PARA))
-    line = F.when(cell, lit(" ")).otherwise(lit(_LINE))
+    para = F.when(cell, blank).otherwise(lit(_PARA))
+    line = F.when(cell, blank).otherwise(lit(_LINE))
     list_break = F.when(e["indent"] > 0, line).otherwise(para)
-    is_link = (tag == "a") & F.coalesce(F.trim(val) != "", lit(False))
+    code = (tag == "code") & ~e["pre"]
 
-    bare = F.trim(val)
-    line_start = F.concat(lit("\n"), F.repeat(lit("> "), e["quote"]), F.repeat(lit("  "), e["indent"]))
-    verbatim = F.regexp_replace(val, lit("\r?\n"), line_start)
     text = (
-        F.when(e["pre"], piece(slot, verbatim))
-        .when(bare == "", piece(" "))
+        F.when(e["pre"], slot)
+        .when(val == " ", blank)
         .otherwise(
-            piece(
-                F.concat(
-                    F.when(val.startswith(" "), lit(" ")).otherwise(lit("")),
-                    slot,
-                    F.when(val.endswith(" "), lit(" ")).otherwise(lit("")),
-                ),
-                F.when(cell, F.replace(bare, lit("|"), lit("\\|"))).otherwise(bare),
+            F.concat(
+                F.when(val.startswith(" "), blank).otherwise(nothing),
+                slot,
+                F.when(val.endswith(" "), blank).otherwise(nothing),
             )
         )
     )
+    number = F.when(e["n"] > 0, F.concat(e["n"].cast("string"), lit(". "))).otherwise(lit("- "))
     opening = (
-        F.when(tag.isin(*_PARA_TAGS), piece(para))
-        .when(tag == "a", piece(F.when(is_link, F.concat(prefix, lit("["))).otherwise(lit(""))))
-        .when(
-            tag == "li",
-            piece(
-                F.concat(
-                    line,
-                    prefix,
-                    F.when(e["n"] > 0, F.concat(e["n"].cast("string"), lit(". "))).otherwise(lit("- ")),
-                    lit(_MARKER_END),
-                )
-            ),
-        )
-        .when(tag.isin("b", "strong"), piece(F.concat(prefix, lit(_STRONG))))
-        .when(tag.isin("i", "em"), piece(F.concat(prefix, lit(_EM))))
-        .when(tag == "br", piece(F.when(cell, lit(" ")).otherwise(lit(_BR))))
+        F.when(tag.isin(*_PARA_TAGS), para)
+        .when(tag == "a", F.when(_is_link(e), F.concat(prefix, lit("["))).otherwise(nothing))
+        .when(tag == "li", F.concat(line, prefix, number, lit(_MARKER_END)))
+        .when(tag.isin("b", "strong"), F.concat(prefix, lit(_STRONG)))
+        .when(tag.isin("i", "em"), F.concat(prefix, lit(_EM)))
+        .when(tag == "br", F.when(cell, blank).otherwise(lit(_BR)))
         .when(
             tag.isin(*_HEADINGS),
-            piece(F.concat(para, prefix, F.repeat(lit("#"), F.substring(tag, 2, 1).cast("int")), lit(" "))),
-        )
-        .when(tag.isin("ul", "ol", "menu"), piece(list_break))
-        .when(tag.isin("td", "th"), piece(" "))
-        .when(tag == "tr", piece(F.concat(line, prefix, lit("|"))))
-        .when(
-            (tag == "img") & (F.trim(val) != ""),
-            piece(
-                slot,
-                F.concat(lit("!["), F.coalesce(e["alt"], lit("")), lit("]("), F.trim(val), lit(")")),
-            ),
+            F.concat(para, prefix, F.repeat(lit("#"), F.substring(tag, 2, 1).cast("int")), blank),
         )
-        .when((tag == "code") & ~e["pre"], piece(F.concat(prefix, lit("`"))))
-        .when(tag == "pre", piece(F.concat(para, prefix, lit("```" + _NEWLINE), prefix)))
-        .when(tag == "hr", piece(F.concat(para, prefix, lit("---"), para)))
-        .otherwise(piece(""))
+        .when(tag.isin(*_LISTS), list_break)
+        .when(tag.isin("td", "th"), blank)
+        .when(tag == "tr", F.concat(line, prefix, lit("|")))
+        .when((tag == "img") & _is_link(e), slot)
+        .when(code, F.concat(prefix, lit("`")))
+        .when(tag == "pre", F.concat(para, prefix, lit("```" + _NEWLINE), prefix))
+        .when(tag == "hr", F.concat(para, prefix, lit("---"), para))
+        .otherwise(nothing)
     )
     closing = (
-        F.when(tag.isin(*_PARA_TAGS, *_HEADINGS), piece(para))
-        .when(is_link, piece("](" + _SLOT + ")", F.trim(val)))
-        .when(tag == "li", piece(line))
-        .when(tag.isin("b", "strong"), piece(_STRONG_END))
-        .when(tag.isin("i", "em"), piece(_EM_END))
-        .when(tag.isin("ul", "ol", "menu"), piece(list_break))
-        .when(tag.isin("td", "th"), piece(" |"))
+        F.when(tag.isin(*_PARA_TAGS, *_HEADINGS), para)
+        .when((tag == "a") & _is_link(e), lit("](" + _SLOT + ")"))
+        .when(tag == "li", line)
+        .when(tag.isin("b", "strong"), lit(_STRONG_END))
+        .when(tag.isin("i", "em"), lit(_EM_END))
+        .when(tag.isin(*_LISTS), list_break)
+        .when(tag.isin("td", "th"), lit(" |"))
         .when(
             (tag == "tr") & (e["n"] > 0),
-            piece(F.concat(lit(_LINE), prefix, lit("|"), F.repeat(lit(" --- |"), e["n"]))),
+            F.concat(lit(_LINE), prefix, lit("|"), F.repeat(lit(" --- |"), e["n"])),
         )
-        .when((tag == "code") & ~e["pre"], piece("`"))
-        .when(tag == "pre", piece(F.concat(lit(_NEWLINE), prefix, lit("```" + _PARA))))
-        .otherwise(piece(""))
+        .when(code, lit("`"))
+        .when(tag == "pre", F.concat(lit(_NEWLINE), prefix, lit("```" + _PARA)))
+        .otherwise(nothing)
     )
     return (
         F.when(kind == "text", text)
         .when(kind == "open", opening)
         .when(kind == "close", closing)
-        .when(kind == "gap", piece(para))
-        .otherwise(piece(""))
+        .when(kind == "gap", para)
+        .otherwise(nothing)
     )
 
 
+def _is_link(e: Column) -> Column:
+    return F.coalesce(F.trim(e["val"]) != "", F.lit(False))
+
+
+def _content(e: Column) -> Column:
+    """What goes into the slot of an event, null where it has none; follows the slots of the marks."""
+    kind, tag, val, lit = e["kind"], e["tag"], e["val"], F.lit
+    line_start = F.concat(lit("\n"), F.repeat(lit("> "), e["quote"]), F.repeat(lit("  "), e["indent"]))
+    cell_text = F.replace(F.trim(val), lit("|"), lit("\\|"))
+    image = F.concat(lit("!["), F.coalesce(e["alt"], lit("")), lit("]("), F.trim(val), lit(")"))
+    return (
+        F.when((kind == "text") & e["pre"], F.regexp_replace(val, lit("\r?\n"), line_start))
+        .when((kind == "text") & (val != " "), F.when(e["cell"], cell_text).otherwise(F.trim(val)))
+        .when((kind == "close") & (tag == "a") & _is_link(e), F.trim(val))
+        .when((kind == "open") & (tag == "img") & _is_link(e), image)
+    )
+
+
+def _piece(e: Column) -> Column:
+    return F.struct(_marks(e).alias("marks"), _content(e).alias("content"))
+
+
 def _settle(skeleton: Column) -> Column:
     """Resolve the marks of a skeleton; every step is one linear scan over character classes."""
     any_break = f" {_BR}{_LINE}{_PARA}"
@@ -181,7 +176,7 @@ def render_markdown(events, kept_only: bool = True) -> Column:
 
     def fill(pieces):
         gaps = F.split(_settle(F.array_join(pieces["marks"], "")), _SLOT, -1)
-        contents = F.filter(pieces["content"], lambda c: c.isNotNull())
+        contents = F.array_compact(pieces["content"])
         both = F.zip_with(gaps, contents, lambda g, c: F.concat(g, F.coalesce(c, F.lit(""))))
         return F.array_join(both, "")
 
