@@ -28,7 +28,7 @@ from webcapture.operators.responses import (
     split_outcomes,
     web_results,
 )
-from webcapture.plans.capture import flatten_search
+from webcapture.plans.capture import flatten_scrapes, flatten_search, scrapes_with_fallback
 from webcapture.sources.readers import parse_responses
 from webcapture.sources.writers import render_capture, render_parsed, write_exports
 
@@ -208,6 +208,34 @@ def _(spark, sf):
     return parse_records(_scrape_responses(spark, sf))
 
 
+@query("flatten_scrapes", f"""SELECT response_id, concat('## title: ', title, chr(10), '## description: ', chr(10), '## url: ', {_SCRAPE_URL}, chr(10), '## language: ', chr(10),
+    '## creditsUsed: ', CASE WHEN page_id % 5 < 3 THEN CAST(page_id AS VARCHAR) ELSE '' END, chr(10), chr(10), '---', chr(10), chr(10), coalesce({_SCRAPE_MD}, ''), chr(10)) AS export_text FROM {_PAGES}""")
+def _(spark, sf):
+    return flatten_scrapes(_scrape_responses(spark, sf))[0].select("response_id", "export_text")
+
+
+@query(
+    "scrapes_with_fallback",
+    f"""SELECT response_id, page_id % 10 = 0 AS used_fallback, CASE WHEN page_id % 10 = 0 THEN concat('again ', title) ELSE {_SCRAPE_MD} END AS markdown,
+        CASE WHEN page_id % 10 = 0 THEN 'T' ELSE title END AS title FROM {_PAGES}""",
+)
+def _(spark, sf):
+    first = _scrape_responses(spark, sf)
+    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
+    raw = F.when(
+        F.col("page_id") % 10 != 5,
+        F.concat(
+            F.lit('{"data":{"metadata":{"title":"T"},"markdown":'),
+            _json(F.concat(F.lit("again "), F.replace(title, F.lit("%"), F.lit("%25")))), F.lit("}}"),
+        ),
+    ).otherwise('{"success":false,"data":{"markdown":"no"}}')
+    second = table(spark, sf, "pages").select(
+        F.col("page_id").cast("string").alias("response_id"), F.col("url").alias("target_url"), raw.alias("raw")
+    )
+    merged = scrapes_with_fallback(first, parse_responses(second))[0]
+    return merged.select("response_id", "used_fallback", "markdown", "title")
+
+
 @query("resolved_url", f"SELECT response_id, {_SCRAPE_URL} AS url FROM {_PAGES}")
 def _(spark, sf):
     return _scrape_responses(spark, sf).select("response_id", resolved_url("v", "target_url").alias("url"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcapture.functions.text import strip_base64_images
-from webcapture.operators.pages import metadata, page_events, render_with_fallback
+from webcapture.operators.pages import metadata, page_events, render_with_fallback, with_fallback
 from webcapture.operators.requests import limit_per_request
 from webcapture.operators.responses import classify, scrape_records, search_results, split_outcomes
 from webcapture.sources.writers import render_capture
@@ -63,3 +63,12 @@ def flatten_scrapes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Scrape responses to capture records with ``export_text``, and the quarantine."""
     good, bad = split_outcomes(classify(df, "scrape"))
     return render_capture(scrape_records(good)), bad
+
+
+def scrapes_with_fallback(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``flatten_scrapes``; a record with empty Markdown is replaced by that of the good second
+    response with the same id, if there is one. ``used_fallback`` marks it."""
+    good, bad = split_outcomes(classify(first, "scrape"))
+    again = split_outcomes(classify(second, "scrape"))[0]
+    retried = scrape_records(again).withColumn("has_data", F.lit(True))
+    return render_capture(with_fallback(scrape_records(good), retried, "response_id")), bad
