@@ -71,24 +71,23 @@ def search_results(df: DataFrame, kinds=("web", "news", "images"), carry=()) ->
     columns of the response to keep.
 
     The result is that of a union of the single kinds, but each response is read and parsed once: the
-    lists are brought to one shape and concatenated before they are exploded.
+    lists are concatenated before they are exploded.
     """
-    fields = list(dict.fromkeys(f for kind in kinds for f in ITEM_FIELDS[kind]))
-
-    def shaped(kind):
+    def tagged(kind):
         def item(x, i):
-            have = {f: pick(x, f) for f in ITEM_FIELDS[kind]}
-            return F.struct(
-                F.lit(kind).alias("kind"),
-                i.cast("int").alias("pos"),
-                *[have.get(f, F.lit(None).cast("string")).alias(f) for f in fields],
-            )
-
-        shape = "array<struct<kind:string,pos:int,{}>>".format(",".join(f"{f}:string" for f in fields))
-        return F.coalesce(F.transform(_items(F.col("v"), kind), item), F.array()).cast(shape)
-
-    rows = df.select("response_id", *carry, F.explode(F.concat(*[shaped(k) for k in kinds])).alias("r"))
-    return rows.select("response_id", *carry, "r.*")
+            return F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("pos"), x.alias("item"))
+
+        empty = F.array().cast("array<struct<kind:string,pos:int,item:variant>>")
+        return F.coalesce(F.transform(_items(F.col("v"), kind), item), empty)
+
+    def field(name):
+        holders = [kind for kind in kinds if name in ITEM_FIELDS[kind]]
+        value = pick("r.item", name)
+        return (value if len(holders) == len(kinds) else F.when(F.col("r.kind").isin(holders), value)).alias(name)
+
+    rows = df.select("response_id", *carry, F.explode(F.concat(*[tagged(k) for k in kinds])).alias("r"))
+    fields = dict.fromkeys(f for kind in kinds for f in ITEM_FIELDS[kind])
+    return rows.select("response_id", *carry, "r.kind", "r.pos", *[field(name) for name in fields])
 
 
 def search_envelope(df: DataFrame) -> DataFrame:
