@@ -90,6 +90,29 @@ def test_grammar(selector, want):
         assert kept(PAGE, include=[selector]) == want
 
 
+@pytest.mark.parametrize(
+    "selector,want",
+    [
+        ("section div > p b", "<b>1</b><b>2</b>"),
+        ("section > div p > b", "<b>1</b><b>2</b>"),
+        ("div div > p > b", "<b>2</b>"),
+        ("div > div > p b", "<b>2</b>"),
+        ("section div div div b", ""),
+        ("section section b", ""),
+    ],
+)
+def test_chains_look_at_every_ancestor(selector, want):
+    html = "<section><div><p><b>1</b></p><i><div><p><b>2</b></p></div></i></div></section>"
+    html = html if selector != "div > div > p b" else html.replace("<i>", "").replace("</i>", "")
+    assert kept(html, include=[selector]) == want
+
+
+def test_long_chains_stay_linear():
+    html = "<div>" * 500 + "<p><b>x</b></p>" * 20000
+    assert kept(html, include=["section div div div div > p b"]) == ""
+    assert kept(html, include=["div div div div > p b"]).count("<b>") == 20000
+
+
 def test_has_keeps_subject_with_match():
     got = kept(PAGE, include=["article:has(h1, h2)"])
     assert got.startswith('<article class="post big"') and got.endswith("</article>") and "other" not in got

@@ -113,6 +113,8 @@ class Rules:
         self.by_attr: dict[str, list[Selector]] = {}
         self.any: list[Selector] = []
         self.has = tuple({c for s in selectors for c in s.subject.has})
+        # Conditions on ancestors per selector, from the outermost one inwards.
+        self.chains = {s: tuple(reversed(s.outer)) for s in selectors if s.outer}
         for s in selectors:
             if s.subject.tag is not None:
                 self.by_tag.setdefault(s.subject.tag, []).append(s)
@@ -121,7 +123,22 @@ class Rules:
             else:
                 self.any.append(s)
 
-    def matches(self, tag, attrs, stack) -> tuple[bool, tuple]:
+    def chain_steps(self, tag, attrs, parent):
+        """Chain steps that end at this element, and those that end at it or at an ancestor.
+
+        A step counts only if the step before it ends at the parent, or at any ancestor, as the
+        selector asks; so every element costs one look at each step, however deep it lies.
+        """
+        here, above = set(), parent[1] if parent else frozenset()
+        for s, chain in self.chains.items():
+            for i, (_, compound) in enumerate(chain):
+                if i and not (parent and (s, i - 1) in parent[0 if chain[i - 1][0] else 1]):
+                    continue
+                if compound_matches(compound, tag, attrs):
+                    here.add((s, i))
+        return here, above | here if here else above
+
+    def matches(self, tag, attrs, parent) -> tuple[bool, tuple]:
         """Whether the element matches already, and the ``:has`` alternatives left to decide."""
         waiting = []
         groups = [self.by_attr[name] for name in attrs if name in self.by_attr]
@@ -129,31 +146,24 @@ class Rules:
             groups.append(self.by_tag[tag])
         for group in (*groups, self.any):
             for s in group:
-                if compound_matches(s.subject, tag, attrs) and _outer(s.outer, stack, len(stack)):
+                if s.outer and not (parent and (s, len(s.outer) - 1) in parent[0 if s.outer[0][0] else 1]):
+                    continue
+                if compound_matches(s.subject, tag, attrs):
                     if not s.subject.has:
                         return True, ()
                     waiting.append(s.subject.has)
         return False, tuple(waiting)
 
 
-def _outer(conditions, stack, depth) -> bool:
-    if not conditions:
-        return True
-    is_parent, rule = conditions[0]
-    for at in range(depth - 1, max(depth - 2, -1) if is_parent else -1, -1):
-        if compound_matches(rule, stack[at].tag, stack[at].attrs) and _outer(conditions[1:], stack, at):
-            return True
-    return False
-
-
 class _Open:
-    __slots__ = ("tag", "attrs", "first", "hit", "waiting", "inside")
+    __slots__ = ("tag", "attrs", "first", "hit", "waiting", "inside", "steps")
 
     def __init__(self, tag, attrs, first):
         self.tag, self.attrs, self.first = tag, attrs, first
         # Per list of selectors: matched at once, and the alternatives of ``:has`` still to be decided.
         self.hit, self.waiting = [False, False], [(), ()]
         self.inside = None
+        self.steps = [None, None]
 
 
 class _Page:
@@ -254,7 +264,10 @@ class _Page:
         el = _Open(tag, attrs, len(self.out))
         for which in self.lists_in_use:
             rules = self.rules[which]
-            el.hit[which], el.waiting[which] = rules.matches(tag, attrs, self.stack)
+            parent = self.stack[-1].steps[which] if self.stack else None
+            el.hit[which], el.waiting[which] = rules.matches(tag, attrs, parent)
+            if rules.chains:
+                el.steps[which] = rules.chain_steps(tag, attrs, parent)
             if rules.has and self.stack:
                 found = {c for c in rules.has if compound_matches(c, tag, attrs)}
                 if found:
