@@ -70,9 +70,8 @@ ENDERS = {
 
 _START = re.compile(r"<(?=[A-Za-z!?]|/[A-Za-z])")
 _MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*> |
-        <(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)
-        (?P<attrs>(?:[^"'=>]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)>""",
+    r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^"'=>]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)> |
+        <!--.*?(?:-->|\Z) | <[!?][^>]*>""",
     re.S | re.X,
 )
 _BLANKS = re.compile(r"[ \t\n\f\r]+")
@@ -113,6 +112,9 @@ class Rules:
         self.by_attr: dict[str, list[Selector]] = {}
         self.any: list[Selector] = []
         self.has = tuple({c for s in selectors for c in s.subject.has})
+        self.tags = {s.subject.tag for s in selectors if s.subject.tag} | {c.tag for c in self.has if c.tag}
+        # Compounds that an element without attributes can meet whatever its tag.
+        self.universal = any(c.tag is None and not c.attrs for c in self.has)
         # Conditions on ancestors per selector, from the outermost one inwards.
         self.chains = {s: tuple(reversed(s.outer)) for s in selectors if s.outer}
         for s in selectors:
@@ -151,19 +153,19 @@ class Rules:
                 if compound_matches(s.subject, tag, attrs):
                     if not s.subject.has:
                         return True, ()
-                    waiting.append(s.subject.has)
+                    waiting.append(frozenset(s.subject.has))
         return False, tuple(waiting)
 
 
 class _Open:
+    """An open element: where its events begin, and what the two lists of selectors say of it."""
+
     __slots__ = ("tag", "attrs", "first", "hit", "waiting", "inside", "steps")
 
     def __init__(self, tag, attrs, first):
         self.tag, self.attrs, self.first = tag, attrs, first
-        # Per list of selectors: matched at once, and the alternatives of ``:has`` still to be decided.
-        self.hit, self.waiting = [False, False], [(), ()]
-        self.inside = None
-        self.steps = [None, None]
+        # Per list, where it says anything: matched at once, and ``:has`` alternatives to be decided.
+        self.hit = self.waiting = self.inside = self.steps = None
 
 
 class _Page:
@@ -173,6 +175,11 @@ class _Page:
         self.out: list[tuple] = []
         self.rules, self.with_raw = rules, with_raw
         self.lists_in_use = [which for which in (0, 1) if rules[which] is not None]
+        in_use = [rules[which] for which in self.lists_in_use]
+        # Most elements have no attribute and a tag that no selector names; they skip the rules.
+        self.tags_in_rules = frozenset(tag for r in in_use for tag in r.tags)
+        self.has_chains = any(r.chains for r in in_use)
+        self.always = self.has_chains or any(r.any or r.universal for r in in_use)
         self.stack: list[_Open] = []
         self.open_count: dict[str, int] = {}
         self.spans: tuple[list, list] = ([], [])
@@ -225,13 +232,14 @@ class _Page:
             self.emit("close", tag, raw, el.attrs.get("href") if tag == "a" else None, None, n)
         if tag == "pre":
             self.pre -= 1
-        inside = el.inside
-        if inside and self.stack:
-            self.found_inside(inside)
+        if el.inside and self.stack:
+            self.found_inside(el.inside)
+        if el.hit is not None:
+            self.close_spans(el)
+
+    def close_spans(self, el):
         for which in self.lists_in_use:
-            if el.hit[which] or (
-                inside and any(not inside.isdisjoint(has) for has in el.waiting[which])
-            ):
+            if el.hit[which] or any(not has.isdisjoint(el.inside or ()) for has in el.waiting[which]):
                 if which:
                     self.emit("gap")
                 self.spans[which].append((el.first, len(self.out)))
@@ -257,21 +265,32 @@ class _Page:
             if cut is not None:
                 self.close_from(cut)
 
-    def enter(self, tag, attr_text, raw):
-        if tag in ENDERS:
-            self.end_implied(tag)
-        attrs = _attributes(attr_text) if attr_text else {}
-        el = _Open(tag, attrs, len(self.out))
+    def apply_rules(self, el):
+        """Record what the selectors say of an element that is about to open."""
+        parent = self.stack[-1] if self.stack else None
+        hit, waiting, steps = [False, False], [(), ()], [None, None]
         for which in self.lists_in_use:
             rules = self.rules[which]
-            parent = self.stack[-1].steps[which] if self.stack else None
-            el.hit[which], el.waiting[which] = rules.matches(tag, attrs, parent)
+            above = parent.steps[which] if parent and parent.steps else None
+            hit[which], waiting[which] = rules.matches(el.tag, el.attrs, above)
             if rules.chains:
-                el.steps[which] = rules.chain_steps(tag, attrs, parent)
-            if rules.has and self.stack:
-                found = {c for c in rules.has if compound_matches(c, tag, attrs)}
+                steps[which] = rules.chain_steps(el.tag, el.attrs, above)
+            if rules.has and parent:
+                found = {c for c in rules.has if compound_matches(c, el.tag, el.attrs)}
                 if found:
                     self.found_inside(found)
+        if any(hit) or any(waiting):
+            el.hit, el.waiting = hit, waiting
+        if self.has_chains:
+            el.steps = steps
+
+    def enter(self, tag, attr_text, raw):
+        if tag in ENDERS:
+            self.end_implied(tag)
+        attrs = _attributes(attr_text) if attr_text else {}
+        el = _Open(tag, attrs, len(self.out))
+        if attrs or self.always or tag in self.tags_in_rules:
+            self.apply_rules(el)
         n, indent = 0, None
         if tag in STATEFUL:
             if tag == "li":
@@ -296,9 +315,10 @@ class _Page:
         if tag in VOID or len(self.stack) >= MAX_DEPTH:
             if tag == "pre":
                 self.pre -= 1
-            for which in self.lists_in_use:
-                if el.hit[which]:
-                    self.spans[which].append((el.first, len(self.out)))
+            if el.hit is not None:
+                for which in self.lists_in_use:
+                    if el.hit[which]:
+                        self.spans[which].append((el.first, len(self.out)))
             return
         self.stack.append(el)
         self.open_count[tag] = self.open_count.get(tag, 0) + 1
@@ -342,23 +362,28 @@ class _Page:
             self.emit(tag, "", source, _BLANKS.sub(" ", _text(source)) if tag == "title" else None)
 
     def scan(self, html):
-        at, size = 0, len(html)
-        find, match = _START.search, _MARKUP.match
+        at = look = 0
+        size, find, match, with_raw = len(html), html.find, _MARKUP.match, self.with_raw
         while at < size:
-            start = find(html, at)
-            begin = start.start() if start else size
-            markup = match(html, begin) if start else None
-            if markup is None:
-                # No further tag, or one that never ends: the rest is text.
+            begin = find("<", look)
+            if begin < 0:
                 self.text(html[at:])
                 break
+            markup = match(html, begin)
+            if markup is None:
+                if _START.match(html, begin):
+                    # A tag that never ends: the rest is text.
+                    self.text(html[at:])
+                    break
+                look = begin + 1
+                continue
             if begin > at:
                 self.text(html[at:begin])
-            at = markup.end()
+            at = look = markup.end()
             ending, tag, attr_text = markup.groups()
-            raw = html[begin:at] if self.with_raw else ""
+            raw = html[begin:at] if with_raw else ""
             if tag is None:
-                if self.with_raw:
+                if with_raw:
                     self.emit("other", "", raw)
                 continue
             tag = tag.lower()
@@ -370,7 +395,7 @@ class _Page:
                 closing = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
                 stop = closing.start() if closing else size
                 self.raw_text(tag, html[at:stop])
-                at = stop
+                at = look = stop
         self.close_from(0)
 
     def keep(self):
