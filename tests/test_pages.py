@@ -95,6 +95,7 @@ def test_null_and_empty_pages():
         ("<dl><dt>a<dd>b<dt>c</dl>", "a\n\nb\n\nc"),
         ("<div>a</div>\n\n<div> </div><div>b</div>", "a\n\nb"),
         ("", ""),
+        ("<b><i> </i></b>x<i></i>", "x"),
         ("\x0e\x1e a \x05 b", "\x0e\x1e a \x05 b"),
         ("$1 \\2 ${x}", "$1 \\2 ${x}"),
         ("<p>a<p>b<i>c<p>d</i>e", "a\n\nb*c*\n\nde"),

@@ -44,8 +44,8 @@ def build_alias_index(aliases: DataFrame) -> DataFrame:
 
 def _row_hash(df: DataFrame) -> Column:
     """Hash of the plain columns of a row, the same whenever a task runs again."""
-    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType, T.ArrayType, T.StructType))]
-    return F.xxhash64(*plain)
+    nested = (T.MapType, T.VariantType, T.ArrayType, T.StructType)
+    return F.xxhash64(*[f.name for f in df.schema if not isinstance(f.dataType, nested)])
 
 
 def resolve_country(
@@ -193,7 +193,8 @@ def fold_accents(c) -> Column:
 def alias_coverage(aliases: DataFrame, index: DataFrame) -> DataFrame:
     """Aliases that do not resolve to their own code, as written or without accents."""
     spellings = aliases.select(
-        F.col("code").alias("expected"), F.explode(F.array_distinct(F.array("alias", fold_accents("alias")))).alias("name")
+        F.col("code").alias("expected"),
+        F.explode(F.array_distinct(F.array("alias", fold_accents("alias")))).alias("name"),
     )
     resolved = resolve_country(spellings, "name", index)
     return resolved.filter(F.col("country_code") != F.col("expected")).select("expected", "name", "country_code")

@@ -182,7 +182,9 @@ def limit_per_request(df: DataFrame, n_col, pos: str = "pos") -> DataFrame:
     return df.filter(F.col(pos) < limit)
 
 
-def top_papers(df: DataFrame, k: int = 5, partition: str | None = None, score: str = "score", tie: str = "paperId") -> DataFrame:
+def top_papers(
+    df: DataFrame, k: int = 5, partition: str | None = None, score: str = "score", tie: str = "paperId"
+) -> DataFrame:
     """The k best by score, then id; per ``partition`` when one is given.
 
     Both forms keep at most k rows per map task (and key) before any shuffle.

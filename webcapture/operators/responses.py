@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webcapture.functions.text import _col, percent_decode, repair_newlines
+from webcapture.functions.text import percent_decode, repair_newlines
 from webcapture.functions.variant import (
     boolean_false,
     credits_used,

@@ -50,7 +50,9 @@ def capture_pages(
     return render_capture(records)
 
 
-def flatten_search(df: DataFrame, limit_col: str | None = None, kinds=("web", "news", "images")) -> tuple[DataFrame, DataFrame]:
+def flatten_search(
+    df: DataFrame, limit_col: str | None = None, kinds=("web", "news", "images")
+) -> tuple[DataFrame, DataFrame]:
     """Search responses to result rows, at most ``limit_col`` per response and kind, and the quarantine."""
     good, bad = split_outcomes(classify(df, "search"))
     if limit_col is None:

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
-def stream_table(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1000) -> DataFrame:
+def stream_table(
+    spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1000
+) -> DataFrame:
     """Stream of the files that arrive in a folder."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     return reader.format(fmt).load(path)
@@ -24,7 +26,9 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def write_available(df: DataFrame, path: str, name: str, checkpoint: str | None = None, fmt: str = "parquet") -> StreamingQuery:
+def write_available(
+    df: DataFrame, path: str, name: str, checkpoint: str | None = None, fmt: str = "parquet"
+) -> StreamingQuery:
     """Process all files that are there, append the result to a table, and stop."""
     location = checkpoint or checkpoint_location(df.sparkSession, name)
     writer = df.writeStream.queryName(name).option("checkpointLocation", location)
