@@ -3,7 +3,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from webcapture.functions.names import alias_variants, normalize_name
+from webcapture.functions.names import alias_variants, normalize_name, upper_case_key
 from webcapture.operators.country import (
     alias_conflicts,
     alias_coverage,
@@ -42,6 +42,17 @@ def test_normalize(column):
     assert column(got, normalize_name("c")) == got
 
 
+def test_upper_case_key(column):
+    """Null exactly where upper case changes nothing, for every letter and some words."""
+    letters = [chr(i) for i in range(0x41, 0x10000) if chr(i).isalpha()]
+    words = letters + ["Straße", "ŉab", "ελλασ", "Ελλάς", "ΣΑΣ", "ﬁne", "İzmir", "ısı", "plain", "", None]
+    plain = column(words, normalize_name("c"))
+    upper = column(words, normalize_name(F.upper("c")))
+    keys = column(words, upper_case_key("c"))
+    assert [k if k is not None else p for k, p in zip(keys, plain)] == upper
+    assert sum(k is not None for k in keys) < 200
+
+
 def test_variants(column):
     got = column(["Korea, South", "U.S.A.", "Viet Nam", " , ", None], alias_variants("c"))
     assert got[0] == ["Korea, South", "korea south", "South Korea", "south korea"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -33,6 +34,24 @@ def normalize_name(c) -> Column:
     return F.trim(F.regexp_replace(words, rf"[_{WS}]+", " "))
 
 
+@lru_cache
+def _case_changing_letters() -> str:
+    def key(s):
+        folded = unicodedata.normalize("NFKD", s)
+        return "".join(ch for ch in folded if unicodedata.category(ch) != "Mn").lower()
+
+    letters = (chr(i) for i in range(0x80, 0x10000) if not 0xD800 <= i < 0xE000)
+    # The lower case of a sigma depends on its place in the word.
+    return "".join(c for c in letters if key(c.upper()) != key(c)) + "Σσς"
+
+
+def upper_case_key(c) -> Column:
+    """Normalised upper-case name, null where it equals the normalised name for want of a letter, such
+    as sharp s, that upper case changes for good."""
+    c = _col(c)
+    return normalize_name(F.when(c.rlike(f"[{_case_changing_letters()}]"), F.upper(c)))
+
+
 def alias_variants(c) -> Column:
     """Spellings under which an alias should be found, without blanks and repeats."""
     base = strip(c)

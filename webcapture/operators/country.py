@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webcapture.functions.names import alias_variants, nfkd, normalize_name
+from webcapture.functions.names import alias_variants, nfkd, normalize_name, upper_case_key
 from webcapture.functions.text import strip
 from webcapture.functions.variant import parse_body
 
@@ -62,14 +62,13 @@ def resolve_country(
     """
     name = strip(col)
     keyed = df.withColumn("_hash", _row_hash(df)).withColumn("_name", name)
-    keyed = keyed.withColumn("_key", normalize_name("_name")).withColumn("_upper", normalize_name(F.upper("_name")))
+    keyed = keyed.withColumn("_key", normalize_name("_name")).withColumn("_upper", upper_case_key("_name"))
     # A normalised name holds no "#", so these keys match nothing.
     nowhere = F.concat(F.lit("#"), F.pmod("_hash", F.lit(4096)).cast("string"))
     salt = F.pmod("_hash", F.lit(salts)).cast("int")
     keyed = keyed.select(
         "*",
         F.when(F.col("_key") != "", F.col("_key")).otherwise(nowhere).alias("_first"),
-        # The second key differs from the first only for letters such as sharp s.
         F.when(F.col("_upper") != F.col("_key"), F.col("_upper")).otherwise(nowhere).alias("_second"),
         salt.alias("_salt"),
     )
