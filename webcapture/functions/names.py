@@ -28,10 +28,10 @@ def nfkd(c) -> Column:
 
 
 def normalize_name(c) -> Column:
-    """Fold case, accents and punctuation; runs of blanks or ``_`` become one blank."""
+    """Fold case and accents; each run of other characters than letters, numbers, apostrophes and
+    hyphens becomes one blank."""
     folded = F.regexp_replace(nfkd(c), r"\p{Mn}", "")
-    words = F.regexp_replace(F.lower(strip(folded)), rf"[^\p{{L}}\p{{N}}{WS}'_-]", " ")
-    return F.trim(F.regexp_replace(words, rf"[_{WS}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(folded), r"[^\p{L}\p{N}'-]+", " "))
 
 
 @lru_cache

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Characters that count as white space, for use inside a character class.
 WS = r"\s\x1c-\x1f\x85\p{Z}"
 
+_BLANKS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 _MAX_INT = 2**31 - 1
 
 
@@ -22,7 +23,7 @@ def bind(value: Column, fn) -> Column:
 
 def strip(c) -> Column:
     """Remove Unicode white space from both ends (Spark's trim knows only the blank)."""
-    return F.regexp_replace(_col(c), rf"\A[{WS}]+|(?<![{WS}])[{WS}]+\z", "")
+    return F.btrim(_col(c), F.lit(_BLANKS))
 
 
 def percent_decode(c, strict: bool = False) -> Column:
