@@ -29,6 +29,8 @@ SLOTS = 128
 BLOCK = 256
 _SKETCH_ROWS = 64
 _LIGHT_SIZES = 32
+#: Kinds of posting: an element of a heavy set; a subset shared with sets of the same size; or of another size.
+_LIST, _SAME, _OTHER = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -82,7 +84,7 @@ def _rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 
 _SIZES = pa.schema([("row", pa.int64()), ("th", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
-_POSTS = pa.schema([("light", pa.bool_()), ("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int32())])
+_POSTS = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int32())])
 _SETS = pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("slots", pa.binary()), ("elements", pa.binary())])
 
 
@@ -119,7 +121,7 @@ def _summed(batches):
 def _posted(k: int, limit: Threshold, boundary: int, bits: int, sketch) -> Callable:
     reach = min(limit.partners(boundary + 1), default=boundary + 1)
 
-    def light_keys(found: np.ndarray) -> Iterator[int]:
+    def light_keys(found: np.ndarray) -> Iterator[tuple[int, int]]:
         n, whole = len(found), mix(found)
         total = int(whole.sum(dtype=np.uint64))
         parts = [int(x) for x in whole]
@@ -127,33 +129,34 @@ def _posted(k: int, limit: Threshold, boundary: int, bits: int, sketch) -> Calla
             overlap = limit.overlap(n, m)
             if m <= boundary and overlap <= min(n, m):
                 for dropped in combinations(parts, n - overlap):
-                    yield (total - sum(dropped) + 0x8CB92BA72F3D8DD7 * min(n, m) + 0xABC98388FB8FAC03 * max(n, m)) % 2**64
+                    key = total - sum(dropped) + 0x8CB92BA72F3D8DD7 * min(n, m) + 0xABC98388FB8FAC03 * max(n, m)
+                    yield key % 2**64, _SAME if n == m else _OTHER
 
     def post(batches):
         counts, seen = sketch.value, set()
         for batch in by_bytes(batches, "text"):
-            hashes, light, cls, size = [], [], [], []
+            hashes, kinds, cls, size = [], [], [], []
             for found in shingle_sets(batch, "text", k):
                 own = _signature(found) if len(found) else None
                 if own is None or own in seen:
                     continue
                 seen.add(own)
                 if len(found) <= boundary:
-                    keys = mix(np.fromiter(light_keys(found), np.uint64))
-                    hashes.append(keys)
-                    light.append((True, len(keys)))
+                    keys, kind = zip(*light_keys(found), strict=True)
+                    hashes.append(mix(np.array(keys, np.uint64)))
+                    kinds.append(np.array(kind, np.int32))
                     cls.append((own, len(keys)))
                     size.append((len(found), len(keys)))
                 if len(found) >= reach:
                     rarity = counts[found >> np.uint64(64 - bits)]
                     first = found[np.lexsort((found, rarity))[: limit.prefix(len(found))]]
                     hashes.append(first)
-                    light.append((False, len(first)))
+                    kinds.append(np.full(len(first), _LIST, np.int32))
                     cls.append((own, len(first)))
                     size.append((len(found), len(first)))
             if hashes:
                 spread = lambda pairs, kind: np.repeat(np.array([p[0] for p in pairs], kind), [p[1] for p in pairs])
-                yield _rows(_POSTS, spread(light, bool), np.concatenate(hashes).view(np.int64), spread(cls, np.int64), spread(size, np.int32))
+                yield _rows(_POSTS, np.concatenate(kinds), np.concatenate(hashes).view(np.int64), spread(cls, np.int64), spread(size, np.int32))
 
     return post
 
@@ -237,24 +240,27 @@ def jaccard_components(
     sizes = dict(rows.filter(f"n between 1 and {den * _LIGHT_SIZES // num + 2}").groupBy("n").count().collect())
     sketch = spark.sparkContext.broadcast(counts.reshape(-1))
 
-    posts = docs.filter("text is not null").mapInArrow(_posted(k, limit, _boundary(sizes, limit, scan_cost), sketch_bits, sketch), "light boolean, h long, cls long, n int")
-    by_size = Window.partitionBy("light", "h").orderBy("n", "cls")
+    posts = docs.filter("text is not null").mapInArrow(_posted(k, limit, _boundary(sizes, limit, scan_cost), sketch_bits, sketch), "kind int, h long, cls long, n int")
+    by_size = Window.partitionBy("kind", "h").orderBy("n", "cls")
     posts = posts.withColumn("last", F.lag("cls").over(by_size)).filter("last is null or last != cls")
     near = lambda other: F.coalesce(F.least("n", other) * den >= F.greatest("n", other) * num, F.lit(False))
     posts = posts.withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size))
-    met = F.when(F.col("light"), F.col("smaller").isNotNull() | F.col("larger").isNotNull()).otherwise(near("smaller") | near("larger"))
-    posts = saved(posts.filter(met).select("light", "h", "cls", "n"), "posts")
-    lists = posts.filter("not light")
+    met = F.when(F.col("kind") != _LIST, F.col("smaller").isNotNull() | F.col("larger").isNotNull()).otherwise(near("smaller") | near("larger"))
+    posts = saved(posts.filter(met).select("kind", "h", "cls", "n"), "posts")
+    lists = posts.filter(F.col("kind") == _LIST)
 
     wanted = rows.join(lists.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min(F.struct(F.col("row").isNull(), "row", "th")).alias("one"))
     wanted = wanted.select(F.col("one.row").alias("id"), F.col("one.th").alias("th"))
     texts = docs.join(wanted, docs.id.eqNullSafe(wanted.id) & (docs.th == wanted.th), "left_semi").select("text")
     sets = saved(texts.mapInArrow(_sets(k), "cls long, n int, slots binary, elements binary").dropDuplicates(["cls"]), "sets")
 
-    least = posts.groupBy("light", "h").agg(F.min(F.struct("n", "cls")).alias("least"))
-    hung = posts.join(least, ["light", "h"]).filter("cls != least.cls").select("light", F.col("cls").alias("a"), F.col("least.cls").alias("b"), "n", F.col("least.n").alias("m"))
-    stars = hung.filter(f"not light and m * {den} >= n * {num}").select("a", "b")
-    found = saved(_linked(stars, sets, limit).union(hung.filter("light").select("a", "b")).distinct(), "edges")
+    ends = posts.groupBy("kind", "h").agg(F.min(F.struct("n", "cls")).alias("low"), F.max(F.struct("n", "cls")).alias("high"))
+    hung = posts.join(ends, ["kind", "h"])
+    to_low = hung.select("kind", F.col("cls").alias("a"), F.col("low.cls").alias("b"), "n", F.col("low.n").alias("m")).filter("a != b")
+    to_high = hung.filter((F.col("kind") == _OTHER) & (F.col("n") < F.col("high.n"))).select(F.col("cls").alias("a"), F.col("high.cls").alias("b"))
+    stars = to_low.filter((F.col("kind") == _LIST) & (F.col("m") * den >= F.col("n") * num)).select("a", "b")
+    subsets = to_low.filter((F.col("kind") == _SAME) | ((F.col("kind") == _OTHER) & (F.col("m") < F.col("n")))).select("a", "b").union(to_high)
+    found = saved(_linked(stars, sets, limit).union(subsets).distinct(), "edges")
 
     labels = components(found)
     lists = lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
