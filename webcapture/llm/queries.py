@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from checks.common import registry, table
+from pyspark.sql import functions as F
 from webcapture.llm.jaccard_join import jaccard_components
+from webcapture.llm.suffix_dedup import remove_repeats
 
 QUERIES, ORACLES, query = registry()
 
@@ -11,3 +13,9 @@ QUERIES, ORACLES, query = registry()
 @query("op10_jaccard_join")
 def op10(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+@query("op8_suffix_dedup")
+def op8(spark, sf_dir):
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
