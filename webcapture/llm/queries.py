@@ -4,11 +4,30 @@ from __future__ import annotations
 
 from checks.common import registry, table
 from pyspark.sql import functions as F
+from webcapture.llm.decontaminate import build_index, contamination, find_items
 from webcapture.llm.jaccard_join import jaccard_components
 from webcapture.llm.suffix_dedup import remove_repeats
 
 QUERIES, ORACLES, query = registry()
 
+OP6_SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS t
+    FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+places AS (SELECT k, n, i, array_to_string(w[i:i + n - 1], ' ') AS t
+    FROM (SELECT k, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT k, item, i, win.n FROM places JOIN win ON places.t = win.t AND places.n = win.n),
+n_hit AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY k),
+items AS (SELECT k, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n_hit USING (k) LEFT JOIN items USING (k)
+"""
+
 
 @query("op10_jaccard_join")
 def op10(spark, sf_dir):
@@ -19,3 +38,17 @@ def op10(spark, sf_dir):
 def op8(spark, sf_dir):
     found = remove_repeats(table(spark, sf_dir, "documents"), length=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_decontaminate", OP6_SQL)
+def op6(spark, sf_dir):
+    index = build_index(table(spark, sf_dir, "documents"))
+    found = contamination(find_items(index, table(spark, sf_dir, "benchmark"), width=13))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
