@@ -6,6 +6,7 @@ from checks.common import registry, table
 from pyspark.sql import functions as F
 from webcapture.llm.decontaminate import build_index, contamination, find_items
 from webcapture.llm.jaccard_join import jaccard_components
+from webcapture.llm.langid import identify
 from webcapture.llm.suffix_dedup import remove_repeats
 
 QUERIES, ORACLES, query = registry()
@@ -52,3 +53,9 @@ def op6(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query("op3_langid")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
