@@ -25,8 +25,11 @@ WORD = np.ones(256, bool)
 WORD[[0x20, *range(0x09, 0x0E)]] = False
 #: Classes of hash values whose counts bound an overlap from above.
 SLOTS = 128
+_MOST = 65535
 #: Rows of an inverted list that are paired within one group; longer lists are dealt to pairs of blocks.
 BLOCK = 256
+#: Size, as a power of two, of the filter that picks the texts whose sets are compared.
+FILTER_BITS = 24
 _SKETCH_ROWS = 64
 _LIGHT_SIZES = 32
 #: Kinds of posting: an element of a heavy set; a subset shared with sets of the same size; or of another size.
@@ -79,13 +82,18 @@ def _signature(elements: np.ndarray) -> int:
     return int(mix(np.array([(mix(elements + order) * order).sum(dtype=np.uint64) + np.uint64(len(elements))]))[0].view(np.int64))
 
 
+def _slots(elements: np.ndarray) -> bytes:
+    counts = np.bincount((elements & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+    return np.minimum(counts, _MOST).astype(np.uint16).tobytes()
+
+
 def _rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-_SIZES = pa.schema([("row", pa.int64()), ("th", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
+_SIZES = pa.schema([("row", pa.int64()), ("th", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("slots", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())])
 _POSTS = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("cls", pa.int64()), ("n", pa.int32())])
-_SETS = pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("slots", pa.binary()), ("elements", pa.binary())])
+_SETS = pa.schema([("cls", pa.int64()), ("n", pa.int32()), ("elements", pa.binary())])
 
 
 def _measured(k: int, bits: int) -> Callable:
@@ -93,16 +101,17 @@ def _measured(k: int, bits: int) -> Callable:
         """A row per document, then the task's counts of shingles by the first bits of their hash."""
         counts = np.zeros(1 << bits, np.int32)
         for batch in by_bytes(batches, "text"):
-            size, cls = [], []
+            size, cls, slots = [], [], []
             for found in shingle_sets(batch, "text", k):
                 counts[found >> np.uint64(64 - bits)] += 1
                 size.append(len(found))
                 cls.append(_signature(found) if len(found) else None)
-            nothing = pa.nulls(len(size))
-            yield _rows(_SIZES, batch.column("id"), batch.column("th"), size, cls, nothing, nothing)
+                slots.append(_slots(found) if len(found) else None)
+            nothing = [None] * len(size)
+            yield _rows(_SIZES, batch.column("id"), batch.column("th"), size, cls, slots, nothing, nothing)
         for block, part in enumerate(np.split(counts, _SKETCH_ROWS)):
             if part.any():
-                yield _rows(_SIZES, [None], [None], [None], [None], [block], [part.tobytes()])
+                yield _rows(_SIZES, [None], [None], [None], [None], [None], [block], [part.tobytes()])
 
     return measure
 
@@ -161,12 +170,34 @@ def _posted(k: int, limit: Threshold, boundary: int, bits: int, sketch) -> Calla
     return post
 
 
-def _sets(k: int) -> Callable:
+def _bits(values: np.ndarray) -> np.ndarray:
+    """Places in the filter of wanted texts, a row per value."""
+    seeds = np.array([0x632BE59BD9B4E019, 0xE220A8397B1DCDAF, 0x9E6C63D0676A9A99], np.uint64)
+    return (mix(values.view(np.uint64)[:, None] + seeds) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _marked(batches):
+    """The filter's bytes that a task's values set, whole, as one row."""
+    marks, some = np.zeros(1 << FILTER_BITS, bool), False
+    for batch in batches:
+        marks[_bits(batch.column("th").to_numpy())] = True
+        some = True
+    if some:
+        packed = np.packbits(marks)
+        where = np.flatnonzero(packed)
+        yield pa.record_batch([pa.array(where), pa.array(packed[where].astype(np.int32))], names=["place", "bits"])
+
+
+def _sets(k: int, wanted) -> Callable:
     def whole(batches):
+        packed, seen = wanted.value, set()
         for batch in by_bytes(batches, "text"):
-            found = list(shingle_sets(batch, "text", k))
-            slots = [np.minimum(np.bincount((f & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS), 65535).astype(np.uint16) for f in found]
-            yield _rows(_SETS, [_signature(f) for f in found], [len(f) for f in found], [s.tobytes() for s in slots], [f.tobytes() for f in found])
+            place = _bits(batch.column("th").to_numpy())
+            hit = ((packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).all(axis=1)
+            keep = [i for i in np.flatnonzero(hit).tolist() if not ((th := batch.column("th")[i].as_py()) in seen or seen.add(th))]
+            if keep:
+                found = list(shingle_sets(batch.take(pa.array(keep)), "text", k))
+                yield _rows(_SETS, [_signature(f) for f in found], [len(f) for f in found], [f.tobytes() for f in found])
 
     return whole
 
@@ -183,21 +214,45 @@ def _compared(limit: Threshold, column: str, exact: bool) -> Callable:
                 if exact:
                     overlap = n + m - len(np.union1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)))
                 else:
-                    overlap = int(np.minimum(np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)).sum()) if max(n, m) < 65535 else min(n, m)
+                    overlap = int(np.minimum(np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)).sum()) if max(n, m) < _MOST else min(n, m)
                 keep.append(overlap >= limit.overlap(n, m))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return compare
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
-    """The pairs that are links: first by slot counts, the rest by the sets themselves."""
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    for column, exact in (("slots", False), ("elements", True)):
-        one = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col(column).alias(f"{column}_a"))
-        other = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col(column).alias(f"{column}_b"))
-        pairs = saved(pairs.join(one, "a").join(other, "b").mapInArrow(_compared(limit, column, exact), "a long, b long"), "pairs")
-    return pairs
+@dataclass(frozen=True)
+class _Corpus:
+    docs: DataFrame
+    rows: DataFrame
+    k: int
+    limit: Threshold
+
+    def sets(self, classes: DataFrame) -> DataFrame:
+        """The whole sets of some classes, from the texts that a filter of fixed size lets through."""
+        spark = self.docs.sparkSession
+        texts = self.rows.join(classes, "cls", "left_semi").select("th").distinct()
+        marks = texts.mapInArrow(_marked, "place long, bits int").groupBy("place").agg(F.bit_or("bits").alias("bits"))
+        packed = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+        for place, bits in marks.toLocalIterator():
+            packed[place] = bits
+        wanted = spark.sparkContext.broadcast(packed)
+        return saved(self.docs.mapInArrow(_sets(self.k, wanted), "cls long, n int, elements binary").join(classes, "cls", "left_semi"), "sets")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are links: by slot counts first; what these leave open, by the sets themselves."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for column in ("slots", "elements"):
+            classes = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+            if column == "slots":
+                known = self.rows.join(classes, "cls", "left_semi").groupBy("cls").agg(F.min("n").alias("n"), F.min("slots").alias("slots"))
+            else:
+                known = self.sets(classes)
+            one = known.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col(column).alias(f"{column}_a"))
+            other = known.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col(column).alias(f"{column}_b"))
+            compared = pairs.join(one, "a").join(other, "b").mapInArrow(_compared(self.limit, column, column == "elements"), "a long, b long")
+            pairs = saved(compared.distinct(), "pairs")
+        return pairs
 
 
 def _boundary(sizes: dict[int, int], limit: Threshold, scan_cost: float) -> int:
@@ -231,7 +286,7 @@ def jaccard_components(
     """
     spark, limit = docs.sparkSession, Threshold(num, den)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
-    measured = saved(docs.mapInArrow(_measured(k, sketch_bits), "row long, th long, n int, cls long, block int, counts binary"), "sizes")
+    measured = saved(docs.mapInArrow(_measured(k, sketch_bits), "row long, th long, n int, cls long, slots binary, block int, counts binary"), "sizes")
     rows = measured.filter("block is null")
     sums = measured.filter("block is not null").select("block", "counts").repartition(_SKETCH_ROWS, "block").mapInArrow(_summed, "block int, counts binary")
     counts = np.zeros((_SKETCH_ROWS, (1 << sketch_bits) // _SKETCH_ROWS), np.int32)
@@ -249,18 +304,14 @@ def jaccard_components(
     posts = saved(posts.filter(met).select("kind", "h", "cls", "n"), "posts")
     lists = posts.filter(F.col("kind") == _LIST)
 
-    wanted = rows.join(lists.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min(F.struct(F.col("row").isNull(), "row", "th")).alias("one"))
-    wanted = wanted.select(F.col("one.row").alias("id"), F.col("one.th").alias("th"))
-    texts = docs.join(wanted, docs.id.eqNullSafe(wanted.id) & (docs.th == wanted.th), "left_semi").select("text")
-    sets = saved(texts.mapInArrow(_sets(k), "cls long, n int, slots binary, elements binary").dropDuplicates(["cls"]), "sets")
-
+    corpus = _Corpus(docs, rows, k, limit)
     ends = posts.groupBy("kind", "h").agg(F.min(F.struct("n", "cls")).alias("low"), F.max(F.struct("n", "cls")).alias("high"))
     hung = posts.join(ends, ["kind", "h"])
     to_low = hung.select("kind", F.col("cls").alias("a"), F.col("low.cls").alias("b"), "n", F.col("low.n").alias("m")).filter("a != b")
     to_high = hung.filter((F.col("kind") == _OTHER) & (F.col("n") < F.col("high.n"))).select(F.col("cls").alias("a"), F.col("high.cls").alias("b"))
     stars = to_low.filter((F.col("kind") == _LIST) & (F.col("m") * den >= F.col("n") * num)).select("a", "b")
     subsets = to_low.filter((F.col("kind") == _SAME) | ((F.col("kind") == _OTHER) & (F.col("m") < F.col("n")))).select("a", "b").union(to_high)
-    found = saved(_linked(stars, sets, limit).union(subsets).distinct(), "edges")
+    found = saved(corpus.linked(stars).union(subsets).distinct(), "edges")
 
     labels = components(found)
     lists = lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
@@ -273,7 +324,7 @@ def jaccard_components(
     fits = (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.cls") < F.col("y.cls"))
     same = (F.col("x.h") == F.col("y.h")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
     pairs = x.join(y, same & fits & ((F.col("x.i") == F.col("x.j")) | (F.col("x.own") != F.col("y.own")))).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    labels = components(found.union(_linked(pairs, sets, limit)))
+    labels = components(found.union(corpus.linked(pairs)))
 
     classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("row").alias("low"))
     classes = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
