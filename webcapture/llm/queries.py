@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from checks.common import registry, table
 from pyspark.sql import functions as F
 from webcapture.llm.decontaminate import build_index, contamination, find_items
 from webcapture.llm.jaccard_join import jaccard_components
 from webcapture.llm.langid import identify
+from webcapture.llm.packing import pack_documents
 from webcapture.llm.suffix_dedup import remove_repeats
 
 QUERIES, ORACLES, query = registry()
@@ -59,3 +61,13 @@ def op6(spark, sf_dir):
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op4_token_counts")
+def op4(spark, sf_dir):
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+@query("op7_packing")
+def op7(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
