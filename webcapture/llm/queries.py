@@ -6,6 +6,7 @@ import public_tokenizers
 from checks.common import registry, table
 from pyspark.sql import functions as F
 from webcapture.llm.decontaminate import build_index, contamination, find_items
+from webcapture.llm.exact_topk import top_k
 from webcapture.llm.jaccard_join import jaccard_components
 from webcapture.llm.langid import identify
 from webcapture.llm.packing import pack_documents
@@ -31,6 +32,15 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN n_hit USING (k) LEFT JOIN items USING (k)
 """
 
+OP5_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 
 @query("op10_jaccard_join")
 def op10(spark, sf_dir):
@@ -71,3 +81,9 @@ def op4(spark, sf_dir):
 @query("op7_packing")
 def op7(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
+@query("op5_exact_topk", OP5_SQL)
+def op5(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
