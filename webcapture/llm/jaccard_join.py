@@ -23,11 +23,10 @@ from webcapture.llm.components import components
 
 WORD = np.ones(256, bool)
 WORD[[0x20, *range(0x09, 0x0E)]] = False
-#: Classes of hash values whose counts bound an overlap from above.
+#: Classes of hash values whose counts, up to 255, tell how far two sets differ at least.
 SLOTS = 128
-_MOST = 65535
-#: Rows of an inverted list that are paired within one group; longer lists are dealt to pairs of blocks.
-BLOCK = 256
+#: Members of an inverted list that are compared within one group: strays, and all members.
+STRAYS, MEMBERS = 256, 2048
 #: Size, as a power of two, of the filter that picks the texts whose sets are compared.
 FILTER_BITS = 24
 _SKETCH_ROWS = 64
@@ -46,6 +45,10 @@ class Threshold:
     def overlap(self, n: int, m: int) -> int:
         return -(-self.num * (n + m) // (self.num + self.den))
 
+    def close(self, n, m, apart):
+        """Whether sets that differ in at least ``apart`` elements may still reach the overlap."""
+        return (n + m - apart) * (self.num + self.den) >= 2 * self.num * (n + m)
+
     def partners(self, n: int) -> range:
         return range(-(-self.num * n // self.den), self.den * n // self.num + 1)
 
@@ -84,7 +87,7 @@ def _signature(elements: np.ndarray) -> int:
 
 def _slots(elements: np.ndarray) -> bytes:
     counts = np.bincount((elements & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
-    return np.minimum(counts, _MOST).astype(np.uint16).tobytes()
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def _rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -212,10 +215,10 @@ def _compared(limit: Threshold, column: str, exact: bool) -> Callable:
             keep = []
             for (n, m), (a, b) in zip(sizes, both, strict=True):
                 if exact:
-                    overlap = n + m - len(np.union1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)))
+                    keep.append(n + m - len(np.union1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))) >= limit.overlap(n, m))
                 else:
-                    overlap = int(np.minimum(np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)).sum()) if max(n, m) < _MOST else min(n, m)
-                keep.append(overlap >= limit.overlap(n, m))
+                    apart = np.abs(np.frombuffer(a, np.uint8).astype(np.int16) - np.frombuffer(b, np.uint8)).sum()
+                    keep.append(bool(limit.close(n, m, int(apart))))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return compare
@@ -255,6 +258,72 @@ class _Corpus:
         return pairs
 
 
+def _across(lists: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
+    """Lists with several components, dealt so that members of different ones meet in groups of bounded size.
+
+    The members outside a list's largest component (its strays) are dealt to blocks, and all members to larger
+    blocks; a group is one block of strays and one of members. So the largest component of a list is only
+    compared with the strays, never with itself.
+    """
+    lists = lists.join(labels, "cls", "left").select("h", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+    counts = lists.groupBy("h", "comp").agg(F.count("*").alias("own")).groupBy("h")
+    counts = counts.agg(F.sum("own").alias("all"), F.max(F.struct("own", "comp")).alias("top")).filter("all > top.own")
+    blocks = [F.ceil((F.col("all") - F.col("top.own")) / STRAYS).cast("int").alias("stray_blocks"), F.ceil(F.col("all") / MEMBERS).cast("int").alias("member_blocks")]
+    lists = lists.join(counts.select("h", F.col("top.comp").alias("top"), *blocks), "h").withColumn("stray", F.col("comp") != F.col("top"))
+    lists = lists.withColumn("i", F.pmod(F.xxhash64("cls", F.lit(1)), "stray_blocks").cast("int")).withColumn("j", F.pmod(F.xxhash64("cls", F.lit(2)), "member_blocks").cast("int"))
+    as_member = F.transform(F.sequence(F.lit(0), F.col("stray_blocks") - 1), lambda i: F.struct(i.alias("i"), F.col("j").alias("j")))
+    as_stray = F.transform(F.sequence(F.lit(0), F.col("member_blocks") - 1), lambda j: F.struct(F.col("i").alias("i"), j.alias("j")))
+    places = F.when(F.col("stray"), F.array_union(as_member, as_stray)).otherwise(as_member)
+    slots = rows.join(lists.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("slots").alias("slots"))
+    dealt = lists.join(slots, "cls").withColumn("at", F.explode(places))
+    left, right = F.col("stray") & (F.col("at.i") == F.col("i")), F.col("at.j") == F.col("j")
+    dealt = dealt.select(F.xxhash64("h", "at.i", "at.j").alias("grp"), left.alias("left"), right.alias("right"), "stray", "cls", "n", "comp", "slots")
+    return dealt.repartition("grp").sortWithinPartitions("grp")
+
+
+def _met(limit: Threshold) -> Callable:
+    """Pairs of a stray and another member in different components whose sizes and slot counts fit."""
+
+    def meet(batches):
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if rest is not None:
+                batch = pa.concat_batches([rest, batch])
+            group = batch.column("grp").to_numpy()
+            cut = int(np.searchsorted(group, group[-1]))  # the last group may go on in the next batch
+            rest = batch.slice(cut)
+            if cut:
+                yield pairs(batch.slice(0, cut))
+        if rest is not None:
+            yield pairs(rest)
+
+    def pairs(batch):
+        group, cls, size, comp = (batch.column(name).to_numpy() for name in ("grp", "cls", "n", "comp"))
+        left, right, stray = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("left", "right", "stray"))
+        slots = np.frombuffer(b"".join(batch.column("slots").to_pylist()), np.uint8).reshape(-1, SLOTS)
+        begin, end = np.searchsorted(group, group), np.searchsorted(group, group, "right")
+        found: list[list] = [[], []]
+        strays = np.flatnonzero(left)
+        for some in np.split(strays, np.flatnonzero(np.diff(np.cumsum((end - begin)[strays]) // 200_000)) + 1):
+            count = end[some] - begin[some]
+            one = np.repeat(some, count)
+            other = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - begin[some], count)
+            fit = right[other] & (comp[one] != comp[other]) & (~stray[other] | (cls[one] < cls[other]))
+            fit &= np.minimum(size[one], size[other]).astype(np.int64) * limit.den >= np.maximum(size[one], size[other]).astype(np.int64) * limit.num
+            one, other = one[fit], other[fit]
+            apart = np.abs(slots[one].astype(np.int16) - slots[other]).sum(axis=1, dtype=np.int64)
+            fit = limit.close(size[one].astype(np.int64), size[other].astype(np.int64), apart)
+            found[0].append(cls[one[fit]])
+            found[1].append(cls[other[fit]])
+        columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in found]
+        keep = np.unique(np.stack(columns, axis=1), axis=0)
+        return pa.record_batch([pa.array(keep[:, 0].copy()), pa.array(keep[:, 1].copy())], names=["a", "b"])
+
+    return meet
+
+
 def _boundary(sizes: dict[int, int], limit: Threshold, scan_cost: float) -> int:
     """The size up to which enumerating subsets and scanning lists for the rest cost least together."""
 
@@ -314,16 +383,7 @@ def jaccard_components(
     found = saved(corpus.linked(stars).union(subsets).distinct(), "edges")
 
     labels = components(found)
-    lists = lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
-    open_lists = lists.groupBy("h").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    lists = lists.join(open_lists.select("h", blocks.alias("blocks")), "h").withColumn("own", F.pmod(F.xxhash64("cls", F.lit(1)), "blocks").cast("int"))
-    lists = lists.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    lists = lists.select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "n", "comp")
-    x, y = lists.alias("x"), lists.alias("y")
-    fits = (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.cls") < F.col("y.cls"))
-    same = (F.col("x.h") == F.col("y.h")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
-    pairs = x.join(y, same & fits & ((F.col("x.i") == F.col("x.j")) | (F.col("x.own") != F.col("y.own")))).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+    pairs = _across(lists, labels.withColumnRenamed("node", "cls"), rows).mapInArrow(_met(limit), "a long, b long")
     labels = components(found.union(corpus.linked(pairs)))
 
     classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("row").alias("low"))
