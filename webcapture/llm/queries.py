@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from checks.common import registry, table
 from pyspark.sql import functions as F
+from webcapture.llm import warc
+from webcapture.llm.chat_format import conversation_digests, format_chats
 from webcapture.llm.decontaminate import build_index, contamination, find_items
 from webcapture.llm.exact_topk import top_k
 from webcapture.llm.jaccard_join import jaccard_components
@@ -41,6 +43,26 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP1_SQL = """
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, t, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length(replace(role, '%', '%25')) + length(text) + 24
+        + len(regexp_extract_all(text, '<\\\\*\\|im_(?:start|end)\\|>'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first < page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (digest)
+"""
+
 
 @query("op10_jaccard_join")
 def op10(spark, sf_dir):
@@ -87,3 +109,20 @@ def op7(spark, sf_dir):
 def op5(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+@query("op1_chat_format", OP1_SQL)
+def op1(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], turns.schema)
+    return conversation_digests(format_chats(turns.union(own)))
+
+
+@query("op2_warc", OP2_SQL)
+def op2(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    index = warc.build_index(warc.write_archives(pages))
+    found = warc.look_up(index, pages.select(warc.url_key(F.col("url")).alias("key")))
+    records = warc.read_records(found, with_payload=False)
+    return records.select(F.col("page").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
