@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Bytes of text that a task turns into numpy arrays at once; a longer text is one batch of its own.
 BATCH_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: A second base, for a second hash that is independent of the first.
+OTHER_BASE = 0xC2B2AE3D27D4EB4F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -75,21 +76,21 @@ def mix(value: np.ndarray) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     def powers(base: int) -> np.ndarray:
         steps = np.full(size, base, np.uint64)
         steps[0] = 1
         return np.cumprod(steps, dtype=np.uint64)
 
-    return powers(_BASE), powers(_INVERSE)
+    return powers(base), powers(pow(base, -1, 1 << 64))
 
 
 class Hasher:
     """Hashes of byte ranges of one array, by differences of a running polynomial sum."""
 
-    def __init__(self, data: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, base: int = _BASE) -> None:
         size = 1 << max(21, int(len(data)).bit_length())
-        power, self._inverse = _powers(size)
+        power, self._inverse = _powers(size, base)
         self._sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self._sums[1:])
 
@@ -114,3 +115,52 @@ def word_places(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> t
     after[offsets[1:][full] - 1] = False
     starts = np.flatnonzero(inside & ~before)
     return starts, np.flatnonzero(inside & ~after) + 1, np.searchsorted(starts, offsets)
+
+
+class BitFilter:
+    """A filter of fixed size for 64-bit values: lets through all that were put in, and few others."""
+
+    BLOCKS = 64
+
+    def __init__(self, bits: int, packed: np.ndarray) -> None:
+        self.bits, self.packed = bits, packed
+
+    @staticmethod
+    def places(values: np.ndarray, bits: int) -> np.ndarray:
+        seeds = np.array([0x632BE59BD9B4E019, 0xE220A8397B1DCDAF, 0x9E6C63D0676A9A99], np.uint64)
+        return (mix(values.view(np.uint64)[:, None] + seeds) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def __contains__(self, value: int) -> bool:
+        return bool(self.lets(np.array([value], np.int64))[0])
+
+    def lets(self, values: np.ndarray) -> np.ndarray:
+        place = self.places(values, self.bits)
+        return ((self.packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).all(axis=1)
+
+    @classmethod
+    def of(cls, values: DataFrame, bits: int) -> BitFilter:
+        """The filter of a column of longs. Tasks send blocks of bits, which are joined as they stream by."""
+        schema = pa.schema([("block", pa.int32()), ("marks", pa.binary())])
+
+        def rows(blocks: dict[int, np.ndarray]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(list(blocks), pa.int32()), pa.array([b.tobytes() for b in blocks.values()], pa.binary())], schema=schema)
+
+        def mark(batches):
+            marks = np.zeros(1 << bits, bool)
+            for batch in batches:
+                marks[cls.places(batch.column(0).to_numpy(), bits)] = True
+            yield rows({k: part for k, part in enumerate(np.packbits(marks).reshape(cls.BLOCKS, -1)) if part.any()})
+
+        def join(batches):
+            blocks: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for block, marks in zip(batch.column("block").to_pylist(), batch.column("marks").to_pylist(), strict=True):
+                    marks = np.frombuffer(marks, np.uint8)
+                    blocks[block] = blocks[block] | marks if block in blocks else marks
+            yield rows(blocks)
+
+        packed = np.zeros((cls.BLOCKS, (1 << bits) // 8 // cls.BLOCKS), np.uint8)
+        marked = values.mapInArrow(mark, "block int, marks binary").repartition(cls.BLOCKS, "block").mapInArrow(join, "block int, marks binary")
+        for block, marks in marked.collect():
+            packed[block] = np.frombuffer(marks, np.uint8)
+        return cls(bits, packed.reshape(-1))

@@ -12,6 +12,7 @@ from webcapture.llm.exact_topk import top_k
 from webcapture.llm.jaccard_join import jaccard_components
 from webcapture.llm.langid import identify
 from webcapture.llm.packing import pack_documents
+from webcapture.llm.sentence_spans import remove_repeated_sentences
 from webcapture.llm.suffix_dedup import remove_repeats
 
 QUERIES, ORACLES, query = registry()
@@ -63,6 +64,19 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN first <
 FROM d LEFT JOIN f USING (digest)
 """
 
+OP9_SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\\n]*[.!?\\n]+\\s*|[^.!?\\n]+') AS s FROM documents),
+runs AS (SELECT k, doc_id, i, sha256(regexp_replace(array_to_string(s[i:i + 2], ''), '\\s+$', '')) AS h
+    FROM (SELECT k, doc_id, s, unnest(generate_series(1, greatest(len(s) - 2, 1))) AS i FROM d WHERE len(s) > 0)),
+again AS (SELECT k, i FROM (SELECT k, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM runs) WHERE n > 1),
+gone AS (SELECT DISTINCT k, unnest(generate_series(i, least(i + 2, len(s)))) AS p FROM again JOIN d USING (k)),
+sentences AS (SELECT k, unnest(generate_series(1, len(s))) AS p, unnest(s) AS t FROM d),
+kept AS (SELECT k, string_agg(t, '' ORDER BY p) AS kept FROM sentences ANTI JOIN gone USING (k, p) GROUP BY k),
+n AS (SELECT k, count(*) AS n FROM gone GROUP BY k)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (k) LEFT JOIN n USING (k)
+"""
+
 
 @query("op10_jaccard_join")
 def op10(spark, sf_dir):
@@ -126,3 +140,9 @@ def op2(spark, sf_dir):
     found = warc.look_up(index, pages.select(warc.url_key(F.col("url")).alias("key")))
     records = warc.read_records(found, with_payload=False)
     return records.select(F.col("page").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+@query("op9_sentence_spans", OP9_SQL)
+def op9(spark, sf_dir):
+    found = remove_repeated_sentences(table(spark, sf_dir, "documents"), span=3)
+    return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

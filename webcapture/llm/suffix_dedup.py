@@ -236,40 +236,51 @@ def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("th") == F.col("wanted_th"))).select("id", "th", "text", "ranges")
 
 
-def _removed(batches):
-    schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
-    for batch in by_bytes(batches, "text"):
-        rows = []
-        for i, text, spans in zip(*(batch.column(name).to_pylist() for name in ("id", "text", "spans")), strict=True):
-            raw = (text or "").encode()
-            kept, at, runs, removed = [], 0, 0, 0
-            for begin, end in sorted((s["begin"], s["end"]) for s in spans or ()):
-                if end <= at:
-                    continue
-                if begin > at or not runs:
-                    kept.append(raw[at:begin])
-                    runs, removed, at = runs + 1, removed + end - begin, end
-                else:
-                    removed, at = removed + end - at, end
-            kept.append(raw[at:])
-            rows.append((i, len(raw), removed, runs, b"".join(kept)))
-        yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 128, most: int = MOST_CONTEXTS) -> DataFrame:
+def _removed(carried: int, as_text: bool) -> Callable:
+    schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string() if as_text else pa.binary())])
+
+    def remove(batches):
+        for batch in by_bytes(batches, "text"):
+            rows = []
+            for i, text, spans in zip(*(batch.column(name).to_pylist() for name in ("id", "text", "spans")), strict=True):
+                raw = (text or "").encode()
+                kept, at, runs, removed = [], 0, 0, 0
+                for begin, end in sorted((s["begin"], s["end"]) for s in spans or ()):
+                    if end <= at:
+                        continue
+                    if begin > at or not runs:
+                        kept.append(raw[at:begin])
+                        runs, removed, at = runs + 1, removed + end - begin, end
+                    else:
+                        removed, at = removed + end - at, end
+                kept.append(raw[at:])
+                left = b"".join(kept)
+                rows.append((i, len(raw), removed, runs, left.decode(errors="ignore") if as_text else left))
+            columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)]
+            own = [f"carried_{k}" for k in range(carried)]
+            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(n) for n in own)], names=[*schema.names, *own])
+
+    return remove
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 128, most: int = MOST_CONTEXTS, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """A row per document: its id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes that stay.
 
     A byte goes if a ``length``-byte string that covers it starts anywhere else too, in this text or another;
     strings are judged on the input, and overlapping places count. Texts are UTF-8, never cut, null counts as
     empty; texts shorter than ``length`` stay whole. Rows that repeat an id or a text are separate places.
-    Ids are 64-bit integers or null; other columns are ignored; an empty table gives an empty result.
+    Ids are 64-bit integers or null; an empty table gives an empty result. Columns named in ``carry`` come along,
+    others are ignored. With ``as_text`` the kept bytes are text again, without the rest of any character that
+    a cut has parted.
 
     ``gram`` is the size of an anchor: small ones are fewer, large ones shared by fewer texts. Contexts of an
     anchor beyond ``most`` distinct ones are parted by longer anchors, at last by the whole string.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"), *(F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)))
     spans = repeated_spans(docs, length, gram, most).groupBy("id", "th").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     spans = spans.select(F.col("id").alias("span_id"), F.col("th").alias("span_th"), "spans")
     whole = docs.join(spans, F.col("id").eqNullSafe(F.col("span_id")) & (F.col("th") == F.col("span_th")), "left")
-    kept = whole.select("id", "text", "spans").mapInArrow(_removed, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return kept.withColumnRenamed("id", id_col)
+    own = [f"carried_{k}" for k in range(len(carry))]
+    schema = f"id long, n_bytes long, n_removed long, n_spans long, kept {"string" if as_text else "binary"}" + "".join(f", {k} {docs.schema[k].dataType.simpleString()}" for k in own)
+    kept = whole.select("id", "text", "spans", *own).mapInArrow(_removed(len(carry), as_text), schema)
+    return kept.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", *(F.col(k).alias(c) for k, c in zip(own, carry, strict=True)))
