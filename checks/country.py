@@ -143,12 +143,12 @@ def _shared_aliases(spark, sf):
 
 @query("alias_conflicts", f"SELECT key, array_to_string(codes, ',') AS codes FROM ({_CONFLICTS}) ORDER BY key LIMIT 50")
 def _(spark, sf):
-    return alias_conflicts(_shared_aliases(spark, sf)).withColumn("codes", F.array_join("codes", ","))
+    return alias_conflicts(_shared_aliases(spark, sf), limit=50).withColumn("codes", F.array_join("codes", ","))
 
 
 @query("alias_conflicts_all", f"SELECT key, array_to_string(codes, ',') AS codes FROM ({_CONFLICTS})")
 def _(spark, sf):
-    return alias_conflicts(_shared_aliases(spark, sf), limit=None).withColumn("codes", F.array_join("codes", ","))
+    return alias_conflicts(_shared_aliases(spark, sf)).withColumn("codes", F.array_join("codes", ","))
 
 
 @query("conflict_remainder", f"SELECT greatest(count(*) - 50, 0) AS more FROM ({_CONFLICTS})")

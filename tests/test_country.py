@@ -131,7 +131,8 @@ def test_audit(spark):
 def test_conflict_report_limit(spark):
     names = [(f"n{i}", code) for i in range(60) for code in ("BB", "AA")]
     aliases = spark.createDataFrame(names, "alias string, code string")
-    shown = alias_conflicts(aliases).collect()
+    assert alias_conflicts(aliases).count() == 60
+    shown = alias_conflicts(aliases, limit=50).collect()
     assert len(shown) == 50 and shown[0].key == "n0" and shown[0].codes == ["AA", "BB"]
     assert conflict_remainder(aliases).first().more == 10
     assert alias_conflicts(aliases, limit=None).count() == 60

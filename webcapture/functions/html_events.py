@@ -9,6 +9,7 @@ metadata) is built by Column expressions in ``webcapture.operators.pages``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 from itertools import accumulate
 
@@ -50,8 +51,8 @@ TABLE_PARTS = {"caption", "table", "tbody", "tfoot", "thead", "tr"}
 LISTS = {"ul", "ol", "menu"}
 # Elements that carry state for the events inside them.
 STATEFUL = LISTS | {"blockquote", "li", "pre", "table", "td", "th", "tr"}
-# Browsers flatten deeper nesting too.
-MAX_DEPTH = 512
+# Levels of quotes and lists that a Markdown line shows; deeper ones lose the prefix, never the content.
+MAX_PREFIX = 100
 # Attributes carried by the events: (value, second value) per tag.
 CARRIED = {
     "a": ("href", "title"),
@@ -85,7 +86,7 @@ _FIELDS = [
     ("alt", "string", pa.string()),
     ("quote", "int", pa.int32()),
     ("indent", "int", pa.int32()),
-    ("n", "int", pa.int32()),
+    ("n", "bigint", pa.int64()),
     ("pre", "boolean", pa.bool_()),
     ("cell", "boolean", pa.bool_()),
     ("keep", "boolean", pa.bool_()),
@@ -181,7 +182,10 @@ class _Page:
         self.has_chains = any(r.chains for r in in_use)
         self.always = self.has_chains or any(r.any or r.universal for r in in_use)
         self.stack: list[_Open] = []
-        self.open_count: dict[str, int] = {}
+        # Stack positions of the open elements: by tag, of blocks, and of those that hold end tags in.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
         self.spans: tuple[list, list] = ([], [])
         self.quote = self.pre = self.cell = 0
         self.lists: list[list] = []
@@ -195,8 +199,8 @@ class _Page:
                 raw if self.with_raw else None,
                 val,
                 alt,
-                self.quote,
-                len(self.lists) if indent is None else indent,
+                min(self.quote, MAX_PREFIX),
+                min(len(self.lists) if indent is None else indent, MAX_PREFIX),
                 n,
                 self.pre > 0,
                 self.cell > 0,
@@ -213,7 +217,11 @@ class _Page:
     def leave(self, raw):
         el = self.stack.pop()
         tag = el.tag
-        self.open_count[tag] -= 1
+        self.places[tag].pop()
+        if tag in BLOCK:
+            self.blocks.pop()
+        if tag in END_SCOPE:
+            self.scopes.pop()
         n = 0
         if tag in STATEFUL:
             if tag in LISTS:
@@ -249,21 +257,14 @@ class _Page:
         parent.inside = compounds if parent.inside is None else parent.inside | compounds
 
     def end_implied(self, tag):
+        places = self.places
         for ends, scope in ENDERS[tag]:
-            for t in ends:
-                if self.open_count.get(t):
-                    break
-            else:
+            if not any(places.get(t) for t in ends):
                 continue
-            cut = None
-            for at in range(len(self.stack) - 1, -1, -1):
-                here = self.stack[at].tag
-                if here in scope:
-                    break
-                if here in ends:
-                    cut = at
-            if cut is not None:
-                self.close_from(cut)
+            edge = max((places[t][-1] for t in scope if places.get(t)), default=-1)
+            open_ = [places[t] for t in ends if places.get(t) and places[t][-1] > edge]
+            if open_:
+                self.close_from(min(own[bisect_right(own, edge)] for own in open_))
 
     def apply_rules(self, el):
         """Record what the selectors say of an element that is about to open."""
@@ -312,20 +313,23 @@ class _Page:
                 if tag == "meta" and alt is None:
                     alt = attrs.get("property")
             self.emit("open", tag, raw, val, alt, n, indent)
-        if tag in VOID or len(self.stack) >= MAX_DEPTH:
-            if tag == "pre":
-                self.pre -= 1
+        if tag in VOID:
             if el.hit is not None:
                 for which in self.lists_in_use:
                     if el.hit[which]:
                         self.spans[which].append((el.first, len(self.out)))
             return
+        at = len(self.stack)
         self.stack.append(el)
-        self.open_count[tag] = self.open_count.get(tag, 0) + 1
+        self.places.setdefault(tag, []).append(at)
+        if tag in BLOCK:
+            self.blocks.append(at)
+        if tag in END_SCOPE:
+            self.scopes.append(at)
         if tag in STATEFUL:
             if tag in LISTS:
                 start = attrs.get("start", "")
-                first_n = int(start) if re.fullmatch(r"[0-9]{1,9}", start) else 1
+                first_n = int(start) if re.fullmatch(r"[0-9]{1,18}", start) else 1
                 # Step and next number; bullets stay at 0.
                 self.lists.append([1, first_n] if tag == "ol" else [0, 0])
             elif tag == "blockquote":
@@ -337,15 +341,13 @@ class _Page:
                 self.cell += 1
 
     def end(self, tag, raw):
-        if self.open_count.get(tag):
-            inline = tag not in BLOCK
-            for at in range(len(self.stack) - 1, -1, -1):
-                here = self.stack[at].tag
-                if here == tag:
-                    return self.close_from(at, raw)
-                # A stray inline end tag does not end the blocks opened after it, nor any a table cell.
-                if (inline and here in BLOCK) or (here in END_SCOPE and tag not in TABLE_PARTS):
-                    break
+        if self.places.get(tag):
+            at = self.places[tag][-1]
+            # A stray inline end tag does not end the blocks opened after it, nor any a table cell.
+            behind_block = tag not in BLOCK and self.blocks and self.blocks[-1] > at
+            behind_cell = tag not in TABLE_PARTS and self.scopes and self.scopes[-1] > at
+            if not behind_block and not behind_cell:
+                return self.close_from(at, raw)
         if self.with_raw:
             self.emit("other", tag, raw)
 

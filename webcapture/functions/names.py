@@ -24,7 +24,9 @@ def _nfkd(s: pd.Series) -> pd.Series:
 
 def nfkd(c) -> Column:
     """Unicode compatibility decomposition."""
-    return _nfkd(_col(c))
+    c = _col(c)
+    # Only text beyond ASCII goes to Python.
+    return F.coalesce(_nfkd(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 
 def normalize_name(c) -> Column:
@@ -40,7 +42,7 @@ def _case_changing_letters() -> str:
         folded = unicodedata.normalize("NFKD", s)
         return "".join(ch for ch in folded if unicodedata.category(ch) != "Mn").lower()
 
-    letters = (chr(i) for i in range(0x80, 0x10000) if not 0xD800 <= i < 0xE000)
+    letters = (chr(i) for i in range(0x80, 0x110000) if not 0xD800 <= i < 0xE000)
     # The lower case of a sigma depends on its place in the word.
     return "".join(c for c in letters if key(c.upper()) != key(c)) + "Σσς"
 

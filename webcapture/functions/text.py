@@ -66,10 +66,20 @@ def text_window(c, max_chars, start=0) -> Column:
 
 
 def strip_base64_images(c) -> Column:
-    """Drop inline base64 image payloads; the alt text around them stays."""
-    return F.regexp_replace(
-        _col(c), r"""data:image/[^;,\s()"']*+(?:;[^;,\s()"']*+)*?;base64,[A-Za-z0-9+/=_-]*+""", ""
-    )
+    """Drop inline base64 image payloads; the alt text around them stays.
+
+    Every place that begins a payload is looked at by itself: a repeated group in one pattern over the
+    whole text would recurse as often as it repeats, and a hostile page would overflow the stack.
+    """
+    begin, payload = "data:image/", r"""\A[^,\s()"']*+(?<=;base64),[A-Za-z0-9+/=_-]*+"""
+
+    def without(parts):
+        def rest(part):
+            return F.when(part.rlike(payload), F.regexp_replace(part, payload, "")).otherwise(F.concat(F.lit(begin), part))
+
+        return F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), rest), ""))
+
+    return bind(F.split(_col(c), begin, -1), without)
 
 
 def stable_unique(arr) -> Column:

@@ -42,12 +42,6 @@ def build_alias_index(aliases: DataFrame) -> DataFrame:
     return _alias_keys(aliases).groupBy("key").agg(F.min("code").alias("code"))
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """Hash of the plain columns of a row, the same whenever a task runs again."""
-    nested = (T.MapType, T.VariantType, T.ArrayType, T.StructType)
-    return F.xxhash64(*[f.name for f in df.schema if not isinstance(f.dataType, nested)])
-
-
 def resolve_country(
     df: DataFrame, col: str, alias_index: DataFrame, default: str = "US", salts: int = 1
 ) -> DataFrame:
@@ -58,14 +52,16 @@ def resolve_country(
 
     No broadcast is forced: Spark broadcasts the index while its size allows that, and no row moves.
     Beyond, rows are shuffled by name; then ``salts`` splits the rows of a frequent name into so many
-    parts, against as many copies of the index. Rows without a key to look up are spread by their hash.
+    parts, against as many copies of the index. Rows are told apart by their place in the input, so equal rows
+    are split like any others, and rows without a key to look up are spread.
     """
     name = strip(col)
-    keyed = df.withColumn("_hash", _row_hash(df)).withColumn("_name", name)
+    # The place only balances: which part a row joins in does not change what it finds.
+    keyed = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_name", name)
     keyed = keyed.withColumn("_key", normalize_name("_name")).withColumn("_upper", upper_case_key("_name"))
     # A normalised name holds no "#", so these keys match nothing.
-    nowhere = F.concat(F.lit("#"), F.pmod("_hash", F.lit(4096)).cast("string"))
-    salt = F.pmod("_hash", F.lit(salts)).cast("int")
+    nowhere = F.concat(F.lit("#"), F.pmod("_row", F.lit(4096)).cast("string"))
+    salt = F.pmod("_row", F.lit(salts)).cast("int")
     keyed = keyed.select(
         "*",
         F.when(F.col("_key") != "", F.col("_key")).otherwise(nowhere).alias("_first"),
@@ -125,10 +121,10 @@ def alias_type_issues(entries: DataFrame) -> DataFrame:
     return entries.select("code", F.explode(issues).alias("i")).select("code", "i.issue", "i.value")
 
 
-def alias_conflicts(aliases: DataFrame, limit: int | None = 50) -> DataFrame:
+def alias_conflicts(aliases: DataFrame, limit: int | None = None) -> DataFrame:
     """Normalised keys that lead to several codes, with the sorted codes, in order of the key.
 
-    The list of a key is bounded by the number of country codes. The limit is that of the report; see
+    The list of a key is bounded by the number of country codes. A report may ask for a limit; see
     ``conflict_remainder`` for what it leaves out.
     """
     # Distinct pairs first, so that a key repeated all over the table arrives once per code.

@@ -146,7 +146,7 @@ def _settle(skeleton: Column) -> Column:
     steps = (
         # White space moves out of emphasis; emphasis around nothing vanishes.
         (f"{at_run}([{any_break}]+)([{closers}]+)", "$2$1"),
-        (f"([{openers}]+)([{any_break}]+)", "$2$1"),
+        (f"(?<![{openers}])([{openers}]++)([{any_break}]+)", "$2$1"),
         (f"{_STRONG}{_STRONG_END}|{_EM}{_EM_END}", ""),
         (f"{_STRONG}{_STRONG_END}|{_EM}{_EM_END}", ""),
         (f"{_MARKER_END}[{any_break}]*", ""),

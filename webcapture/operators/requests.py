@@ -15,13 +15,16 @@ from webcapture.functions.text import _col, bind, strip
 # Extensions of documents that can be parsed, result limits, longest timeout in seconds.
 DOCUMENT_EXTENSIONS = (".html", ".htm", ".pdf", ".docx", ".doc", ".odt", ".rtf", ".xlsx", ".xls")
 MAX_RESULTS = {"search": 100, "scholar": 500}
+DEFAULT_RESULTS = 20
 MAX_TIMEOUT_S = 9223372036
+# Groups in which top papers are first cut to k.
+_BUCKETS = 256
 
 
 def clamp_limit(c) -> Column:
     """Keep 1 to 100, else 20."""
     c = _col(c)
-    return F.when(c.between(1, 100), c).otherwise(F.lit(20))
+    return F.when(c.between(1, 100), c).otherwise(F.lit(DEFAULT_RESULTS))
 
 
 def file_extension(c) -> Column:
@@ -166,7 +169,9 @@ def fresh_captures(
     oldest = as_of - F.expr(f"make_dt_interval(0, 0, 0, {max_age_ms / 1000:.3f})")
     in_time = (F.col(ts) >= oldest) & (F.col(ts) <= as_of)
     rest = [c for c in df.columns if c != key]
-    order = F.struct(ts, *([tie] if tie else []))
+    # A total order: of captures with the newest time (and ``tie``), the one with the largest hash.
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = F.struct(ts, *([tie] if tie else []), F.xxhash64(*plain))
     newest = df.filter(in_time).groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_newest"))
     fresh = newest.select(key, *[F.col("_newest")[c].alias(c) for c in rest])
     any_fresh = df.groupBy(key).agg(F.max(F.when(in_time, 1).otherwise(0)).alias("_fresh"))
@@ -176,10 +181,11 @@ def fresh_captures(
 def limit_per_request(df: DataFrame, n_col, pos: str = "pos") -> DataFrame:
     """First results of every request and kind.
 
-    ``pos`` counts from 0 within a response and kind without gaps, so the limit is a plain filter.
+    ``pos`` counts from 0 within a response and kind without gaps, so the limit is a plain filter. A null
+    limit is the default of ``DEFAULT_RESULTS``; a limit below 1 leaves nothing.
     """
-    limit = n_col if isinstance(n_col, (Column, int)) else F.col(n_col)
-    return df.filter(F.col(pos) < limit)
+    limit = n_col if isinstance(n_col, Column) else F.lit(n_col) if isinstance(n_col, int) else F.col(n_col)
+    return df.filter(F.col(pos) < F.coalesce(limit, F.lit(DEFAULT_RESULTS)))
 
 
 def top_papers(
@@ -187,12 +193,16 @@ def top_papers(
 ) -> DataFrame:
     """The k best by score, then id; per ``partition`` when one is given.
 
-    Both forms keep at most k rows per map task (and key) before any shuffle.
+    Both forms keep at most k rows per map task (and key) before any shuffle. Without ``partition`` the
+    rows of all tasks are first cut to k in each of ``_BUCKETS`` groups, so that no task sees k of every task.
     """
     if not 1 <= k <= MAX_RESULTS["scholar"]:
         raise ValueError("k must be from 1 to 500")
     order = [F.col(score).desc_nulls_last(), F.col(tie).asc()]
     if partition is None:
-        return df.orderBy(*order).limit(k)
+        bucket = F.pmod(F.xxhash64(tie), F.lit(_BUCKETS))
+        rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+        best = df.withColumn("_bucket", bucket).withColumn("_rank", rank).filter(F.col("_rank") <= k)
+        return best.drop("_bucket", "_rank").orderBy(*order).limit(k)
     rank = F.row_number().over(Window.partitionBy(partition).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")

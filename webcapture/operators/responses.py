@@ -17,6 +17,8 @@ from webcapture.functions.variant import (
     truthy,
 )
 
+# Bytes of text beyond which Spark cannot hold the parsed value.
+VARIANT_BYTES = 128 << 20
 # The members kept of an item of each kind, and where its list lies.
 ITEM_FIELDS = {
     "web": ("title", "description", "url"),
@@ -121,7 +123,9 @@ def _meta(name: str, as_type: str = "string") -> Column:
 
 
 def _success() -> Column:
-    return pick("v", "success", as_type="boolean").alias("success")
+    """True, false or null as the JSON has it; any other type is null."""
+    value = F.try_variant_get("v", "$.success", "variant")
+    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean")).alias("success")
 
 
 def scrape_records(df: DataFrame, strict: bool = False, repair: bool = True) -> DataFrame:
@@ -184,6 +188,7 @@ def classify(df: DataFrame, kind: str = "scrape", status_col: str | None = None)
         chain.append((~F.col(status_col).between(200, 299), "http_error"))
     chain += [
         (raw.isNull() | ~raw.rlike(r"[^\s\x1c-\x1f\x85\p{Z}]") | F.is_variant_null(v), "empty"),
+        (v.isNull() & (F.octet_length(raw) > VARIANT_BYTES), "too_large"),
         (v.isNull(), "unparseable"),
         (~is_object(v), "malformed"),
         (truthy(v, "error"), "error"),
@@ -203,6 +208,7 @@ def _message() -> Column:
     fixed = (
         F.when(outcome == "empty", "response is empty")
         .when(outcome == "unparseable", "response is not JSON")
+        .when(outcome == "too_large", "response is larger than a parsed value may be")
         .when(outcome == "malformed", "response is not an object")
         .when(outcome == "missing_data", "response is missing data object")
     )

@@ -25,8 +25,10 @@ def text_lines(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def grep_lines(df: DataFrame, pattern: str, key: str, text: str = "text") -> DataFrame:
-    """Lines that match a regular expression."""
-    return text_lines(df, key, text).filter(F.col("line").rlike(pattern))
+    """Lines that match a regular expression; only those become rows."""
+    numbered = F.transform(_lines(text), lambda line, i: F.struct((i + 1).alias("line_no"), line.alias("line")))
+    hits = df.select(key, F.explode(F.filter(numbered, lambda x: x["line"].rlike(pattern))).alias("_hit"))
+    return hits.select(key, "_hit.line_no", "_hit.line")
 
 
 def read_lines(df: DataFrame, start: int, end: int, key: str, text: str = "text") -> DataFrame:
@@ -83,7 +85,11 @@ def keyword_hits(df: DataFrame, keywords, key: str, text: str = "text") -> DataF
 
 def keyword_ranking(df: DataFrame, keywords, key: str, text: str = "text") -> DataFrame:
     """Documents with any hit, total hits and number of keywords found, best first."""
-    counts = [F.regexp_count(F.col(text), F.lit(k)) for k in keywords]
-    found = [F.when(c > 0, F.lit(1)).otherwise(F.lit(0)) for c in counts]
-    ranked = df.select(key, sum(counts, F.lit(0)).alias("hits"), sum(found, F.lit(0)).alias("n_keywords"))
+    counts = F.array(*[F.regexp_count(F.col(text), F.lit(k)) for k in keywords])
+
+    def totals(found):
+        return F.struct(F.aggregate(found, F.lit(0), lambda a, c: a + c).alias("hits"), F.size(F.filter(found, lambda c: c > 0)).alias("n_keywords"))
+
+    # Exploded, so that the filter and the sums share one run of the patterns.
+    ranked = df.select(key, F.explode(F.transform(F.array(counts), totals)).alias("_t")).select(key, "_t.hits", "_t.n_keywords")
     return ranked.filter("hits > 0").orderBy(F.col("hits").desc(), F.col(key))

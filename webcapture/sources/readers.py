@@ -15,8 +15,9 @@ from webcapture.operators.requests import DOCUMENT_EXTENSIONS
 def parse_responses(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """Add ``v``: the body as VARIANT, null where it is blank or not JSON.
 
-    An object that repeats a key does not parse either, unless the session allows duplicate keys.
+    Of a repeated key the last value counts; the session is set to parse such objects.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return df.select("*", F.explode(parsed_bodies(raw_col)).alias("v"))
 
 
