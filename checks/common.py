@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,11 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is set, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-
-
 def json_text(sql_value: str) -> str:
     """DuckDB: a text as a JSON string literal."""
     return f"CAST(to_json({sql_value}) AS VARCHAR)"

@@ -5,11 +5,10 @@ The driver's tables hold no API responses, so their rows are wrapped in response
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
-from checks.common import json_text, registry, scratch_folder, table
+from checks.common import json_text, registry, table
 from webcapture.functions.variant import credits_used, error_reason, pick, resolved_url
 from webcapture.functions.text import export_path, to_compact_json
 from webcapture.operators.country import dictionary_aliases, dictionary_entries
@@ -30,6 +29,7 @@ from webcapture.operators.responses import (
 )
 from webcapture.plans.capture import flatten_scrapes, flatten_search, scrapes_with_fallback
 from webcapture.sources.readers import parse_responses
+from webcapture.shared import new_path
 from webcapture.sources.writers import render_capture, render_parsed, write_exports
 
 QUERIES, ORACLES, query = registry()
@@ -434,7 +434,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     name = export_path(F.concat(F.lit("doc"), F.col("doc_id")), "exports")
-    folder = f"{scratch_folder(spark).rstrip('/')}/exports-{uuid.uuid4().hex}"
+    folder = new_path(spark, "exports")
     write_exports(render_capture(_records(spark, sf)).withColumn("export_name", name), folder)
     return spark.read.parquet(folder)
 
@@ -442,3 +442,15 @@ def _(spark, sf):
 @query("supported_documents", "SELECT page_id, url FROM pages WHERE regexp_matches(lower(url), '\\.(html|htm|pdf|docx|doc|odt|rtf|xlsx|xls)$')")
 def _(spark, sf):
     return supported_documents(table(spark, sf, "pages"), "url").select("page_id", "url")
+
+
+@query(
+    "write_exports_files",
+    f"SELECT concat('exports/doc', doc_id, '.md') AS export_name, {_CAPTURE} AS export_text FROM documents WHERE doc_id % 7 <> 0",
+)
+def _(spark, sf):
+    name = export_path(F.concat(F.lit("doc"), F.col("doc_id")), "exports")
+    folder = new_path(spark, "exports")
+    write_exports(render_capture(_records(spark, sf)).withColumn("export_name", name), folder, layout="files")
+    files = spark.read.option("wholetext", True).text(f"{folder}/exports").withColumn("path", F.input_file_name())
+    return files.select(F.concat(F.lit("exports/"), F.substring_index("path", "/", -1)).alias("export_name"), F.col("value").alias("export_text"))

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pyarrow as pa
 import pytest
@@ -183,3 +184,40 @@ def test_pages_plan_is_one_pass(spark):
     plan = capture_pages(df).filter("used_fallback")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert "Exchange" not in plan
+
+
+HOSTILE = [
+    "<p>data:image/png" + ";a" * 200000,
+    "data:image/x;" * 50000,
+    "<b>" * 50000 + "x",
+    "<div>" * 20000 + "<nav>MENU</nav><article>TEXT</article>",
+    "<ul><li>" * 3000 + "deep",
+]
+
+
+@pytest.mark.parametrize("html", HOSTILE)
+def test_hostile_pages_through_the_job(spark, html):
+    started = time.time()
+    row = capture_pages(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")).first()
+    assert row.success and time.time() - started < 60
+    assert "MENU" not in row.markdown
+    assert "deep" not in html or "deep" in row.markdown
+
+
+def test_depth_changes_nothing(spark):
+    deep = "<div>" * 20000
+    pages = [(1, "u", deep + "<nav>MENU</nav>end"), (2, "u", deep + "<article>TEXT</article>out")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: (r.markdown, r.used_fallback) for r in capture_pages(df, include=["article"]).collect()}
+    assert got[2] == ("TEXT", False) and got[1][1]
+    assert {r.page_id: r.markdown for r in capture_pages(df).collect()}[1] == "end"
+
+
+def test_page_without_html(spark):
+    row = capture_pages(spark.createDataFrame([(1, "u", None)], "page_id long, url string, html string")).first()
+    assert (row.outcome, row.success, row.markdown, row.used_fallback) == ("empty", False, None, False)
+
+
+def test_window_of_markdown(spark):
+    df = spark.createDataFrame([(1, "u", "<p>abcdef</p>")], "page_id long, url string, html string")
+    assert capture_pages(df, max_chars=3, start=2).first().markdown == "cde"

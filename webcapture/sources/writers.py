@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,24 +30,41 @@ def render_parsed(df: DataFrame) -> DataFrame:
     return df.withColumn("export_text", _render(("title", "url", "language", "creditsUsed"), "\n"))
 
 
+def _files(folder: str) -> Callable:
+    def write(batches):
+        where, root = fs.FileSystem.from_uri(re.sub("^file:/+", "/", folder))
+        for batch in batches:
+            for name, text in zip(*(batch.column(n).to_pylist() for n in ("export_name", "export_text")), strict=True):
+                if ".." in name.split("/"):
+                    raise ValueError(f"export name leaves the folder: {name}")
+                target = f"{root}/{name.lstrip('/')}"
+                where.create_dir(target.rpartition("/")[0], recursive=True)
+                part = f"{target}.{uuid.uuid4().hex}.part"
+                with where.open_output_stream(part, compression=None) as out:
+                    out.write(text.encode())
+                try:
+                    where.move(part, target)
+                except OSError:  # some file systems do not replace a file by moving
+                    where.delete_file(target)
+                    where.move(part, target)
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["written"])
+
+    return write
+
+
 def write_exports(df: DataFrame, path: str, layout: str = "table", mode: str = "append") -> None:
     """Write ``export_name`` and ``export_text`` of the rows whose ``outcome`` is ok.
 
-    ``table`` appends parquet, the form that scales. ``files`` writes one folder per export name with
-    the text inside and replaces only the names of successful rows: those of failed rows are neither
-    created nor touched. Use it for small selections.
+    ``table`` appends parquet, the form that scales. ``files`` writes one file per export name under
+    ``path``, whole or not at all, and replaces only those of successful rows: files of failed rows are
+    neither created nor touched. Of rows with one name, the text that sorts last is written. The executors
+    write the files themselves, so ``path`` must be a folder that they share. Use it for small selections.
     """
     good = df.filter(F.col("outcome") == "ok").select("export_name", "export_text")
     if layout == "table":
         good.write.mode(mode).parquet(path)
     elif layout == "files":
-        # The text writer ends every value with a line feed of its own.
-        text = good.select("export_name", F.regexp_replace("export_text", r"\n\z", "").alias("value"))
-        (
-            text.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("export_name")
-            .text(path)
-        )
+        one = good.groupBy("export_name").agg(F.max("export_text").alias("export_text"))
+        one.mapInArrow(_files(path), "written long").agg(F.sum("written")).collect()
     else:
         raise ValueError(f"unknown layout {layout!r}")
