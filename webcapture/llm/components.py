@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from webcapture.llm.common import saved
 
 
+def _normal(edges: DataFrame) -> DataFrame:
+    return edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
     """Hangs the neighbours of each node (all, or only the larger ones) on its smallest neighbour."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -20,6 +24,13 @@ def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
     return linked.union(least.select("a", F.col("low").alias("b"))).filter("a != b").distinct()
 
 
+def groups(edges: DataFrame) -> DataFrame:
+    """``node, component`` after one round: nodes of one label are connected, but not all connected ones share it."""
+    links = saved(_normal(edges), "links")
+    hung = _star(_star(links, larger_only=True), larger_only=False)
+    return saved(hung.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")), "groups")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``a, b`` links to ``node, component``: the smallest node that each linked node can reach.
 
@@ -27,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     links are a star per component; rounds grow with the logarithm of the number of nodes. Nodes without a
     link to another node are not returned. Every round is written to the shared folder.
     """
-    links = saved(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    links = saved(_normal(edges), "links")
     while True:
         after = saved(_star(_star(links, larger_only=True), larger_only=False), "links")
         state = [F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("a", "b") % 1_000_003)]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from webcapture.llm.common import LOWER, Hasher, by_bytes, mix, saved, utf8, word_places
-from webcapture.llm.components import components
+from webcapture.llm.components import components, groups
 
 WORD = np.ones(256, bool)
 WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -27,6 +27,8 @@ WORD[[0x20, *range(0x09, 0x0E)]] = False
 SLOTS = 128
 #: Members of an inverted list that are compared within one group: strays, and all members.
 STRAYS, MEMBERS = 256, 2048
+#: Pairs that a task remembers, so as not to send them again from the next list.
+REMEMBERED = 300_000
 #: Size, as a power of two, of the filter that picks the texts whose sets are compared.
 FILTER_BITS = 24
 _SKETCH_ROWS = 64
@@ -263,9 +265,10 @@ def _across(lists: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
 
     The members outside a list's largest component (its strays) are dealt to blocks, and all members to larger
     blocks; a group is one block of strays and one of members. So the largest component of a list is only
-    compared with the strays, never with itself.
+    compared with the strays, never with itself. Lists with one smallest member are dealt alike and next to
+    each other, as they mostly bring the same pairs.
     """
-    lists = lists.join(labels, "cls", "left").select("h", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+    lists = lists.join(labels, "cls", "left").select("h", "cls", "n", "low", F.coalesce("component", "cls").alias("comp"))
     counts = lists.groupBy("h", "comp").agg(F.count("*").alias("own")).groupBy("h")
     counts = counts.agg(F.sum("own").alias("all"), F.max(F.struct("own", "comp")).alias("top")).filter("all > top.own")
     blocks = [F.ceil((F.col("all") - F.col("top.own")) / STRAYS).cast("int").alias("stray_blocks"), F.ceil(F.col("all") / MEMBERS).cast("int").alias("member_blocks")]
@@ -277,13 +280,15 @@ def _across(lists: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
     slots = rows.join(lists.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("slots").alias("slots"))
     dealt = lists.join(slots, "cls").withColumn("at", F.explode(places))
     left, right = F.col("stray") & (F.col("at.i") == F.col("i")), F.col("at.j") == F.col("j")
-    dealt = dealt.select(F.xxhash64("h", "at.i", "at.j").alias("grp"), left.alias("left"), right.alias("right"), "stray", "cls", "n", "comp", "slots")
-    return dealt.repartition("grp").sortWithinPartitions("grp")
+    dealt = dealt.select(F.xxhash64("low", "at.i", "at.j").alias("part"), F.xxhash64("h", "at.i", "at.j").alias("grp"), left.alias("left"), right.alias("right"), "stray", "cls", "n", "comp", "slots")
+    return dealt.repartition("part").sortWithinPartitions("part", "grp")
 
 
 def _met(limit: Threshold) -> Callable:
     """Pairs of a stray and another member in different components whose sizes and slot counts fit."""
 
+    seen: set[tuple[int, int]] = set()
+
     def meet(batches):
         rest = None
         for batch in batches:
@@ -292,7 +297,7 @@ def _met(limit: Threshold) -> Callable:
             if rest is not None:
                 batch = pa.concat_batches([rest, batch])
             group = batch.column("grp").to_numpy()
-            cut = int(np.searchsorted(group, group[-1]))  # the last group may go on in the next batch
+            cut = int(np.append(np.flatnonzero(group != group[-1]), -1).max()) + 1  # the last group may go on in the next batch
             rest = batch.slice(cut)
             if cut:
                 yield pairs(batch.slice(0, cut))
@@ -303,7 +308,8 @@ def _met(limit: Threshold) -> Callable:
         group, cls, size, comp = (batch.column(name).to_numpy() for name in ("grp", "cls", "n", "comp"))
         left, right, stray = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("left", "right", "stray"))
         slots = np.frombuffer(b"".join(batch.column("slots").to_pylist()), np.uint8).reshape(-1, SLOTS)
-        begin, end = np.searchsorted(group, group), np.searchsorted(group, group, "right")
+        edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
+        begin, end = np.repeat(edge[:-1], np.diff(edge)), np.repeat(edge[1:], np.diff(edge))
         found: list[list] = [[], []]
         strays = np.flatnonzero(left)
         for some in np.split(strays, np.flatnonzero(np.diff(np.cumsum((end - begin)[strays]) // 200_000)) + 1):
@@ -318,8 +324,11 @@ def _met(limit: Threshold) -> Callable:
             found[0].append(cls[one[fit]])
             found[1].append(cls[other[fit]])
         columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in found]
-        keep = np.unique(np.stack(columns, axis=1), axis=0)
-        return pa.record_batch([pa.array(keep[:, 0].copy()), pa.array(keep[:, 1].copy())], names=["a", "b"])
+        new = set(zip(columns[0].tolist(), columns[1].tolist(), strict=True)) - seen
+        if len(seen) > REMEMBERED:  # pairs come again soon or not at all
+            seen.clear()
+        seen.update(new)
+        return pa.record_batch([pa.array([p[k] for p in new], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return meet
 
@@ -370,20 +379,21 @@ def jaccard_components(
     near = lambda other: F.coalesce(F.least("n", other) * den >= F.greatest("n", other) * num, F.lit(False))
     posts = posts.withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size))
     met = F.when(F.col("kind") != _LIST, F.col("smaller").isNotNull() | F.col("larger").isNotNull()).otherwise(near("smaller") | near("larger"))
-    posts = saved(posts.filter(met).select("kind", "h", "cls", "n"), "posts")
-    lists = posts.filter(F.col("kind") == _LIST)
+    ends = Window.partitionBy("kind", "h").orderBy("n", "cls").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    low, high = F.first(F.struct("n", "cls")).over(ends), F.last(F.struct("n", "cls")).over(ends)
+    posts = saved(posts.filter(met).select("kind", "h", "cls", "n").withColumn("low", low).withColumn("high", high), "posts")
 
     corpus = _Corpus(docs, rows, k, limit)
-    ends = posts.groupBy("kind", "h").agg(F.min(F.struct("n", "cls")).alias("low"), F.max(F.struct("n", "cls")).alias("high"))
-    hung = posts.join(ends, ["kind", "h"])
-    to_low = hung.select("kind", F.col("cls").alias("a"), F.col("low.cls").alias("b"), "n", F.col("low.n").alias("m")).filter("a != b")
-    to_high = hung.filter((F.col("kind") == _OTHER) & (F.col("n") < F.col("high.n"))).select(F.col("cls").alias("a"), F.col("high.cls").alias("b"))
+    to_low = posts.select("kind", F.col("cls").alias("a"), F.col("low.cls").alias("b"), "n", F.col("low.n").alias("m")).filter("a != b")
+    to_high = posts.filter((F.col("kind") == _OTHER) & (F.col("n") < F.col("high.n"))).select(F.col("cls").alias("a"), F.col("high.cls").alias("b"))
     stars = to_low.filter((F.col("kind") == _LIST) & (F.col("m") * den >= F.col("n") * num)).select("a", "b")
     subsets = to_low.filter((F.col("kind") == _SAME) | ((F.col("kind") == _OTHER) & (F.col("m") < F.col("n")))).select("a", "b").union(to_high)
     found = saved(corpus.linked(stars).union(subsets).distinct(), "edges")
 
-    labels = components(found)
-    pairs = _across(lists, labels.withColumnRenamed("node", "cls"), rows).mapInArrow(_met(limit), "a long, b long")
+    labels = groups(found)
+    # Each list's smallest member has met all others by now.
+    rest = posts.filter((F.col("kind") == _LIST) & (F.col("cls") != F.col("low.cls"))).select("h", "cls", "n", F.col("low.cls").alias("low"))
+    pairs = _across(rest, labels.withColumnRenamed("node", "cls"), rows).mapInArrow(_met(limit), "a long, b long")
     labels = components(found.union(corpus.linked(pairs)))
 
     classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("row").alias("low"))
