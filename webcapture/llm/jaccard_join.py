@@ -376,7 +376,8 @@ def jaccard_components(
     posts = docs.filter("text is not null").mapInArrow(_posted(k, limit, _boundary(sizes, limit, scan_cost), sketch_bits, sketch), "kind int, h long, cls long, n int")
     by_size = Window.partitionBy("kind", "h").orderBy("n", "cls")
     posts = posts.withColumn("last", F.lag("cls").over(by_size)).filter("last is null or last != cls")
-    near = lambda other: F.coalesce(F.least("n", other) * den >= F.greatest("n", other) * num, F.lit(False))
+    # least() and greatest() pass over nulls, so a missing neighbour must be asked for.
+    near = lambda other: F.col(other).isNotNull() & (F.least("n", other) * den >= F.greatest("n", other) * num)
     posts = posts.withColumn("smaller", F.lag("n").over(by_size)).withColumn("larger", F.lead("n").over(by_size))
     met = F.when(F.col("kind") != _LIST, F.col("smaller").isNotNull() | F.col("larger").isNotNull()).otherwise(near("smaller") | near("larger"))
     ends = Window.partitionBy("kind", "h").orderBy("n", "cls").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
