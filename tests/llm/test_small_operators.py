@@ -115,7 +115,7 @@ def test_tokens_are_those_of_the_library(path):
 def test_token_counts(spark):
     df = spark.createDataFrame([("a", "hello world", 1), (None, None, 2), ("a", "é " * 2000, 3)], "doc_id string, text string, n_tokens int")
     got = sorted(map(tuple, count_tokens(df, BYTES).collect()), key=str)
-    assert got[1] == ("a", 11, 2, False) and got[2] == (None, 0, 0, False) and got[0][3] and got[0][1] == 6000
+    assert got[0] == ("a", 11, 2, False) and got[2] == (None, 0, 0, False) and got[1][3] and got[1][1] == 6000
     assert count_tokens(df.limit(0), BYTES).collect() == []
 
 
@@ -191,7 +191,7 @@ def test_benchmark_windows(spark):
         key=str,
     )
     near = spark.createDataFrame([(1, "w1 w2 w0")], "item_id long, text string")
-    assert [r.id for r in find_items(index, near, slop=2).filter("size(hits) > 0 and id in (2, 5)").orderBy("id").collect()] == [2, 5]
+    assert [r.id for r in find_items(index, near, slop=3).filter("size(hits) > 0 and id in (2, 5)").orderBy("id").collect()] == [2, 5]
     assert find_items(index, near.limit(0)).filter("size(hits) > 0").count() == 0
     assert find_items(build_index(df.limit(0)), near).collect() == []
 

@@ -99,6 +99,12 @@ def _blocks(items: DataFrame, width: int) -> Iterator[Windows]:
         yield _windows(block, width)
 
 
+def _places_in(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted value stands in the sorted known ones, and whether it does."""
+    at = np.searchsorted(known, wanted)
+    return at, np.append(known, np.uint64(0))[at] == np.where(at < len(known), wanted, np.uint64(1))
+
+
 def _counted(shared) -> Callable:
     def count(batches):
         vocabulary = shared.value.vocabulary
@@ -106,8 +112,7 @@ def _counted(shared) -> Callable:
         for batch in batches:
             for terms, counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 terms, counts = np.frombuffer(terms, np.uint64), np.frombuffer(counts, np.int32)
-                at = np.searchsorted(vocabulary, terms)
-                hit = (at < len(vocabulary)) & (vocabulary[np.minimum(at, len(vocabulary) - 1)] == terms)
+                at, hit = _places_in(vocabulary, terms)
                 total[at[hit]] += counts[hit]
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["term", "n"])
@@ -128,8 +133,7 @@ def _postings(places: bytes, counts: np.ndarray, wanted: np.ndarray) -> np.ndarr
 
 def _agreed(windows: Windows, order: np.ndarray, first: np.ndarray, terms: np.ndarray, counts: np.ndarray, places: bytes, slop: int) -> tuple[np.ndarray, ...]:
     """Windows and the places where they begin: rarest word's places, cut with those of the next ones."""
-    at = np.searchsorted(terms, windows.vocabulary)
-    present = (at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == windows.vocabulary)
+    at, present = _places_in(terms, windows.vocabulary)
     window = np.flatnonzero((present[windows.terms] | (windows.terms < 0)).all(axis=1))
     nothing = np.zeros(0, np.int64)
     if not len(window):

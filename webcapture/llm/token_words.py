@@ -1,7 +1,8 @@
 """Tokens of whole texts by a public tokenizer, a word at a time: equal words are encoded once per worker.
 
-Texts are cut before ASCII white space that follows another character. No token of the tokenizers used here
-crosses such a place, and none looks beyond it, so the tokens of the parts are those of the text.
+Texts are cut before ASCII white space that follows another character, and between letters, digits and ASCII
+marks other than the apostrophe. No token of the tokenizers used here crosses such a place, and none looks
+beyond it, so the tokens of the parts are those of the text.
 """
 
 from __future__ import annotations
@@ -15,10 +16,18 @@ import numpy as np
 
 #: White space beyond ASCII: beside it a cut is only made after a visible ASCII character.
 _ODD = re.compile("[\x85\xa0  -     　]")
-_PARTS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
+#: Letters that stay one letter when lowered: the dotted capital I does not.
+_LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_MARK = r"!-&(-/:-@\[-`{-~"
+#: Letters or ASCII marks (but the apostrophe) up to a change of kind, or else all up to white space; with what
+#: white space stands before them.
+_PARTS = re.compile(rf"[\t-\r ]*+(?:[{_LETTER}]++(?=[0-9{_MARK}\t-\r ]|\Z)|[{_MARK}]++(?=[0-9{_LETTER}\t-\r ]|\Z)|[^\t-\r ]++)|[\t-\r ]+")
+_WORDS = re.compile(r"[\t-\r ]*+[^\t-\r ]++|[\t-\r ]+")
 _SAFE_PARTS = re.compile(r"(?<=[!-~])(?=[\t-\r ])")
+_SIMPLE = re.compile(rf" [{_LETTER}]+")
 #: Entries and length of the parts that a worker remembers; beyond either they are encoded again.
-REMEMBERED, LONGEST = 300_000, 48
+REMEMBERED, LONGEST = 600_000, 48
+_BLOCK = 1000
 
 
 @functools.cache
@@ -28,6 +37,17 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.cache
+def _edges(path: str) -> tuple[bool, np.ndarray]:
+    """Whether tokens end words (else they begin them, with the blank before), and which tokens do."""
+    words = sorted(tokenizer(path).get_vocab().items(), key=lambda item: item[1])
+    ends = any(word.endswith("</w>") for word, _ in words)
+    marks = np.zeros(words[-1][1] + 1, bool)
+    for word, number in words:
+        marks[number] = word.endswith("</w>") if ends else word.startswith("Ġ")
+    return ends, marks
+
+
 @functools.cache
 def _remembered(path: str, ids: bool) -> dict[str, Any]:
     return {}
@@ -35,7 +55,31 @@ def _remembered(path: str, ids: bool) -> dict[str, Any]:
 
 def parts(text: str) -> list[str]:
     """The text cut at safe places."""
-    return _SAFE_PARTS.split(text) if _ODD.search(text) else _PARTS.findall(text)
+    if _ODD.search(text):
+        return _SAFE_PARTS.split(text)
+    # Special strings are made of letters and marks and must stay whole.
+    return (_WORDS if "<|" in text else _PARTS).findall(text)
+
+
+def _encoded(path: str, wanted: list[str]) -> list[np.ndarray]:
+    """Ids of each part. Plain words are encoded many to a call, which their first or last tokens part again."""
+    found: list = [None] * len(wanted)
+    plain = [i for i, part in enumerate(wanted) if _SIMPLE.fullmatch(part)]
+    ends, marks = _edges(path)
+    for start in range(0, len(plain), _BLOCK):
+        block = plain[start : start + _BLOCK]
+        ids = np.array(tokenizer(path).encode("".join(wanted[i] for i in block), add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(marks[ids]) + ends
+        cuts = cuts[:-1] if ends else cuts[1:]
+        if len(cuts) + 1 == len(block):
+            for i, own in zip(block, np.split(ids, cuts), strict=True):
+                found[i] = own
+    rest = [i for i, own in enumerate(found) if own is None]
+    for start in range(0, len(rest), 4 * _BLOCK):
+        block = rest[start : start + 4 * _BLOCK]
+        for i, tokens in zip(block, tokenizer(path).encode_batch_fast([wanted[i] for i in block], add_special_tokens=False), strict=True):
+            found[i] = np.array(tokens.ids, "<u4")
+    return found
 
 
 def _known(path: str, wanted: list[list[str]], ids: bool) -> dict[str, Any]:
@@ -45,13 +89,11 @@ def _known(path: str, wanted: list[list[str]], ids: bool) -> dict[str, Any]:
         known.clear()
     missing = list({part for text in wanted for part in text if part not in known})
     found = dict(known) if any(len(part) > LONGEST for part in missing) else known
-    for start in range(0, len(missing), 4096):
-        block = missing[start : start + 4096]
-        for part, tokens in zip(block, tokenizer(path).encode_batch_fast(block, add_special_tokens=False), strict=True):
-            value = np.array(tokens.ids, "<u4").tobytes() if ids else len(tokens.ids)
-            found[part] = value
-            if found is not known and len(part) <= LONGEST:
-                known[part] = value
+    for part, own in zip(missing, _encoded(path, missing), strict=True):
+        value = own.tobytes() if ids else len(own)
+        found[part] = value
+        if found is not known and len(part) <= LONGEST:
+            known[part] = value
     return found
 
 
