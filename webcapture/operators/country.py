@@ -145,38 +145,61 @@ def conflict_remainder(aliases: DataFrame, limit: int = 50) -> DataFrame:
 
 
 def audit_aliases(entries: DataFrame, required: DataFrame) -> DataFrame:
-    """One row: counts of codes and aliases, issues by kind, and whether the dictionary passes."""
+    """One row: counts of codes and aliases, issues by kind, and whether the dictionary passes.
+
+    Each input is read once: every entry gives rows ``(measure, k1, k2, n)``, and two grouped sums tell what
+    repeats, what is missing and which keys lead to several codes.
+    """
     as_list = F.try_variant_get("names", "$", "array<variant>")
-    aliases = dictionary_aliases(entries.filter(as_list.isNotNull()), as_written=True)
-
-    def tagged(df, measure, amount):
-        return df.select(F.lit(measure).alias("measure"), amount.cast("long").alias("n"))
-
-    parts = [
-        tagged(entries.select("code").distinct(), "codes", F.lit(1)),
-        tagged(entries, "aliases", F.coalesce(F.size(as_list), F.lit(0))),
-        tagged(alias_type_issues(entries), "types", F.lit(1)),
-        tagged(duplicate_aliases(aliases), "duplicates", F.col("repeats")),
-        tagged(missing_codes(entries, required), "missing", F.lit(1)),
-        tagged(_conflicting_keys(aliases), "conflicts", F.lit(1)),
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-
-    def total(measure):
-        return F.coalesce(F.sum(F.when(F.col("measure") == measure, F.col("n"))), F.lit(0))
-
-    names = {
-        "n_codes": "codes",
-        "n_aliases": "aliases",
-        "n_type_issues": "types",
-        "n_duplicates": "duplicates",
-        "n_missing": "missing",
-        "n_conflicts": "conflicts",
-    }
-    summary = union.agg(*[total(m).alias(n) for n, m in names.items()])
-    issues = sum((F.col(n) for n in list(names)[2:]), F.lit(0))
+    strings = F.transform(
+        F.filter(as_list, lambda x: F.schema_of_variant(x) == "STRING"), lambda x: F.try_variant_get(x, "$", "string")
+    )
+    bad = F.when(as_list.isNull(), F.lit(1)).otherwise(F.size(as_list) - F.size(strings))
+    listed = F.coalesce(F.size(as_list), F.lit(0))
+    each = entries.select("code", listed.alias("listed"), bad.alias("bad"), F.posexplode_outer(strings).alias("pos", "alias"))
+
+    def measure(name, k1, k2, n):
+        parts = zip((F.lit(name), k1, k2, n.cast("long")), ("measure", "k1", "k2", "n"))
+        return F.struct(*[c.alias(field) for c, field in parts])
+
+    none, zero, code = F.lit(""), F.lit(0), F.col("code")
+    of_entry = F.array(
+        measure("code", code, F.lit("have"), zero),
+        measure("aliases", none, none, F.col("listed")),
+        measure("types", none, none, F.col("bad")),
+    )
+    of_alias = F.concat(
+        F.array(measure("alias", code, F.col("alias"), zero)),
+        F.transform(alias_variants("alias"), lambda v: measure("key", v, code, zero)),
+    )
+    first, given = F.coalesce(F.col("pos") == 0, F.lit(True)), F.col("alias").isNotNull()
+    empty = F.slice(of_entry, 1, 0)
+    rows = each.select(F.explode(F.concat(F.when(first, of_entry).otherwise(empty), F.when(given, of_alias).otherwise(empty))).alias("r"))
+    is_key = F.col("r.measure") == "key"
+    key = F.when(is_key, normalize_name(F.when(is_key, F.col("r.k1")))).otherwise(F.col("r.k1"))
+    rows = rows.select("r.measure", key.alias("k1"), "r.k2", "r.n")
+    rows = rows.unionByName(required.select(F.lit("code").alias("measure"), code.alias("k1"), F.lit("need").alias("k2"), F.lit(0).cast("long").alias("n")))
+    counted = rows.groupBy("measure", "k1", "k2").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    grouped = counted.groupBy("measure", "k1").agg(
+        F.count("*").alias("kinds"),
+        F.sum(F.col("c") - 1).alias("repeats"),
+        F.sum("n").alias("n"),
+        F.max(F.col("k2") == "have").alias("have"),
+    )
+
+    def total(name, amount):
+        return F.coalesce(F.sum(F.when(F.col("measure") == name, amount)), F.lit(0)).cast("long")
+
+    codes_of_key = F.when((F.col("k1") != "") & (F.col("kinds") > 1), 1).otherwise(0)
+    summary = grouped.agg(
+        total("code", F.col("have").cast("int")).alias("n_codes"),
+        total("aliases", F.col("n")).alias("n_aliases"),
+        total("types", F.col("n")).alias("n_type_issues"),
+        total("alias", F.col("repeats")).alias("n_duplicates"),
+        total("code", (~F.col("have")).cast("int")).alias("n_missing"),
+        total("key", codes_of_key).alias("n_conflicts"),
+    )
+    issues = sum((F.col(n) for n in ("n_type_issues", "n_duplicates", "n_missing", "n_conflicts")), F.lit(0))
     return summary.withColumn("passed", issues == 0)
 
 
