@@ -78,12 +78,40 @@ FROM d LEFT JOIN kept USING (k) LEFT JOIN n USING (k)
 """
 
 
-@query("op10_jaccard_join")
+OP8_SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(coalesce(text, '')) AS h FROM documents),
+w AS (SELECT k, i, md5(substr(h, 2 * i + 1, 800)) AS m FROM (SELECT k, h, unnest(generate_series(0, len(h) // 2 - 400)) AS i FROM d WHERE len(h) >= 800)),
+hit AS (SELECT k, i FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+runs AS (SELECT k, i, sum(CASE WHEN i - p <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY i) AS g
+    FROM (SELECT k, i, lag(i) OVER (PARTITION BY k ORDER BY i) AS p FROM hit)),
+spans AS (SELECT k, g, min(i) AS a, max(i) + 400 AS b FROM runs GROUP BY k, g),
+pieces AS (SELECT k, lag(b, 1, 0) OVER (PARTITION BY k ORDER BY a) AS pa, a AS pb FROM spans
+    UNION ALL SELECT d.k, coalesce(max(b), 0), any_value(len(h)) // 2 FROM d LEFT JOIN spans USING (k) GROUP BY d.k),
+kept AS (SELECT k, string_agg(substr(h, CAST(2 * pa + 1 AS BIGINT), CAST(2 * (pb - pa) AS BIGINT)), '' ORDER BY pa) AS x FROM pieces JOIN d USING (k) GROUP BY k),
+n AS (SELECT k, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans FROM spans GROUP BY k)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(n.spans, 0) AS n_spans, sha256(unhex(x)) AS kept_sha256
+FROM d JOIN kept USING (k) LEFT JOIN n USING (k)
+"""
+
+OP10_SQL = """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT k, hash(array_to_string(w[i:i + 2], ' ')) AS h FROM (SELECT k, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT k, count(*) AS n FROM s GROUP BY k),
+pairs AS (SELECT a.k AS x, b.k AS y, count(*) AS o FROM s a JOIN s b ON a.h = b.h AND a.k <> b.k GROUP BY a.k, b.k),
+links AS MATERIALIZED (SELECT x, y FROM pairs JOIN n a ON a.k = x JOIN n b ON b.k = y WHERE 100 * o >= 90 * (a.n + b.n - o)),
+reach AS (SELECT k, k AS r FROM d UNION SELECT reach.k, y FROM reach JOIN links ON r = x),
+low AS (SELECT reach.k, min(d.doc_id) AS component_id FROM reach JOIN d ON d.k = r GROUP BY reach.k)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (k) JOIN low USING (k)
+"""
+
+
+@query("op10_jaccard_join", OP10_SQL)
 def op10(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
-@query("op8_suffix_dedup")
+@query("op8_suffix_dedup", OP8_SQL)
 def op8(spark, sf_dir):
     found = remove_repeats(table(spark, sf_dir, "documents"), length=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
