@@ -284,8 +284,11 @@ def _across(lists: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
     return dealt.repartition("part").sortWithinPartitions("part", "grp")
 
 
-def _met(limit: Threshold) -> Callable:
-    """Pairs of a stray and another member in different components whose sizes and slot counts fit."""
+def _met(limit: Threshold, closest: bool) -> Callable:
+    """Pairs of a stray and another member in different components whose sizes and slot counts fit.
+
+    With ``closest`` only the nearest such member of each component, by slot counts.
+    """
 
     seen: set[tuple[int, int]] = set()
 
@@ -321,8 +324,14 @@ def _met(limit: Threshold) -> Callable:
             one, other = one[fit], other[fit]
             apart = np.abs(slots[one].astype(np.int16) - slots[other]).sum(axis=1, dtype=np.int64)
             fit = limit.close(size[one].astype(np.int64), size[other].astype(np.int64), apart)
-            found[0].append(cls[one[fit]])
-            found[1].append(cls[other[fit]])
+            one, other, apart = one[fit], other[fit], apart[fit]
+            if closest:
+                order = np.lexsort((apart, comp[other], one))
+                one, other = one[order], other[order]
+                first = np.concatenate([[True], (one[1:] != one[:-1]) | (comp[other[1:]] != comp[other[:-1]])])[: len(one)]
+                one, other = one[first], other[first]
+            found[0].append(cls[one])
+            found[1].append(cls[other])
         columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in found]
         new = set(zip(columns[0].tolist(), columns[1].tolist(), strict=True)) - seen
         if len(seen) > REMEMBERED:  # pairs come again soon or not at all
@@ -359,8 +368,9 @@ def jaccard_components(
     Documents of one set are one class throughout. ``sketch_bits`` sets the size of the table of shingle
     counts that orders shingles from rare to frequent (4 bytes each, whatever the input): any order gives the
     same links, a good one keeps the lists short. ``scan_cost`` is what one list entry costs, in subset keys.
-    Per list, all members are first compared with the smallest one; only members that are then still in
-    different components are compared with each other, so a large group of near copies is not paired out.
+    Per list, all members are first compared with the smallest one, then strays with the nearest member of each
+    other component; only members that are then still in different components are all compared with each other,
+    so a large group of near copies is not paired out.
     """
     spark, limit = docs.sparkSession, Threshold(num, den)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
@@ -391,11 +401,13 @@ def jaccard_components(
     subsets = to_low.filter((F.col("kind") == _SAME) | ((F.col("kind") == _OTHER) & (F.col("m") < F.col("n")))).select("a", "b").union(to_high)
     found = saved(corpus.linked(stars).union(subsets).distinct(), "edges")
 
-    labels = groups(found)
     # Each list's smallest member has met all others by now.
     rest = posts.filter((F.col("kind") == _LIST) & (F.col("cls") != F.col("low.cls"))).select("h", "cls", "n", F.col("low.cls").alias("low"))
-    pairs = _across(rest, labels.withColumnRenamed("node", "cls"), rows).mapInArrow(_met(limit), "a long, b long")
-    labels = components(found.union(corpus.linked(pairs)))
+    for closest, label in ((True, groups), (False, components)):
+        labels = label(found).withColumnRenamed("node", "cls")
+        pairs = _across(rest, labels, rows).mapInArrow(_met(limit, closest), "a long, b long")
+        found = found.union(corpus.linked(pairs))
+    labels = components(found)
 
     classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("row").alias("low"))
     classes = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
