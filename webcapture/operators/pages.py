@@ -247,7 +247,7 @@ def pages_to_markdown(df: DataFrame, exclude=None, include=None, empty_tags: boo
 
 
 def page_metadata(df: DataFrame) -> DataFrame:
-    """One row per page: title, description, language, url (canonical when given) and ogUrl."""
+    """One row per page: title, description, language, ogUrl, and url: the canonical one, else ogUrl, else as asked."""
     events = page_events(df, empty_tags=True, wanted="head")
     found = events.select("page_id", F.col("url").alias("_requested"), metadata("events").alias("m"))
     return found.select(
@@ -255,7 +255,7 @@ def page_metadata(df: DataFrame) -> DataFrame:
         "m.title",
         "m.description",
         "m.language",
-        F.coalesce("m.canonical", "_requested").alias("url"),
+        F.coalesce("m.canonical", "m.ogUrl", "_requested").alias("url"),
         "m.ogUrl",
     )
 
