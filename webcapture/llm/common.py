@@ -1,16 +1,15 @@
-"""Shared folder, whole-text batches and vectorised hashing for the operators of this package."""
+"""Saved tables, whole-text batches and vectorised hashing for the operators of this package."""
 
 from __future__ import annotations
 
 import functools
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from webcapture.shared import new_path
 
 #: Bytes of text that a task turns into numpy arrays at once; a longer text is one batch of its own.
 BATCH_BYTES = 2 << 20
@@ -19,25 +18,6 @@ _BASE = 0x9E3779B97F4A7C15
 OTHER_BASE = 0xC2B2AE3D27D4EB4F
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only a session on one machine may do without it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _own_folder()
-    return root.rstrip("/")
-
-
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="shared-")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: the lineage ends there."""
     path = new_path(df.sparkSession, name)
