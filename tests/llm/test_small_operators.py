@@ -175,6 +175,22 @@ def test_top_k_against_brute_force(spark):
     assert top_k(df.limit(0), df.limit(0)).collect() == []
 
 
+def test_top_k_among_near_equal_vectors(spark):
+    """Bins of the first histogram hold hundreds of scores, so they are parted again."""
+    rng = np.random.default_rng(3)
+    near = np.array([0.9, 0.5, 0.3, 0.2]) + rng.normal(0, 0.004, (700, 4))
+    vectors = np.concatenate([near, rng.normal(0, 0.3, (700, 4))])
+    rows = [(i, v) for i, v in enumerate(vectors.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, top_k(df, df.filter("vec_id % 20 = 0"), k=5).collect()))
+    whole = np.floor(256 * vectors).astype(np.int64)
+    want = []
+    for q in range(0, len(whole), 20):
+        scores = sorted((-int(s), i) for i, s in enumerate(whole @ whole[q]) if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
+    assert got == sorted(want)
+
+
 # Decontamination
 
 

@@ -31,12 +31,13 @@ def quantized(vectors: DataFrame, id_col: str, vector_col: str, scale: float) ->
 
 @dataclass
 class Block:
-    """Queries of one length, and for each where its scores are still looked at: from ``low``, bins ``width`` wide."""
+    """Queries of one length, and for each where its scores are still looked at: from ``low``, bins ``width`` wide, below ``high``."""
 
     ids: np.ndarray
     vectors: np.ndarray
     low: np.ndarray
     width: np.ndarray
+    high: np.ndarray
 
 
 def _matrices(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -64,7 +65,8 @@ def _histograms(shared, exact: bool) -> Callable:
             for ids, vectors in _matrices(batch, block.vectors.shape[1]):
                 scores, own = _scores(block, ids, vectors, exact)
                 at = (scores - block.low[:, None]) // block.width[:, None]
-                inside = (at >= 0) & (at < most) & ~own
+                # The bins of a refined histogram can end beyond the bin that they part.
+                inside = (at >= 0) & (at < most) & (scores < block.high[:, None]) & ~own
                 query, candidate = np.nonzero(inside)
                 total += np.bincount(query * most + at[query, candidate], minlength=len(total))
         some = np.flatnonzero(total)
@@ -111,10 +113,10 @@ def _selected(candidates: DataFrame, ids: np.ndarray, vectors: np.ndarray, large
     context = candidates.sparkSession.sparkContext
     bound = np.abs(vectors).sum(axis=1) * largest + 1
     exact = bool((np.abs(vectors).astype(np.float64).sum(axis=1) * largest >= 2.0**53).any())
-    low, width = -bound, 2 * bound // BINS + 1
+    low, width, high = -bound, 2 * bound // BINS + 1, bound.copy()
     above, open_ = np.zeros(len(ids), np.int64), np.ones(len(ids), bool)
     while open_.any():
-        shared = context.broadcast(Block(ids[open_], vectors[open_], low[open_], width[open_]))
+        shared = context.broadcast(Block(ids[open_], vectors[open_], low[open_], width[open_], high[open_]))
         counts = candidates.mapInArrow(_histograms(shared, exact), "query long, bin long, n long").groupBy("query", "bin").agg(F.sum("n").alias("n"))
         ahead = F.sum("n").over(Window.partitionBy("query").orderBy(F.desc("bin")))
         reached = counts.withColumn("ahead", ahead).join(_needs(candidates, k - above[open_]), "query").filter("ahead >= need")
@@ -125,11 +127,12 @@ def _selected(candidates: DataFrame, ids: np.ndarray, vectors: np.ndarray, large
                 continue
             place, n, ahead = found[row]
             low[at] += place * width[at]
+            high[at] = min(high[at], low[at] + width[at])
             above[at] += ahead - n
             if width[at] == 1 or above[at] + n <= k + SLACK:
                 open_[at] = False
             width[at] = width[at] // BINS + 1
-    shared = context.broadcast(Block(ids, vectors, low, width))
+    shared = context.broadcast(Block(ids, vectors, low, width, high))
     kept = candidates.mapInArrow(_kept(shared, exact, k), "query long, vec_id long, score long")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
