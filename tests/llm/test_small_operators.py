@@ -134,6 +134,28 @@ def test_search_beats_best_fit():
     assert bins(pack_lengths(counts, 100)) == lower_bound(counts, 100)
 
 
+def test_sequences_of_many_short_pieces():
+    assert bins(best_fit({5: 4, 4: 4, 3: 2}, 21)) == 3 and bins(pack_lengths({5: 4, 4: 4, 3: 2}, 21)) == 2
+    rng = random.Random(1)
+    counts = Counter(rng.randint(300, 511) for _ in range(2000))
+    assert bins(pack_lengths(counts, 2048)) < 0.97 * bins(best_fit(counts, 2048))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_small_plans_are_optimal(seed):
+    rng = random.Random(seed)
+    capacity = rng.randint(12, 40)
+    pieces = sorted((rng.randint(2, capacity // rng.choice([2, 3, 4])) for _ in range(rng.randint(4, 11))), reverse=True)
+
+    def fits(at, rooms):
+        if at == len(pieces):
+            return True
+        return any(fits(at + 1, rooms[:i] + (room - pieces[at],) + rooms[i + 1 :]) for i, room in enumerate(rooms) if room >= pieces[at] and room not in rooms[:i])
+
+    least = next(n for n in range(1, len(pieces) + 1) if fits(0, (capacity,) * n))
+    assert bins(pack_lengths(Counter(pieces), capacity)) == least
+
+
 def test_packing(spark):
     texts = odd_texts(50)
     rows = [(None if i % 17 == 0 else i % 30, t, 1) for i, t in enumerate(texts)]

@@ -2,9 +2,10 @@
 
 Only the lengths of pieces decide, and there are no more of them than the sequence is long, so the search runs
 on the table of lengths and counts, whatever the number of documents. It fills one sequence around the longest
-piece left, tries the undominated fillings from the least waste on, and applies each as often as the counts
-allow. Branches end where their waste can no longer beat the best solution known; best fit gives the first one
-and completes every branch. Pieces then find their place by their rank among those of the same length.
+piece left, tries the undominated fillings of any number of pieces from the least waste on, and applies each as
+often as the counts allow, then, on the way back, less often. Branches end where their waste can no longer beat
+the best solution known; best fit gives the first one and completes branches. Pieces then find their place by
+their rank among those of the same length.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from webcapture.llm.token_words import token_ids
 SALTS = 256
 #: Nodes of the search after which the best solution found is taken.
 NODES = 200
+#: Steps of the enumeration without a filling that count as a node.
+STEPS = 10_000
 #: Nodes between two completions by best fit, while many lengths are left.
 STRIDE = 8
 
@@ -80,43 +83,88 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     return [(filling, times) for entries in groups for filling, times in entries]
 
 
-def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[Filling]:
+def _reachable(there: dict[int, int], lengths: list[int], room: int) -> list[int]:
+    """For each place in ``lengths``, the sums up to ``room`` that pieces from there on have, as bits."""
+    mask, found = (2 << room) - 1, [1]
+    for length in reversed(lengths):
+        sums, left, own = found[-1], min(there[length], room // length), 1
+        while left:
+            own = min(own, left)
+            sums |= sums << own * length & mask
+            left -= own
+            own *= 2
+        found.append(sums)
+    return found[::-1]
+
+
+def _spread(sums: int, width: int) -> int:
+    """The sums that lie 1 to ``width`` above one of ``sums``."""
+    found, known = sums << 1, 1
+    while known < width:
+        step = min(known, width - known)
+        found |= found << step
+        known += step
+    return found if width else 0
+
+
+def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[Filling | None]:
     """Undominated fillings of the room left beside the longest piece, from the least waste up to ``waste``.
 
-    A filling is dominated by one that fills as much with fewer, longer pieces; those are not tried.
+    A filling may have any number of pieces. It is dominated, and left out, if another piece fits beside it, or
+    if some of its pieces can give way to one piece outside it that is longer, or as long as two or more of them
+    together, and fits. Every ``STEPS`` steps without a filling None comes instead of one.
     """
-    there = np.zeros(room + 1, np.int64)
-    for length, count in counts.items():
-        if length <= room:
-            there[length] = count
-    if not there.any():
-        if room <= waste:
-            yield ()
-        return
-    lengths = np.flatnonzero(there)[::-1]
+    there = {length: count for length, count in counts.items() if length <= room}
+    lengths = sorted(there, reverse=True)
+    every, reach, steps = sum(1 << length for length in lengths), [], 0
+
+    def grow(at: int, rest: int, lost: int, chosen: Filling, free: int, sums: int) -> Iterator[Filling | None]:
+        """``sums`` are those of the subsets of ``chosen``, ``free`` the lengths of which pieces stay outside."""
+        nonlocal steps
+        if not rest:
+            if not free & ((2 << lost) - 2):
+                yield chosen
+            return
+        while at < len(lengths) and reach[at] >> rest & 1:
+            length, at, states, own = lengths[at], at + 1, [], sums
+            for _ in range(min(there[length], rest // length)):
+                steps += 1
+                if steps % STEPS == 0:
+                    yield None
+                several = (own & ~1) << length
+                own |= own << length
+                if (several | _spread(own & ~1, lost)) & free:
+                    break
+                states.append(own)
+            for times in range(len(states), 0, -1):
+                if reach[at] >> rest - times * length & 1:
+                    left = free & ~(1 << length) if times == there[length] else free
+                    yield from grow(at, rest - times * length, lost, chosen + (length,) * times, left, states[times - 1])
+
     for total in range(room, max(room - waste, 0) - 1, -1):
-        if total and there[total]:
+        if total == room and total in there:
             yield (total,)
             continue
-        pairs = [(x, total - x) for x in lengths[(lengths < total) & (lengths * 2 >= total)].tolist() if there[total - x] >= 1 + (2 * x == total)]
-        if pairs:
-            yield from pairs
-            continue
-        for x in lengths[lengths < total].tolist():
-            rest = total - x
-            second = lengths[(lengths <= min(x, rest - 1)) & (lengths * 2 >= rest)]
-            for y in second[there[rest - second] > 0].tolist():
-                filling = (x, y, rest - y)
-                if all(there[n] >= c for n, c in Counter(filling).items()):
-                    yield filling
-    left, room_left, greedy = dict(counts), room, []
-    for length in lengths.tolist():
-        while left.get(length, 0) and length <= room_left:
-            greedy.append(length)
-            left[length] -= 1
-            room_left -= length
-    if room_left <= waste and len(greedy) > 3:
-        yield tuple(greedy)
+        reach = reach or _reachable(there, lengths, room)
+        yield from grow(0, total, room - total, (), every, 1)
+
+
+@dataclass
+class _Node:
+    """A plan, the pieces left, and what is to be tried next: ``filling`` up to ``times`` times, then ``options``.
+
+    The use of the fillings in ``tried`` was settled above.
+    """
+
+    counts: dict[int, int]
+    plan: Plan
+    used: int
+    waste: int
+    tried: frozenset[Filling] = frozenset()
+    options: Iterator[Filling | None] | None = None
+    filling: Filling = ()
+    times: int = 0
+    most: int = 0
 
 
 @dataclass
@@ -128,37 +176,52 @@ class _Search:
 
     def run(self, counts: dict[int, int], plan: Plan, used: int, waste: int, total: int) -> None:
         """Depth first; ``waste`` is the room left unused in the sequences of ``plan``."""
-        stack = [(counts, plan, used, waste, None)]
+        stack = [_Node(counts, plan, used, waste)]
         while stack and bins(self.best) > self.bound and self.nodes > 0:
-            counts, plan, used, waste, options = stack.pop()
+            node = stack[-1]
+            counts = node.counts
             if not counts:
-                if used < bins(self.best):
-                    self.best = plan
+                if node.used < bins(self.best):
+                    self.best = node.plan
+                stack.pop()
                 continue
             longest = max(counts)
-            spare = (bins(self.best) - 1) * self.capacity - total - waste
-            if options is None:
+            if node.options is None:
                 self.nodes -= 1
                 if len(counts) < STRIDE or self.nodes % STRIDE == 0:
                     completed = best_fit(counts, self.capacity)
-                    if used + bins(completed) < bins(self.best):
-                        self.best = plan + completed
-                        continue
+                    if node.used + bins(completed) < bins(self.best):
+                        self.best = node.plan + completed
+            spare = (bins(self.best) - 1) * self.capacity - total - node.waste
+            if spare < 0:
+                stack.pop()
+                continue
+            if node.options is None:
                 own = dict(counts)
                 own[longest] -= 1
-                options = fillings({n: c for n, c in own.items() if c}, self.capacity - longest, max(spare, -1)) if spare >= 0 else iter(())
-            filling = next(options, None)
-            if filling is None:
-                continue
-            stack.append((counts, plan, used, waste, options))
-            whole = Counter((longest, *filling))
-            times = min(counts[n] // c for n, c in whole.items())
-            lost = self.capacity - longest - sum(filling)
-            times = min(times, spare // lost) if lost else times
-            if times < 1:
+                node.options = fillings({n: c for n, c in own.items() if c}, self.capacity - longest, spare)
+            if not node.times:
+                found = next(node.options, False)
+                if found is None:
+                    self.nodes -= 1
+                    continue
+                if found is False:
+                    stack.pop()
+                    continue
+                node.filling = (longest, *found)
+                if node.filling in node.tried:
+                    continue
+                node.times = node.most = min(counts[n] // c for n, c in Counter(node.filling).items())
+            lost = self.capacity - sum(node.filling)
+            times = min(node.times, spare // lost) if lost else node.times
+            if times < 1:  # the fillings to come waste as much or more
+                stack.pop()
                 continue
+            node.times = times - 1
+            whole = Counter(node.filling)
             rest = {n: c - times * whole.get(n, 0) for n, c in counts.items()}
-            stack.append(({n: c for n, c in rest.items() if c}, [*plan, ((longest, *filling), times)], used + times, waste + lost * times, None))
+            tried = node.tried if times == node.most else node.tried | {node.filling}
+            stack.append(_Node({n: c for n, c in rest.items() if c}, [*node.plan, (node.filling, times)], node.used + times, node.waste + lost * times, tried if rest[longest] else frozenset()))
 
 
 def pack_lengths(counts: dict[int, int], capacity: int, nodes: int = NODES) -> Plan:
