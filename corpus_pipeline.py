@@ -16,8 +16,8 @@ from webcapture.shipping import ship
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least probability of the likeliest language; texts below it, and those without a letter, are rejected.
 LEAST_SCORE = 0.5
-#: Bytes of a passage that is removed wherever it occurs: some 50 short words.
-PASSAGE, GRAM = 250, 96
+#: Bytes of a passage that is removed wherever it occurs, and the words of shorter passages that are removed too.
+PASSAGE, GRAM, WORDS = 250, 96, 51
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +42,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts every passage of ``PASSAGE`` bytes that also occurs elsewhere out of the texts; all documents stay.
+    """Cuts every passage of ``PASSAGE`` bytes or ``WORDS`` words that also occurs elsewhere out of the texts.
 
-    A character that a cut would part goes with the passage.
+    All documents stay. A character that a cut would part goes with the passage.
     """
     ship(spark)
-    kept = remove_repeats(docs, length=PASSAGE, gram=GRAM, carry=("lang", "source"), as_text=True)
+    kept = remove_repeats(docs, length=PASSAGE, gram=GRAM, carry=("lang", "source"), as_text=True, words=WORDS)
     return kept.withColumn("n_chars", F.length("kept").cast("long")).withColumnRenamed("kept", "text").select(*COLUMNS)
 
 

@@ -69,6 +69,20 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert {r.doc_id for r in rows["packing"]} == clean
 
 
+def test_passages_of_short_words(spark, tmp_path):
+    """A passage of 51 words goes wherever it stands, however short they are; one of 50 short words stays."""
+    small = "a I to of in it we on go up no so at by he".split()
+    rng = np.random.default_rng(5)
+    many, few = (" ".join(rng.choice(small, n)) for n in (51, 50))
+    assert len(many) < 200
+    frames = [("First é, ", many, " tail one."), ("\"", many, "\" ends"), ("Third ", few, " is kept"), ("Fourth: ", few, ", also"), ("", many, ""), ("", "go " * 60, "")]
+    rows = [(i, "".join(f), "en", "s", 0) for i, f in enumerate(frames)] + [(9, None, None, None, 0), (None, "", None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()}
+    want = {i: a + ("" if t == many else t) + b for i, (a, t, b) in enumerate(frames)}
+    assert got == want | {9: "", None: ""}
+
+
 def test_empty_documents(spark, tmp_path):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter(F.lit(False))

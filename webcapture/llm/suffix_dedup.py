@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from webcapture.llm.common import Hasher, by_bytes, mix, saved, utf8
+from webcapture.llm.common import OTHER_BASE, Hasher, by_bytes, mix, saved, utf8
 
 #: Bits of the value compared for anchors that hold the place, so that the first of equal hashes wins.
 _PLACE_BITS = 28
@@ -236,6 +236,58 @@ def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("th") == F.col("wanted_th"))).select("id", "th", "text", "ranges")
 
 
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_LETTER = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
+_STRINGS = pa.schema([("h", pa.int64()), ("h2", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
+
+
+def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and its text. Words stand between white space, without the marks at their ends."""
+    place = np.flatnonzero(_LETTER[data])
+    text = np.searchsorted(offsets, place, "right") - 1
+    spaces = np.cumsum(_SPACE[data])[place]
+    new = np.ones(len(place), bool)
+    new[1:] = (spaces[1:] != spaces[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(new)
+    return place[first], place[np.append(first[1:], len(place))[: len(first)] - 1] + 1, text[first]
+
+
+def _worded(words: int, below: int) -> Callable:
+    """Strings of ``words`` words that are shorter than ``below`` bytes, by two hashes."""
+
+    def strings(batches):
+        for batch in by_bytes(batches, "text"):
+            data, offsets = utf8(batch.column("text"))
+            start, end, text = word_ranges(data, offsets)
+            if len(start) < words:
+                continue
+            last = slice(words - 1, None)
+            begin, end, row = start[: len(start) - words + 1], end[last], text[last]
+            fit = (text[: len(row)] == row) & (end - begin < below)
+            begin, end, row = begin[fit], end[fit], row[fit]
+            if not len(row):
+                continue
+            hashes = [Hasher(data)(begin, end), Hasher(data, OTHER_BASE)(begin, end)]
+            ids, th = (batch.column(name).take(pa.array(row)) for name in ("id", "th"))
+            columns = [*(pa.array(h.view(np.int64)) for h in hashes), ids, th, pa.array(begin - offsets[row]), pa.array(end - offsets[row])]
+            yield pa.record_batch(columns, schema=_STRINGS)
+
+    return strings
+
+
+def repeated_words(docs: DataFrame, words: int, below: int) -> DataFrame:
+    """``id, th, begin, end`` of each string of ``words`` words under ``below`` bytes that also stands elsewhere.
+
+    Places of one text that overlap, as in a row of equal words, are no two passages.
+    """
+    found = saved(docs.mapInArrow(_worded(words, below), "h long, h2 long, id long, th long, begin long, end long"), "words")
+    rows = found.groupBy("h", "h2", "id", "th", "begin", "end").agg(F.count("*").alias("n"))
+    text = F.struct(F.col("id").isNull(), "id", "th")
+    apart = ~F.min(text).eqNullSafe(F.max(text)) | (F.max("begin") >= F.min("end")) | (F.max("n") > 1)
+    again = rows.groupBy("h", "h2").agg(apart.alias("apart")).filter("apart").select("h", "h2")
+    return found.join(again, ["h", "h2"], "left_semi").select("id", "th", "begin", "end")
+
+
 def _removed(carried: int, as_text: bool) -> Callable:
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string() if as_text else pa.binary())])
 
@@ -263,7 +315,7 @@ def _removed(carried: int, as_text: bool) -> Callable:
     return remove
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 128, most: int = MOST_CONTEXTS, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 128, most: int = MOST_CONTEXTS, carry: tuple[str, ...] = (), as_text: bool = False, words: int | None = None) -> DataFrame:
     """A row per document: its id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes that stay.
 
     A byte goes if a ``length``-byte string that covers it starts anywhere else too, in this text or another;
@@ -274,10 +326,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     a cut has parted.
 
     ``gram`` is the size of an anchor: small ones are fewer, large ones shared by fewer texts. Contexts of an
-    anchor beyond ``most`` distinct ones are parted by longer anchors, at last by the whole string.
+    anchor beyond ``most`` distinct ones are parted by longer anchors, at last by the whole string. With ``words``
+    strings of so many words go too where they are shorter than ``length``: from the first letter or digit of a
+    word to the last one of another, words standing between ASCII white space. Of these, places of one text that
+    overlap do not count.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"), *(F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)))
-    spans = repeated_spans(docs, length, gram, most).groupBy("id", "th").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    spans = repeated_spans(docs, length, gram, most)
+    if words is not None:
+        spans = spans.union(repeated_words(docs, words, length))
+    spans = spans.groupBy("id", "th").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     spans = spans.select(F.col("id").alias("span_id"), F.col("th").alias("span_th"), "spans")
     whole = docs.join(spans, F.col("id").eqNullSafe(F.col("span_id")) & (F.col("th") == F.col("span_th")), "left")
     own = [f"carried_{k}" for k in range(len(carry))]
