@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from webcapture.llm import warc
 from webcapture.llm.chat_format import conversation_digests, format_chats
 from webcapture.llm.decontaminate import build_index, contamination, find_items
+from webcapture.llm.divergence import divergence
 from webcapture.llm.exact_topk import top_k
 from webcapture.llm.jaccard_join import jaccard_components
 from webcapture.llm.langid import identify
+from webcapture.llm.merkle import manifest
 from webcapture.llm.packing import pack_documents
 from webcapture.llm.sentence_spans import remove_repeated_sentences
 from webcapture.llm.suffix_dedup import remove_repeats
 from webcapture.llm.token_counts import count_tokens
+from webcapture.llm.toxicity import toxicity
 
 QUERIES, ORACLES, query = registry()
 
@@ -175,3 +178,61 @@ def op2(spark, sf_dir):
 def op9(spark, sf_dir):
     found = remove_repeated_sentences(table(spark, sf_dir, "documents"), span=3)
     return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = """
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+f AS (SELECT doc_id, coalesce('s' || source, '') AS s, concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+        coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head, coalesce(strlen(text) || ':' || text, '-') AS body,
+    CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS BIGINT) AS crc FROM documents, crc),
+h AS (SELECT doc_id, s, sha256(head || body) AS leaf, CASE WHEN crc % 5 = 0 THEN sha256(head || translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) ELSE sha256(head || body) END AS found FROM f),
+leaves AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY s) AS n, row_number() OVER () AS k FROM h),
+up AS (SELECT 0 AS l, s, i, n, leaf AS h FROM leaves UNION ALL SELECT l + 1, s, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY l, s, i // 16, n),
+subs AS MATERIALIZED (SELECT s, l, h AS subroot, row_number() OVER (ORDER BY s) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+up2 AS (SELECT 0 AS l, i, n, subroot AS h FROM subs UNION ALL SELECT l + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM up2 WHERE n > 1 GROUP BY l, i // 16, n),
+sib AS MATERIALIZED (SELECT s, l, i, coalesce(string_agg(h, '') OVER (PARTITION BY s, l, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+    coalesce(string_agg(h, '') OVER (PARTITION BY s, l, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM up WHERE n > 1),
+sib2 AS MATERIALIZED (SELECT l, i, coalesce(string_agg(h, '') OVER (PARTITION BY l, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+    coalesce(string_agg(h, '') OVER (PARTITION BY l, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM up2 WHERE n > 1),
+low AS (SELECT k, s, 0 AS l, i, found AS h, '' AS p FROM leaves UNION ALL SELECT k, s, low.l + 1, low.i // 16, sha256(a || h || b), p || a || b FROM low JOIN sib USING (s, l, i)),
+high AS (SELECT k, 0 AS l, subs.i, low.h, p FROM low JOIN subs USING (s, l) UNION ALL SELECT k, high.l + 1, high.i // 16, sha256(a || h || b), p || a || b FROM high JOIN sib2 USING (l, i)),
+done AS (SELECT k, high.h AS folded_root, up2.h AS root, p FROM high JOIN up2 ON up2.n = 1 AND high.l = up2.l)
+SELECT doc_id, leaf, subroot, root, sha256(p) AS proof_sha256, folded_root, folded_root = root AS verified FROM done JOIN leaves USING (k) JOIN subs USING (s)
+"""
+
+OP12_SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS MATERIALIZED (SELECT k, lang, source, term, count(*) AS n FROM (SELECT k, lang, source, unnest(w) AS term FROM d) GROUP BY k, lang, source, term),
+kept AS MATERIALIZED (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM t GROUP BY lang, term HAVING count(*) >= 30),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS n FROM kept GROUP BY lang),
+own AS (SELECT lang, source, term, CAST(sum(t.n) AS HUGEINT) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v, coalesce(langs.n, 0) AS lang_total FROM (SELECT DISTINCT lang, source FROM d)
+    LEFT JOIN (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM own GROUP BY lang, source) USING (lang, source) LEFT JOIN langs USING (lang)),
+p AS MATERIALIZED (SELECT g.lang, g.source, kept.term, coalesce(own.n, 0) AS n, CAST(1 + 1000000000 * (coalesce(own.n, 0) + 5) // (total + 5 * v) AS BIGINT) AS p,
+    CAST(1 + 1000000000 * (kept.n + 5) // (lang_total + 5 * v) AS BIGINT) AS q FROM g JOIN kept USING (lang) LEFT JOIN own ON own.lang = g.lang AND own.source = g.source AND own.term = kept.term),
+far AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark, sf_dir):
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return manifest(table(spark, sf_dir, "documents"), tampered, lower)
+
+
+@query("op12_source_divergence", OP12_SQL)
+def op12(spark, sf_dir):
+    return divergence(table(spark, sf_dir, "documents"), least_docs=30)
+
+
+@query("op13_toxicity")
+def op13(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
