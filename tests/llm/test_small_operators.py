@@ -1,13 +1,16 @@
+import tracemalloc
+import re
 import hashlib
 import random
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from webcapture.llm import chat_format, token_words, warc
+from webcapture.llm import chat_format, langid, token_words, warc
 from webcapture.llm.decontaminate import build_index, contamination, find_items
 from webcapture.llm.exact_topk import top_k
 from webcapture.llm.langid import identify
@@ -237,12 +240,90 @@ def test_benchmark_windows(spark):
 # Sentence spans
 
 
+def plain_sentences(docs, span, words):
+    """The rule, sentence by sentence: which stay of each text."""
+    cut = {k: re.findall(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+", text or "") for k, text in docs}
+    seen, gone = {}, {k: set() for k in cut}
+    for k in sorted(cut, key=lambda k: (k is None, k)):
+        own = cut[k]
+        for i in range(len(own)):
+            ends = [j for j in range(i + span - 1, len(own)) if sum(len(s.split()) for s in own[i : j + 1]) >= words]
+            if ends:
+                run = "".join(own[i : ends[0] + 1]).rstrip(" \t\n\f\r")
+                if seen.setdefault(run, (k, i)) != (k, i):
+                    gone[k] |= set(range(i, ends[0] + 1))
+    return {k: (len(own), len(gone[k]), "".join(s for i, s in enumerate(own) if i not in gone[k])) for k, own in cut.items()}
+
+
 def test_repeated_sentences(spark):
-    shared = "One two. Three four! Five six?"
-    docs = [(1, f"Start here. {shared} End a."), (2, f"Other.\n{shared} Tail b."), (3, f"{shared} {shared}"), (4, None), (5, ""), (6, " \n"), (None, shared), (7, "Same only. Twice."), (8, "Same only. Twice."), (9, "No stop " * 30000)]
+    shared = "One two. Three four! Five six seven? Eight."
+    docs = [(1, f"Start here. {shared} End a."), (2, f"Other.\n{shared} Tail b."), (3, f"{shared} {shared}"), (4, None), (5, ""), (6, " \n"), (None, shared), (7, "Same only. Twice."), (8, "Same only. Twice."), (9, "No stop " * 30000), (10, f"..!  {shared}"), (11, "a. " * 9)]
     df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, at int")
-    got = {r.doc_id: r for r in remove_repeated_sentences(df).collect()}
-    assert got[1].n_removed == 0 and got[2].kept == "Other.\nTail b." and got[3].kept == "" and got[None].kept == ""
-    assert (got[4].n_sentences, got[5].n_sentences, got[6].n_sentences) == (0, 0, 1)
-    assert got[7].kept == "Same only. Twice." and got[8].kept == "" and got[9].n_removed == 0
+    for span, words in ((2, 6), (2, 3), (3, 1), (1, 1)):
+        got = {r.doc_id: (r.n_sentences, r.n_removed, r.kept) for r in remove_repeated_sentences(df, span=span, words=words).collect()}
+        assert got == plain_sentences(docs, span, words)
     assert remove_repeated_sentences(df.limit(0)).collect() == []
+
+
+# Memory of workers
+
+
+def peak(run):
+    tracemalloc.start()
+    run()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most
+
+
+def test_many_short_texts_take_little_memory():
+    texts = [f"{k} kurze Zeile mit wenig Text darin und ein Ende {k * 7919}".ljust(100, "x") for k in range(5000)]
+    batch = pa.record_batch([pa.array(["de"] * 5000), pa.array(range(5000)), pa.array(texts)], names=["lang", "part", "text"])
+    assert peak(lambda: list(langid._sampled([batch]))) < 100e6
+
+
+def test_remembered_parts_are_bounded():
+    memory = token_words.Memory(WORDS, limit=1 << 20)
+    for start in range(0, 60000, 6000):
+        words = [f" {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}" for k in range(start, start + 6000)]
+        memory.ids([" the", *words])
+        assert len(memory.young) + len(memory.old) < 16000
+    assert " the" in memory.young or " the" in memory.old
+
+
+def test_long_texts_are_parted_at_safe_places(monkeypatch):
+    texts = ["", None, "Some words, and more! " * 50, "x" * 300, "kein\u00a0Raum hier \u3000 da " * 20, "<|endoftext|> a <|x " * 30]
+    whole = list(token_words.token_ids(WORDS, texts))
+    monkeypatch.setattr(token_words, "AT_ONCE", 64)
+    assert list(token_words.token_ids(WORDS, texts)) == whole
+    assert token_words.lengths(WORDS, texts) == [len(x) // 4 for x in whole]
+
+
+def test_fit_is_follow_the_regularised_leader():
+    """Against the rule written out weight by weight."""
+    rng, how = np.random.default_rng(5), langid.Settings(epochs=2)
+    rows = [(int(rng.integers(3)), np.sort(rng.choice(40, 6, replace=False)), rng.random(6)) for _ in range(200)]
+    z, n = np.zeros((3, 40)), np.zeros((3, 40))
+
+    def weight(c, g):
+        if abs(z[c, g]) <= how.l1:
+            return 0.0
+        return -(z[c, g] - np.sign(z[c, g]) * how.l1) / ((how.beta + n[c, g] ** 0.5) / how.alpha + how.l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(how.epochs):
+        for k in order.permutation(len(rows)):
+            label, grams, x = rows[k]
+            w = [[weight(c, g) if n[c, g] else 0.0 for g in grams] for c in range(3)]
+            e = np.exp([sum(a * b for a, b in zip(own, x, strict=True)) for own in w])
+            for c in range(3):
+                for j, g in enumerate(grams):
+                    step = (e[c] / e.sum() - (c == label)) * x[j]
+                    z[c, g] += step - ((n[c, g] + step * step) ** 0.5 - n[c, g] ** 0.5) / how.alpha * w[c][j]
+                    n[c, g] += step * step
+    got = langid._fitted(rows, 3, how)[:, :40]
+    assert np.allclose(got, [[weight(c, g) for g in range(40)] for c in range(3)])
+    logits, labels = rng.normal(0, 4, (300, 3)), rng.integers(0, 3, 300)
+    loss = lambda t: -np.log(langid._softmax(logits / t)[np.arange(300), labels]).mean()
+    best = langid._temperature(logits, labels)
+    assert all(loss(best) <= loss(t) + 1e-9 for t in np.geomspace(0.06, 19, 60))

@@ -39,10 +39,10 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def gram_counts(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """Counts of the hashed n-grams of each text, lower-cased, other characters than letters as one blank each.
+def gram_counts(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashed n-grams of each text and their counts; lower-cased, other characters than letters as one blank each.
 
-    All zeros for a text that is null or has no letter.
+    None for a text that is null or has no letter.
     """
     texts = [(t or "").lower() for t in texts]
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -56,12 +56,14 @@ def gram_counts(texts: list[str | None]) -> Iterator[np.ndarray]:
     start = 0
     for text in texts:
         end = start + len(text)
-        counts = np.zeros(_SIZE, np.int64)
-        if letter[start:end].any():
-            for n in GRAMS:
-                if end - start >= n:
-                    counts += np.bincount(hashed[n - 1][start : end - n + 1], minlength=_SIZE)
-        yield counts
+        own = [hashed[n - 1][start : max(start, end - n + 1)] for n in GRAMS] if letter[start:end].any() else [hashed[0][:0]]
+        if len(text) < _SIZE // 16:
+            grams, counts = np.unique(np.concatenate(own), return_counts=True)
+        else:
+            counts = sum(np.bincount(x, minlength=_SIZE) for x in own)
+            grams = np.flatnonzero(counts)
+            counts = counts[grams]
+        yield grams.astype(np.int64), counts
         start = end
 
 
@@ -69,9 +71,7 @@ def _sampled(batches):
     """Sparse counts of each sampled text."""
     schema = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
     for batch in by_bytes(batches, "text"):
-        counts = list(gram_counts(batch.column("text").to_pylist()))
-        some = [np.flatnonzero(c) for c in counts]
-        blobs = [[k.astype(np.int32).tobytes() for k in some], [c[k].astype(np.int32).tobytes() for c, k in zip(counts, some, strict=True)]]
+        blobs = list(zip(*((x.astype(np.int32).tobytes() for x in pair) for pair in gram_counts(batch.column("text").to_pylist())), strict=True))
         yield pa.record_batch([batch.column("lang"), batch.column("part"), *(pa.array(b, pa.binary()) for b in blobs)], schema=schema)
 
 
@@ -79,8 +79,8 @@ def _frequencies(batches):
     """One row per task: in how many of its texts each n-gram occurs."""
     found, texts = np.zeros(_SIZE + 1, np.int64), 0
     for batch in by_bytes(batches, "text"):
-        for counts in gram_counts(batch.column("text").to_pylist()):
-            found[:_SIZE] += counts > 0
+        for grams, _ in gram_counts(batch.column("text").to_pylist()):
+            found[grams] += 1
             texts += 1
     found[_SIZE] = texts
     if texts:
@@ -191,13 +191,11 @@ def _scored(shared) -> Callable:
         by_gram = np.ascontiguousarray(model.weights.T.astype(np.float64) * model.idf[:, None])
         for batch in by_bytes(batches, "text"):
             langs, scores = [], []
-            for counts in gram_counts(batch.column("text").to_pylist()):
-                grams = np.flatnonzero(counts)
+            for grams, own in gram_counts(batch.column("text").to_pylist()):
                 if not len(grams) or not model.langs:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                own = counts[grams]
                 value = own * model.idf[grams]
                 likely = _softmax(own @ by_gram[grams] / np.sqrt((value * value).sum()) / model.heat)
                 best = int(likely.argmax())

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from webcapture.llm.common import by_bytes, saved
-from webcapture.llm.token_words import token_ids
+from webcapture.llm.token_words import Memory, token_ids
 
 #: Groups that the pieces of one length are dealt to for ranking.
 SALTS = 256
@@ -243,10 +243,11 @@ def _pieces(path: str, capacity: int, end_id: int) -> Callable:
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
+        memory = Memory(path)
         for batch in by_bytes(batches, "text"):
             rows = []
             texts = batch.column("text").to_pylist()
-            for doc, ids in zip(batch.column("id").to_pylist(), token_ids(path, texts), strict=True):
+            for doc, ids in zip(batch.column("id").to_pylist(), token_ids(path, texts, memory), strict=True):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

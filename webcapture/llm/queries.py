@@ -70,10 +70,12 @@ FROM d LEFT JOIN f USING (digest)
 
 OP9_SQL = """
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\\n]*[.!?\\n]+\\s*|[^.!?\\n]+') AS s FROM documents),
-runs AS (SELECT k, doc_id, i, sha256(regexp_replace(array_to_string(s[i:i + 2], ''), '\\s+$', '')) AS h
-    FROM (SELECT k, doc_id, s, unnest(generate_series(1, greatest(len(s) - 2, 1))) AS i FROM d WHERE len(s) > 0)),
-again AS (SELECT k, i FROM (SELECT k, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM runs) WHERE n > 1),
-gone AS (SELECT DISTINCT k, unnest(generate_series(i, least(i + 2, len(s)))) AS p FROM again JOIN d USING (k)),
+w AS (SELECT k, i, len(regexp_extract_all(s[i], '\\S+')) AS n FROM (SELECT k, s, unnest(generate_series(1, len(s))) AS i FROM d WHERE len(s) > 0)),
+c AS MATERIALIZED (SELECT k, i, sum(n) OVER (PARTITION BY k ORDER BY i) AS upto, sum(n) OVER (PARTITION BY k ORDER BY i) - n AS before FROM w),
+ends AS (SELECT a.k, a.i, min(b.i) AS j FROM c a JOIN c b ON a.k = b.k AND b.i > a.i AND b.upto >= a.before + 20 GROUP BY a.k, a.i),
+runs AS (SELECT k, doc_id, i, j, sha256(regexp_replace(array_to_string(s[i:j], ''), '\\s+$', '')) AS h FROM ends JOIN d USING (k)),
+again AS (SELECT k, i, j FROM (SELECT k, i, j, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM runs) WHERE n > 1),
+gone AS (SELECT DISTINCT k, unnest(generate_series(i, j)) AS p FROM again),
 sentences AS (SELECT k, unnest(generate_series(1, len(s))) AS p, unnest(s) AS t FROM d),
 kept AS (SELECT k, string_agg(t, '' ORDER BY p) AS kept FROM sentences ANTI JOIN gone USING (k, p) GROUP BY k),
 n AS (SELECT k, count(*) AS n FROM gone GROUP BY k)
@@ -176,7 +178,7 @@ def op2(spark, sf_dir):
 
 @query("op9_sentence_spans", OP9_SQL)
 def op9(spark, sf_dir):
-    found = remove_repeated_sentences(table(spark, sf_dir, "documents"), span=3)
+    found = remove_repeated_sentences(table(spark, sf_dir, "documents"), span=2, words=20)
     return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

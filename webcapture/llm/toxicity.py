@@ -56,9 +56,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     words = np.flatnonzero(np.append(~blank[1:] & blank[:-1], False)) + 1 if len(data) else np.zeros(0, np.int64)
     next_word = np.append(words, len(data) + 2 * size)[np.searchsorted(words, places)]
     first = places == offsets[:-1][text]
-    starts = np.where(first | (next_word >= places + size), places, next_word)
-    keep = first | (starts < offsets[1:][text])
-    starts, text = starts[keep], text[keep]
+    starts = np.where(first | (next_word >= np.minimum(places + size, offsets[1:][text])), places, next_word)
     ends = np.append(starts[1:], len(data))
     return starts, ends, np.searchsorted(text, np.arange(len(offsets)))
 
