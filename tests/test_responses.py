@@ -169,5 +169,5 @@ def test_read_table_dump(spark, tmp_path):
 
 def test_bodies_are_parsed_once(responses):
     plan = flatten_search(responses({"data": {}}).withColumn("n", F.lit(1)), "n")[0]._jdf.queryExecution().optimizedPlan().toString()
-    # One parse inside brackets, and one more that runs only for doubtful texts.
-    assert plan.count("parseJson") == 2
+    # One parse inside brackets, one more that runs only for doubtful texts, one only for bodies beyond the limit.
+    assert plan.count("parseJson") == 3

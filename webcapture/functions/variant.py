@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 
 from webcapture.functions.text import _col
 
+#: Bytes of text beyond which Spark cannot hold the parsed value.
+VARIANT_BYTES = 128 << 20
+# Members that the flattening reads, at the root and in "data"; the Markdown is read as text.
+_ROOT = ("success", "message", "error", "upstream", "creditsUsed", "results", "headers")
+_DATA = (
+    "metadata", "web", "news", "images", "audio", "video",
+    "remainingCredits", "planCredits", "billingPeriodStart", "billingPeriodEnd",
+)
+_ANY_LENGTH = {"maxStringLen": str((1 << 31) - 1)}
+
 
 def _path(keys) -> str:
     return "$" + "".join(f'["{k}"]' if "'" in k else f"['{k}']" for k in keys)
@@ -32,6 +42,41 @@ def parsed_bodies(c) -> Column:
     return F.transform(F.array(F.try_parse_json(F.concat(F.lit("[["), c, F.lit("]]")))), checked)
 
 
+def _members() -> str:
+    data = ",".join(["markdown:string", *(f"{k}:variant" for k in _DATA)])
+    return "struct<" + ",".join([*(f"{k}:variant" for k in _ROOT), f"data:struct<{data}>"]) + ">"
+
+
+def is_large(c) -> Column:
+    """True for a body that is longer than a parsed value may be."""
+    return F.coalesce(F.octet_length(_col(c)) > VARIANT_BYTES, F.lit(False))
+
+
+def _pulled(c: Column) -> Column:
+    """The members of a body of any length, pulled from the text as they pass; null unless it is one value."""
+    rows = F.from_json(F.concat(F.lit("[["), c, F.lit("]]")), f"array<array<{_members()}>>", _ANY_LENGTH)
+    in_object = F.from_json(F.concat(F.lit('{"x":'), c, F.lit("}")), "struct<x:string>", _ANY_LENGTH)["x"].isNotNull()
+    whole = (F.size(rows) == 1) & (F.size(F.get(rows, 0)) == 1) & (~c.rlike(r"\]\s*(?:\]|\z)") | in_object)
+    return F.when(whole, F.get(F.get(rows, 0), 0))
+
+
+def large_body(c) -> Column:
+    """A body beyond ``VARIANT_BYTES`` as VARIANT: the members that this library reads, without the Markdown.
+
+    Nothing of the text is parsed into a value but those members. Null if it is not one JSON object.
+    """
+    found = _pulled(_col(c))
+    return F.get(F.transform(F.array(found), lambda x: F.try_parse_json(F.to_json(x.withField("data", x["data"].dropFields("markdown"))))), 0)
+
+
+def large_markdown(c) -> Column:
+    """``data.markdown`` of a body beyond ``VARIANT_BYTES``, null where no member of that name is a string."""
+    c = _col(c)
+    has_string = c.rlike(r'"markdown"\s*:\s*"')
+    rows = F.from_json(c, "struct<data:struct<markdown:string>>", _ANY_LENGTH)
+    return F.when(has_string, rows["data"]["markdown"])
+
+
 def parse_body(c) -> Column:
     """Text to VARIANT, null unless the whole text is one JSON value.
 

@@ -10,15 +10,15 @@ from webcapture.functions.variant import (
     boolean_false,
     credits_used,
     error_reason,
+    is_large,
     is_object,
+    large_markdown,
     pick,
     resolved_url,
     string_only,
     truthy,
 )
 
-# Bytes of text beyond which Spark cannot hold the parsed value.
-VARIANT_BYTES = 128 << 20
 # The members kept of an item of each kind, and where its list lies.
 ITEM_FIELDS = {
     "web": ("title", "description", "url"),
@@ -113,8 +113,11 @@ def search_envelope(df: DataFrame) -> DataFrame:
     )
 
 
-def _markdown(strict: bool, repair: bool) -> Column:
-    text = percent_decode(string_only("v", "data", "markdown"), strict=strict)
+def _markdown(df: DataFrame, strict: bool, repair: bool) -> Column:
+    text = string_only("v", "data", "markdown")
+    if "raw" in df.columns:
+        text = F.when(is_large("raw"), large_markdown("raw")).otherwise(text)
+    text = percent_decode(text, strict=strict)
     return repair_newlines(text) if repair else text
 
 
@@ -138,7 +141,7 @@ def scrape_records(df: DataFrame, strict: bool = False, repair: bool = True) ->
         _meta("description"),
         resolved_url("v", F.col("target_url")).alias("url"),
         _meta("language"),
-        _markdown(strict, repair).alias("markdown"),
+        _markdown(df, strict, repair).alias("markdown"),
         credits_used("v", "scrape").alias("creditsUsed"),
     )
 
@@ -150,7 +153,7 @@ def parse_records(df: DataFrame, strict: bool = False, repair: bool = True) -> D
         resolved_url("v", F.col("target_url")).alias("url"),
         _meta("language"),
         credits_used("v", "parse").alias("creditsUsed"),
-        _markdown(strict, repair).alias("markdown"),
+        _markdown(df, strict, repair).alias("markdown"),
     )
 
 
@@ -188,7 +191,6 @@ def classify(df: DataFrame, kind: str = "scrape", status_col: str | None = None)
         chain.append((~F.col(status_col).between(200, 299), "http_error"))
     chain += [
         (raw.isNull() | ~raw.rlike(r"[^\s\x1c-\x1f\x85\p{Z}]") | F.is_variant_null(v), "empty"),
-        (v.isNull() & (F.octet_length(raw) > VARIANT_BYTES), "too_large"),
         (v.isNull(), "unparseable"),
         (~is_object(v), "malformed"),
         (truthy(v, "error"), "error"),
@@ -208,7 +210,6 @@ def _message() -> Column:
     fixed = (
         F.when(outcome == "empty", "response is empty")
         .when(outcome == "unparseable", "response is not JSON")
-        .when(outcome == "too_large", "response is larger than a parsed value may be")
         .when(outcome == "malformed", "response is not an object")
         .when(outcome == "missing_data", "response is missing data object")
     )

@@ -7,7 +7,7 @@ import importlib.resources
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcapture.functions.variant import parsed_bodies
+from webcapture.functions.variant import is_large, large_body, parsed_bodies
 from webcapture.operators.country import dictionary_aliases, dictionary_entries
 from webcapture.operators.requests import DOCUMENT_EXTENSIONS
 
@@ -15,10 +15,12 @@ from webcapture.operators.requests import DOCUMENT_EXTENSIONS
 def parse_responses(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """Add ``v``: the body as VARIANT, null where it is blank or not JSON.
 
-    Of a repeated key the last value counts; the session is set to parse such objects.
+    Of a repeated key the last value counts; the session is set to parse such objects. Bodies too long for
+    a VARIANT come with the members that the flattening reads; their Markdown is read from ``raw``.
     """
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return df.select("*", F.explode(parsed_bodies(raw_col)).alias("v"))
+    bodies = F.when(is_large(raw_col), F.array(large_body(raw_col))).otherwise(parsed_bodies(raw_col))
+    return df.select("*", F.explode(bodies).alias("v"))
 
 
 def read_responses(spark: SparkSession, path: str, fmt: str = "text", stream: bool = False) -> DataFrame:
