@@ -65,3 +65,17 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return keyword_ranking(table(spark, sf, "documents"), _KEYWORDS, "doc_id")
+
+
+# Some five thousand literal keywords: every pair of syllables.
+_SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve ch ge ie un sc be ll ra os as ci la qu et eu ai ion ing tion and the que ung lich keit heit ver ent men ado aci ment eau eux".split()
+_PAIRS = list(dict.fromkeys(a + b for a in _SYLLABLES for b in _SYLLABLES))
+
+
+@query(
+    "keyword_profile",
+    f"""WITH s AS (SELECT unnest({_SYLLABLES}) AS x), k AS (SELECT DISTINCT a.x || b.x AS keyword FROM s a, s b)
+        SELECT doc_id, keyword, CAST((length(text) - length(replace(text, keyword, ''))) // length(keyword) AS INTEGER) AS hits FROM documents, k WHERE contains(text, keyword)""",
+)
+def _(spark, sf):
+    return keyword_hits(table(spark, sf, "documents"), _PAIRS, "doc_id")

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | None = None) -> SparkSession:
+def local_session(cpus: int | None = None, memory: str = "8g") -> SparkSession:
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -15,7 +15,7 @@ def local_session(cpus: int | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", memory)
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -10,7 +10,7 @@ from checks.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session()
+    session = local_session(memory="5g")  # other tests start a second driver beside it
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     return session

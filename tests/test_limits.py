@@ -40,3 +40,23 @@ def test_equal_names_are_split(spark):
     index = spark.createDataFrame([("france", "FR")], "key string, code string")
     got = resolve_country(df, "name", index, salts=8).groupBy("country_code").count().collect()
     assert {r.country_code: r["count"] for r in got} == {"FR": 50, "US": 50}
+
+
+def test_frequent_names_are_found_and_split(spark):
+    """A third of the rows has one name, in two spellings, and nothing may be broadcast but what the sketch reports."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    name = F.when(F.col("id") % 6 == 0, "  France").when(F.col("id") % 6 == 1, "FRANCE.").when(F.col("id") % 6 == 2, F.lit(None)).otherwise(F.concat(F.lit("land "), F.col("id")))
+    df = spark.range(0, 60_000, numPartitions=6).select("id", name.alias("name"), F.lit(0).alias("parts"))
+    index = spark.range(59_000).select(F.concat(F.lit("land "), F.col("id")).alias("key"), F.lit("LD").alias("code")).union(spark.createDataFrame([("france", "FR")]))
+    try:
+        for k, v in zip(old, ("-1", "false", "12"), strict=True):
+            spark.conf.set(k, v)
+        found = resolve_country(df, "name", index)
+        assert found.columns == [*df.columns, "country_code", "match_rule"]
+        counts = {r.country_code: r["count"] for r in found.groupBy("country_code").count().collect()}
+        assert counts == {"FR": 20_000, "LD": 29_499, "US": 10_501}
+        sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert len(sizes) == 12 and sizes[-1] < 2 * sizes[6]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

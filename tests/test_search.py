@@ -47,3 +47,18 @@ def test_keywords(spark):
     totals = [r.hits for r in ranked]
     assert totals == sorted(totals, reverse=True)
     assert {r.id: r.hits for r in ranked} == {i: n for i in range(len(texts)) if (n := sum(want.get((i, w), 0) for w in words))}
+
+
+def test_many_keywords_are_one_automaton(spark):
+    texts = ["aaaa abab", "", None, "x.y aba Ünï", "a" * 100_000, "none"]
+    words = ["aa", "ab", "aba", "Ünï", "aa", *(f"w{i}" for i in range(3000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = sorted(map(tuple, keyword_hits(df, [*words, r"a.a", "[.]"], "id").collect()))
+    want = [(i, w, t.count(w)) for i, t in enumerate(texts) if t for w in words if w in t]
+    want += [(i, p, len(re.findall(p, t))) for i, t in enumerate(texts) if t for p in ("a.a", "[.]") if re.search(p, t)]
+    assert got == sorted(want)
+    ranked = [tuple(r) for r in keyword_ranking(df, words, "id").collect()]
+    totals = {i: (sum(h for j, _, h in want if j == i and _ in words), sum(1 for j, w, _ in want if j == i and w in words)) for i in (0, 3, 4)}
+    assert ranked == sorted(((i, *x) for i, x in totals.items()), key=lambda r: (-r[1], r[0]))
+    few, many = (keyword_hits(df, [f"k{i}" for i in range(n)], "id")._jdf.queryExecution().optimizedPlan().toString() for n in (100, 5000))
+    assert len(many) < len(few) + 50

@@ -42,8 +42,31 @@ def build_alias_index(aliases: DataFrame) -> DataFrame:
     return _alias_keys(aliases).groupBy("key").agg(F.min("code").alias("code"))
 
 
+#: Names that the sketch reports and follows; parts that a name with all rows would be split into.
+REPORTED, FOLLOWED, PARTS = 200, 10_000, 1024
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate lets it broadcast the table, so that no row of the other side moves."""
+    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+
+
+def heavy_names(df: DataFrame, col: str) -> DataFrame:
+    """``key, _parts`` of normalised names that hold a thousandth of the rows or more, by one sketch over the column.
+
+    At most two keys for each of the ``REPORTED`` names, whatever the table; ``_parts`` grows with the share.
+    """
+    top = F.call_function("approx_top_k", F.col(col), F.lit(REPORTED), F.lit(FOLLOWED))
+    counted = df.agg(top.alias("top"), F.count("*").alias("total"))
+    names = counted.select("total", F.explode("top").alias("x")).select(strip("x.item").alias("name"), (F.col("x.count") / F.col("total")).alias("share"))
+    keys = names.filter(f"share >= {1 / PARTS}").select("share", F.explode(F.array_distinct(F.array(normalize_name("name"), upper_case_key("name")))).alias("key"))
+    shares = keys.filter("key != ''").groupBy("key").agg(F.sum("share").alias("share"))
+    return shares.select("key", F.least(F.ceil(F.col("share") * PARTS), F.lit(PARTS)).cast("int").alias("_parts"))
+
+
 def resolve_country(
-    df: DataFrame, col: str, alias_index: DataFrame, default: str = "US", salts: int = 1
+    df: DataFrame, col: str, alias_index: DataFrame, default: str = "US", salts: int | None = None
 ) -> DataFrame:
     """Add ``country_code`` and ``match_rule``.
 
@@ -51,9 +74,11 @@ def resolve_country(
     taken as a code, unchecked; then a hit on the normalised upper-case name; else the default.
 
     No broadcast is forced: Spark broadcasts the index while its size allows that, and no row moves.
-    Beyond, rows are shuffled by name; then ``salts`` splits the rows of a frequent name into so many
-    parts, against as many copies of the index. Rows are told apart by their place in the input, so equal rows
-    are split like any others, and rows without a key to look up are spread.
+    Beyond, rows are shuffled by name. A sketch over the names then reports the frequent ones, and only
+    these are split, each into parts in proportion to its share, against as many copies of its index rows.
+    ``salts`` splits all names into so many parts instead; a stream, which cannot be counted before, splits
+    none without it. Rows are told apart by their place in the input, so equal rows are split like any
+    others, and rows without a key to look up are spread.
     """
     name = strip(col)
     # The place only balances: which part a row joins in does not change what it finds.
@@ -61,20 +86,24 @@ def resolve_country(
     keyed = keyed.withColumn("_key", normalize_name("_name")).withColumn("_upper", upper_case_key("_name"))
     # A normalised name holds no "#", so these keys match nothing.
     nowhere = F.concat(F.lit("#"), F.pmod("_row", F.lit(4096)).cast("string"))
-    salt = F.pmod("_row", F.lit(salts)).cast("int")
     keyed = keyed.select(
         "*",
         F.when(F.col("_key") != "", F.col("_key")).otherwise(nowhere).alias("_first"),
         F.when(F.col("_upper") != F.col("_key"), F.col("_upper")).otherwise(nowhere).alias("_second"),
-        salt.alias("_salt"),
     )
-
-    def side(key, code):
-        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0)
-        return alias_index.select(F.col("key").alias(key), F.col("code").alias(code), copies.alias("_salt"))
-
-    joined = keyed.join(side("_first", "_code"), ["_first", "_salt"], "left")
-    joined = joined.join(side("_second", "_upper_code"), ["_second", "_salt"], "left")
+    heavy = None if salts or df.isStreaming or fits_broadcast(alias_index) else heavy_names(df, col)
+
+    def looked_up(rows, key, code):
+        index, parts = alias_index.select(F.col("key").alias(key), F.col("code").alias(code)), F.lit(salts or 1)
+        if heavy is not None:
+            # Bounded by what the sketch reports.
+            own = F.broadcast(heavy.withColumnRenamed("key", key))
+            rows, index, parts = rows.join(own, key, "left"), index.join(own, key, "left"), F.coalesce("_parts", F.lit(1))
+        copies = F.explode(F.sequence(F.lit(0), parts - 1)) if heavy is not None or (salts or 1) > 1 else F.lit(0)
+        rows = rows.withColumn("_salt", F.pmod("_row", parts).cast("int")).drop("_parts")
+        return rows.join(index.withColumn("_salt", copies).drop("_parts"), [key, "_salt"], "left").drop("_salt")
+
+    joined = looked_up(looked_up(keyed, "_first", "_code"), "_second", "_upper_code")
     blank = F.coalesce(F.col("_name"), F.lit("")) == ""
     two = F.coalesce(F.col("_name").rlike(r"\A\p{L}{2}\z"), F.lit(False))
     code, upper_code = F.col("_code"), F.col("_upper_code")

@@ -5,11 +5,21 @@ Lines are counted from 1 and end at a line feed; a final line feed opens no furt
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webcapture.functions.text import _col
 
+#: Keywords without a special character from which on one automaton finds all of them in one pass.
+MANY = 32
+_SPECIAL = re.compile(r"[\\^$.|?*+()\[\]{}]|\A\Z")
+_COUNTS = "array<struct<keyword: string, hits: int>>"
+
 
 def _lines(text) -> Column:
     text = _col(text)
@@ -71,25 +81,71 @@ def outline(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     )
 
 
+def _found(shared) -> Callable:
+    """Counts of each literal keyword in each text: places that do not overlap, from the left."""
+
+    def find(batches):
+        import ahocorasick
+
+        given = Counter(shared.value)
+        automaton = ahocorasick.Automaton()
+        for k, word in enumerate(given):
+            automaton.add_word(word, (k, len(word)))
+        automaton.make_automaton()
+        words, times = list(given), list(given.values())
+        for batch in batches:
+            rows = []
+            for text in batch.column("_text").to_pylist():
+                counts: dict[int, int] = {}
+                free: dict[int, int] = {}
+                for last, (k, size) in automaton.iter(text or ""):
+                    if last - size >= free.get(k, -1):
+                        counts[k], free[k] = counts.get(k, 0) + 1, last
+                rows.append([{"keyword": words[k], "hits": hits} for k, hits in counts.items() for _ in range(times[k])])
+            kind = pa.list_(pa.struct([("keyword", pa.string()), ("hits", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], names=[*batch.schema.names, "_found"])
+
+    return find
+
+
+def _keyword_counts(df: DataFrame, keywords, key: str, text: str) -> DataFrame:
+    """``key`` and ``_counts``: of each document the keywords found, and how often.
+
+    Keywords are regular expressions. Many literal ones become one automaton, built once per task, so that the
+    plan does not grow with them and each text is read once; the others stay Column expressions.
+    """
+    literal = [k for k in keywords if not _SPECIAL.search(k)]
+    if len(literal) < MANY:
+        literal = []
+    apart = [k for k in keywords if not literal or _SPECIAL.search(k)]
+    rows, found = df.select(key, F.col(text).alias("_text")), F.array().cast(_COUNTS)
+    if literal:
+        shared = df.sparkSession.sparkContext.broadcast(literal)
+        schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema)
+        rows, found = rows.mapInArrow(_found(shared), f"{schema}, _found {_COUNTS}"), F.col("_found")
+    counted = [F.struct(F.lit(k).alias("keyword"), F.regexp_count("_text", F.lit(k)).alias("hits")) for k in apart]
+    every = F.concat(found, F.filter(F.array(*counted), lambda c: c["hits"] > 0)) if counted else found
+    return rows.select(F.col(rows.columns[0]), every.alias("_counts"))
+
+
 def keyword_hits(df: DataFrame, keywords, key: str, text: str = "text") -> DataFrame:
-    """Hits of each keyword pattern per document, documents without a hit left out."""
-    counted = F.array(
-        *[
-            F.struct(F.lit(k).alias("keyword"), F.regexp_count(F.col(text), F.lit(k)).alias("hits"))
-            for k in keywords
-        ]
-    )
-    rows = df.select(key, F.explode(F.filter(counted, lambda c: c["hits"] > 0)).alias("c"))
-    return rows.select(key, "c.keyword", "c.hits")
+    """Hits of each keyword pattern per document, documents without a hit left out.
+
+    A keyword given twice has two rows; null text has no hits. Any number of literal keywords may be given.
+    """
+    rows = _keyword_counts(df, keywords, key, text)
+    each = rows.select(F.col(rows.columns[0]), F.explode("_counts").alias("c"))
+    return each.select(F.col(rows.columns[0]), "c.keyword", "c.hits")
 
 
 def keyword_ranking(df: DataFrame, keywords, key: str, text: str = "text") -> DataFrame:
     """Documents with any hit, total hits and number of keywords found, best first."""
-    counts = F.array(*[F.regexp_count(F.col(text), F.lit(k)) for k in keywords])
+    rows = _keyword_counts(df, keywords, key, text)
+    id_col = rows.columns[0]
 
     def totals(found):
-        return F.struct(F.aggregate(found, F.lit(0), lambda a, c: a + c).alias("hits"), F.size(F.filter(found, lambda c: c > 0)).alias("n_keywords"))
+        return F.struct(F.aggregate(found, F.lit(0), lambda a, c: a + c["hits"]).alias("hits"), F.size(found).alias("n_keywords"))
 
     # Exploded, so that the filter and the sums share one run of the patterns.
-    ranked = df.select(key, F.explode(F.transform(F.array(counts), totals)).alias("_t")).select(key, "_t.hits", "_t.n_keywords")
-    return ranked.filter("hits > 0").orderBy(F.col("hits").desc(), F.col(key))
+    ranked = rows.select(id_col, F.explode(F.transform(F.array("_counts"), totals)).alias("_t")).select(id_col, "_t.hits", "_t.n_keywords")
+    return ranked.filter("hits > 0").orderBy(F.col("hits").desc(), F.col(id_col))
