@@ -13,6 +13,8 @@ from webcapture.llm.packing import pack_documents
 from webcapture.llm.suffix_dedup import remove_repeats
 from webcapture.shipping import ship
 
+#: Bytes of a batch that goes to Python: it is held twice by an executor's JVM and once by each worker.
+BATCH_BYTES = 8 << 20
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Least probability of the likeliest language; texts below it, and those without a letter, are rejected.
 LEAST_SCORE = 0.5
@@ -20,9 +22,15 @@ LEAST_SCORE = 0.5
 PASSAGE, GRAM, WORDS = 250, 96, 51
 
 
+def _prepare(spark: SparkSession) -> None:
+    """Sends the code to the executors and bounds what a batch of whole texts takes there."""
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose language cannot be told; the rows of five crc32 classes but one teach it."""
-    ship(spark)
+    _prepare(spark)
     known = identify(docs.select(*COLUMNS))
     return known.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
@@ -32,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without an id stay, as no other can be told to stand for them; of repeated rows one stays.
     """
-    ship(spark)
+    _prepare(spark)
     found = jaccard_components(docs, k=5, num=80, den=100)
     repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
     if not repeated.isEmpty():
@@ -46,14 +54,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     All documents stay. A character that a cut would part goes with the passage.
     """
-    ship(spark)
+    _prepare(spark)
     kept = remove_repeats(docs, length=PASSAGE, gram=GRAM, carry=("lang", "source"), as_text=True, words=WORDS)
     return kept.withColumn("n_chars", F.length("kept").cast("long")).withColumnRenamed("kept", "text").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which at least a twentieth of the words stand in benchmark windows."""
-    ship(spark)
+    _prepare(spark)
     own = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = contamination(find_items(build_index(own, id_col="row_key"), items))
@@ -62,7 +70,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 2048 tokens."""
-    ship(spark)
+    _prepare(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
