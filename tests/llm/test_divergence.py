@@ -39,7 +39,7 @@ def test_divergence(spark):
 
 
 def test_long_texts_are_tallied_in_pieces(monkeypatch):
-    monkeypatch.setattr(audit, "BATCH_BYTES", 64)
+    monkeypatch.setattr(audit, "WORD_BYTES", 64)
     data = np.frombuffer(b"one two three " * 100 + b"x" * 300, np.uint8)
     parts = list(audit._pieces(data, np.array([0, len(data)])))
     assert len(parts) > 5 and b"".join(p.tobytes() for p, _ in parts) == data.tobytes()

@@ -11,8 +11,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from webcapture.shared import new_path
 
-#: Bytes of text that a task turns into numpy arrays at once; a longer text is one batch of its own.
-BATCH_BYTES = 2 << 20
+#: Bytes of text that a task turns into numpy arrays at once; a longer text is one batch of its own. With the
+#: last text of a batch they stay below the 2 MB for which the powers of the hashes are kept.
+BATCH_BYTES = 1 << 20
+#: The same where larger batches mean fewer different words to look up or to send.
+WORD_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
 #: A second base, for a second hash that is independent of the first.
 OTHER_BASE = 0xC2B2AE3D27D4EB4F

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from webcapture.llm.common import BATCH_BYTES, LOWER, by_bytes, saved, utf8
+from webcapture.llm.common import LOWER, WORD_BYTES, by_bytes, saved, utf8
 from webcapture.llm.ranks import numbered
 
 #: Rows and columns of a block, and of a leaf of its quadtree; powers of two.
@@ -51,11 +51,11 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array,
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Bounded parts of a batch; only a single longer text is parted, beside bytes that no term holds."""
     at = 0
-    while len(offsets) == 2 and len(data) - at > 2 * BATCH_BYTES:
-        other = np.flatnonzero(~_TERM[data[at + BATCH_BYTES : at + 2 * BATCH_BYTES]])
+    while len(offsets) == 2 and len(data) - at > 2 * WORD_BYTES:
+        other = np.flatnonzero(~_TERM[data[at + WORD_BYTES : at + 2 * WORD_BYTES]])
         if not len(other):
             break
-        end = at + BATCH_BYTES + int(other[0])
+        end = at + WORD_BYTES + int(other[0])
         yield data[at:end], np.array([0, end - at])
         at = end
     yield data[at:], offsets - (offsets > 0) * at
@@ -63,7 +63,7 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 def _tallied(batches):
     """Of each batch, how often a group has a term and in how many texts; a row without a term for each group."""
-    for batch in by_bytes(batches, "text"):
+    for batch in by_bytes(batches, "text", WORD_BYTES):
         data, offsets = utf8(batch.column("text"))
         groups = pa.StructArray.from_arrays([pc.fill_null(batch.column(c), "") for c in ("lang", "source")], ["lang", "source"])
         names: dict[tuple[str, str], int] = {}

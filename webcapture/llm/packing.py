@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from webcapture.llm.common import by_bytes, saved
+from webcapture.llm.common import WORD_BYTES, by_bytes, saved
 from webcapture.llm.token_words import Memory, token_ids
 
 #: Groups that the pieces of one length are dealt to for ranking.
@@ -244,7 +244,7 @@ def _pieces(path: str, capacity: int, end_id: int) -> Callable:
 
     def cut(batches):
         memory = Memory(path)
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", WORD_BYTES):
             rows = []
             texts = batch.column("text").to_pylist()
             for doc, ids in zip(batch.column("id").to_pylist(), token_ids(path, texts, memory), strict=True):

@@ -7,14 +7,14 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from webcapture.llm.common import by_bytes
+from webcapture.llm.common import WORD_BYTES, by_bytes
 from webcapture.llm.token_words import Memory, lengths
 
 
 def _counted(path: str) -> Callable:
     def count(batches):
         memory = Memory(path)
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", WORD_BYTES):
             counts = pa.array(lengths(path, batch.column("text").to_pylist(), memory), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), counts], names=["id", "n_bytes", "n_tokens"])
 
