@@ -89,3 +89,10 @@ def test_pipeline_as_registered(spark, tmp_path):
         docs = spark.read.parquet(path)
     got, _ = placed(entry.queries()["pipeline"](spark, SF).collect(), 2048)
     assert got == pieces([(r.doc_id, r.text) for r in docs.collect()], 2048) and got
+
+
+def test_toxicity_as_registered(spark):
+    docs = {d["doc_id"]: d for d in documents()}
+    got = entry.queries()["op13_toxicity"](spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
