@@ -237,6 +237,15 @@ def test_benchmark_windows(spark):
     assert find_items(build_index(df.limit(0)), near).collect() == []
 
 
+def test_repeated_words_are_one_window(spark):
+    """Item and document are the same two words over and over: the work must not grow with the square."""
+    words = 40_000
+    df = spark.createDataFrame([(1, "buy now " * (words // 2)), (2, "buy " + "now buy " * 5)], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "buy now " * (words // 2)), (6, "now buy " * 30)], "item_id long, text string")
+    got = sorted((r.id, r.n_words, r.n_hit, r["items"]) for r in contamination(find_items(build_index(df), items)).collect())
+    assert got == [(1, words, words, ["5", "6"]), (2, 11, 0, [])]
+
+
 # Sentence spans
 
 
@@ -327,3 +336,11 @@ def test_fit_is_follow_the_regularised_leader():
     loss = lambda t: -np.log(langid._softmax(logits / t)[np.arange(300), labels]).mean()
     best = langid._temperature(logits, labels)
     assert all(loss(best) <= loss(t) + 1e-9 for t in np.geomspace(0.06, 19, 60))
+
+
+def test_captures_of_one_key_come_in_batches(spark, tmp_path):
+    pages = spark.range(23_000).select(F.col("id").alias("page_id"), F.lit("http://a.b/same").alias("url"), F.lit("<p>").alias("html"))
+    index = warc.build_index(warc.write_archives(pages))
+    found = warc.look_up(index, spark.createDataFrame([("http://a.b/same",)], "u string").select(warc.url_key(F.col("u")).alias("key")))
+    sizes = found.mapInArrow(lambda batches: (pa.record_batch([pa.array([b.num_rows], pa.int64())], names=["n"]) for b in batches), "n long").collect()
+    assert sum(r.n for r in sizes) == 23_000 and found.select("page").distinct().count() == 23_000

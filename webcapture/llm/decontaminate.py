@@ -65,7 +65,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 @dataclass
 class Windows:
-    """Windows of some items, as rows of places in ``vocabulary``; shorter windows end in -1."""
+    """Different windows of some items, as rows of places in ``vocabulary``; shorter windows end in -1."""
 
     items: list[str]
     item: np.ndarray
@@ -84,7 +84,9 @@ def _windows(items: list[tuple[str, str]], width: int) -> Windows:
             row[: len(part)] = part
             rows.append(row)
             owner.append(k)
-    return Windows([i for i, _ in items], np.array(owner, np.int64), vocabulary, np.array(rows, np.int64).reshape(-1, width))
+    # Equal windows of an item, as in a row of repeated words, find the same places.
+    own = np.unique(np.column_stack([np.array(owner, np.int64), np.array(rows, np.int64).reshape(-1, width)]), axis=0)
+    return Windows([i for i, _ in items], own[:, 0], vocabulary, own[:, 1:])
 
 
 def _blocks(items: DataFrame, width: int) -> Iterator[Windows]:

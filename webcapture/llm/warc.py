@@ -206,9 +206,10 @@ def _found(batches):
                     break
                 lines = block(k)
                 rows += lines[bisect.bisect_left(lines, key, key=lambda line: line[0]) : bisect.bisect_right(lines, key, key=lambda line: line[0])]
-            if len(rows) > 5000:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _CAPTURE.types, strict=True)], schema=_CAPTURE)
-                rows = []
+                # Within the key: one key may have any number of captures.
+                if len(rows) > 5000:
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _CAPTURE.types, strict=True)], schema=_CAPTURE)
+                    rows = []
         if rows:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _CAPTURE.types, strict=True)], schema=_CAPTURE)
 
