@@ -439,6 +439,20 @@ def _(spark, sf):
     return spark.read.parquet(folder)
 
 
+@query(
+    "write_exports_batches",
+    f"""SELECT concat('exports/doc', doc_id, '.md') AS export_name, {_CAPTURE} AS export_text, CAST(doc_id % 2 AS INTEGER) AS batch FROM documents WHERE doc_id % 7 <> 0""",
+)
+def _(spark, sf):
+    # All rows, in two batches; the first is written again after the second.
+    name = export_path(F.concat(F.lit("doc"), F.col("doc_id")), "exports")
+    records = render_capture(_records(spark, sf)).withColumn("export_name", name)
+    folder = new_path(spark, "exports")
+    for batch in (0, 1, 0):
+        write_exports(records.filter(F.col("doc_id") % 2 == batch), folder, batch=batch, compact=batch == 1)
+    return spark.read.parquet(folder)
+
+
 @query("supported_documents", "SELECT page_id, url FROM pages WHERE regexp_matches(lower(url), '\\.(html|htm|pdf|docx|doc|odt|rtf|xlsx|xls)$')")
 def _(spark, sf):
     return supported_documents(table(spark, sf, "pages"), "url").select("page_id", "url")

@@ -12,7 +12,7 @@ from webcapture.operators.search import grep_lines
 from webcapture.plans.capture import capture_pages
 from webcapture.sources.readers import read_responses
 from webcapture.sources.writers import render_capture, render_parsed, write_exports
-from webcapture.streaming.files import checkpoint_location, stream_table, write_available
+from webcapture.streaming.files import checkpoint_location, stream_table, write_available, write_exports_available
 
 FIELDS = "title string, description string, url string, language string, creditsUsed long, markdown string, outcome string, export_name string"
 
@@ -57,6 +57,53 @@ def test_export_table(spark, tmp_path):
     assert {r.export_name for r in spark.read.parquet(path).collect()} == {f"p{i}.md" for i in range(0, 10, 2)}
 
 
+def test_export_batches(spark, tmp_path):
+    path = str(tmp_path / "batches")
+
+    def rows(low, high, text="m", outcome="ok"):
+        return spark.range(low, high, numPartitions=4).select(
+            F.concat(F.lit("p"), F.col("id")).alias("export_name"), F.lit(text).alias("export_text"), F.lit(outcome).alias("outcome")
+        )
+
+    def found():
+        return sorted((r.export_name, r.export_text, str(r.batch)) for r in spark.read.parquet(path).collect())
+
+    first = [(f"p{i}", "m", "a") for i in range(8)]
+    write_exports(rows(0, 8), path, batch="a")
+    write_exports(rows(0, 8), path, batch="a", compact=True)
+    assert found() == first
+    # A job that fails after some of its tasks have written leaves the table as it was; run again, it is there once.
+    failing = F.when(F.col("export_name") == "p15", F.raise_error(F.lit("lost"))).otherwise(F.col("export_text"))
+    with pytest.raises(Exception, match="lost"):
+        write_exports(rows(8, 16).withColumn("export_text", failing), path, batch="b")
+    assert found() == first
+    write_exports(rows(8, 16), path, batch="b")
+    write_exports(rows(8, 16).union(rows(16, 20, outcome="error")), path, batch="b")
+    assert found() == sorted(first + [(f"p{i}", "m", "b") for i in range(8, 16)])
+    # Of a batch whose rows have all failed by now nothing stays; the other is untouched.
+    write_exports(rows(8, 16, outcome="error"), path, batch="b")
+    assert found() == first
+    with pytest.raises(ValueError):
+        write_exports(rows(0, 1), path, batch="../c")
+
+
+def test_export_stream_batches(spark, tmp_path):
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), tmp_path / "cp"
+    fields = "export_name string, export_text string, outcome string"
+    spark.createDataFrame([(f"p{i}", "m", "ok" if i % 2 else "error") for i in range(12)], fields).repartition(3).write.parquet(str(source))
+
+    def drain():
+        write_exports_available(stream_table(spark, str(source), fields, files_per_trigger=1), out, f"exports-{uuid.uuid4().hex}", str(checkpoint)).awaitTermination()
+
+    drain()
+    # As if the driver was lost after the last micro-batch had written and before it was noted as done.
+    last = max((checkpoint / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    drain()
+    assert sorted(r.export_name for r in spark.read.parquet(out).collect()) == sorted(f"p{i}" for i in range(1, 12, 2))
+
+
 PAGES = "page_id long, url string, html string"
 
 

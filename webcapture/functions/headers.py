@@ -8,25 +8,34 @@ from pyspark.sql import functions as F
 from webcapture.functions.text import _col, bind, strip
 from webcapture.functions.variant import _path, is_object, parse_body, string_only
 
+# The characters of a header name, and the methods that begin a request line.
 _TOKEN = r"\A[A-Za-z0-9!#$%&'*+\-.^_`|~]+\z"
 _START = r"\A(?:HTTP/|(?:CONNECT|DELETE|GET|HEAD|OPTIONS|PATCH|POST|PUT|TRACE) )"
 
 
+def _last_wins(entries: Column) -> Column:
+    """Array of (name, at, value) to a map. Of entries with one name, the one with the largest place counts."""
+
+    def kept(rows):
+        last = F.filter(rows, lambda row, i: (i == F.size(rows) - 1) | (F.get(rows, i + 1)["name"] != row["name"]))
+        return F.map_from_entries(F.transform(last, lambda row: F.struct(row["name"], row["value"])))
+
+    return bind(F.sort_array(entries), kept)
+
+
 def merge_headers(base, override) -> Column:
-    """Right side wins per key; keys are case-sensitive."""
+    """Right side wins per key; keys are case-sensitive. Entries are sorted, so the time is that of a sort."""
     empty = F.create_map().cast("map<string,string>")
 
     def merged(both):
-        right = F.coalesce(both["right"], empty)
-        left = F.map_filter(F.coalesce(both["left"], empty), lambda k, _: ~F.map_contains_key(right, k))
-        return F.when(both["left"].isNotNull() | both["right"].isNotNull(), F.map_concat(left, right))
-
-    return bind(F.struct(_col(base).alias("left"), _col(override).alias("right")), merged)
+        def entries(side, at):
+            pairs = F.map_entries(F.coalesce(both[side], empty))
+            return F.transform(pairs, lambda e: F.struct(e["key"].alias("name"), F.lit(at).alias("at"), e["value"].alias("value")))
 
+        given = both["left"].isNotNull() | both["right"].isNotNull()
+        return F.when(given, _last_wins(F.concat(entries("left", 0), entries("right", 1))))
 
-def _put(m: Column, name: Column, value: Column) -> Column:
-    kept = F.map_filter(m, lambda k, _: k != name)
-    return F.map_concat(kept, F.map_from_arrays(F.array(name), F.array(value)))
+    return bind(F.struct(_col(base).alias("left"), _col(override).alias("right")), merged)
 
 
 def _line(line: Column) -> Column:
@@ -49,38 +58,79 @@ def _line(line: Column) -> Column:
     )
 
 
+def _runs(rows: Column, begins, of) -> Column:
+    """``of`` applied to each stretch of ``rows`` that begins where ``begins(row, place)`` holds."""
+
+    def cut(places):
+        def run(begin, k):
+            return bind(F.slice(rows, begin + 1, F.coalesce(F.get(places, k + 1), F.size(rows)) - begin), lambda r: of(r, k))
+
+        return F.transform(places, run)
+
+    return bind(F.array_compact(F.transform(rows, lambda row, i: F.when(begins(row, i), i))), cut)
+
+
+def _header(lines: Column, at: Column) -> Column:
+    """The one header of a line and the indented lines after it.
+
+    All lines after the first that can be a header continue it. Its text is what it adds to the value of its
+    name: ``, `` and its own value unless that is empty, then each continuation after a blank.
+    """
+
+    def found(both):
+        run, first = both["run"], both["first"]
+        head = F.get(run, first - 1)
+        before = F.slice(run, 1, F.when(first == 0, F.size(run)).otherwise(first - 1))
+        tail = F.transform(F.slice(run, first + 1, F.size(run)), lambda x: F.concat(F.lit(" "), x["bare"]))
+        own = F.when(head["value"] == "", "").otherwise(F.concat(F.lit(", "), head["value"]))
+        return F.struct(
+            head["name"].alias("name"),
+            at.alias("at"),
+            F.concat(own, F.array_join(tail, "")).alias("value"),
+            F.exists(before, lambda x: x["kind"] == "bad").alias("bad"),
+        )
+
+    first = F.array_position(F.transform(lines, lambda x: x["kind"]), "header").cast("int")
+    return bind(F.struct(lines.alias("run"), first.alias("first")), found)
+
+
+def _joined(headers: Column) -> Column:
+    """Headers sorted by name and place to a map: what they add is put together, without the first separator."""
+
+    def value(run, _):
+        text = F.array_join(F.transform(run, lambda x: x["value"]), "")
+        bare = bind(text, lambda t: F.when(t.startswith(", "), F.substring(t, 3, F.length(t))).otherwise(F.substring(t, 2, F.length(t))))
+        return F.struct(F.get(run, 0)["name"].alias("name"), bare.alias("value"))
+
+    def grouped(rows):
+        return F.map_from_entries(_runs(rows, lambda row, i: (i == 0) | (F.get(rows, i - 1)["name"] != row["name"]), value))
+
+    return bind(F.sort_array(headers), grouped)
+
+
 def parse_header_block(c) -> Column:
     """HTTP header text to a map; null when any line is bad or no header is left.
 
-    Start lines and ``:pseudo`` lines are skipped, continuation lines folded, repeats joined.
+    Start lines and ``:pseudo`` lines are skipped, continuation lines folded, repeats joined. Lines are cut into
+    runs of one header each, runs sorted by name: a block of n lines takes the time of sorting them.
     """
     text = strip(c)
-    lines = F.transform(F.split(text, r"\r*\n"), _line)
-
-    def state(m, last, bad=False):
-        return F.struct(m.alias("m"), last.alias("last"), F.lit(bad).alias("bad"))
-
-    def step(acc, line):
-        m, last, value = acc["m"], acc["last"], line["value"]
-        # A line that continues a header takes the name of that header.
-        name = F.when(line["indented"] & (last != ""), last).otherwise(line["name"])
-        old = F.coalesce(F.element_at(m, name), F.lit(""))
-        joined = F.when(old == "", value).when(value == "", old).otherwise(F.concat(old, F.lit(", "), value))
-        folded = strip(F.concat(old, F.lit(" "), line["bare"]))
-        return (
-            F.when(acc["bad"] | (line["kind"] == "blank"), acc)
-            .when(line["indented"] & (last != ""), state(_put(m, name, folded), last))
-            .when(line["kind"] == "start", acc)
-            .when(line["kind"] == "pseudo", state(m, F.lit("")))
-            .when(line["kind"] == "header", state(_put(m, name, joined), name))
-            .otherwise(state(m, last, True))
-        )
 
-    start = state(F.create_map().cast("map<string,string>"), F.lit(""))
-    folded = F.aggregate(
-        lines, start, step, lambda a: F.when(~a["bad"] & (F.cardinality(a["m"]) > 0), a["m"])
-    )
-    return F.when(text != "", folded)
+    def parsed(lines):
+        def blocks(rows):
+            return _runs(rows, lambda row, i: (i == 0) | ~row["indented"], _header)
+
+        def checked(headers):
+            named = F.filter(headers, lambda h: h["name"].isNotNull())
+            good = ~F.exists(headers, lambda h: h["bad"])
+            return F.when(good & F.exists(headers, lambda h: h["name"].isNotNull()), _joined(named))
+
+        # Blank lines and start lines change nothing, unless a start line is indented and continues a header.
+        telling = F.filter(lines, lambda x: (x["kind"] != "blank") & (x["indented"] | (x["kind"] != "start")))
+        bad = F.exists(lines, lambda x: ~x["indented"] & (x["kind"] == "bad"))
+        return F.when(~bad, bind(bind(telling, blocks), checked))
+
+    return F.when(text != "", bind(F.transform(F.split(text, r"\r*\n"), _line), parsed))
 
 
 # Members that mark an array of cookies rather than of headers.
@@ -96,14 +146,11 @@ def _records(items: Column) -> Column:
         good = F.forall(
             pairs, lambda p: F.coalesce(p["name"].rlike(_TOKEN) & p["value"].isNotNull(), F.lit(False))
         )
-        later = F.aggregate(
-            pairs, F.create_map().cast("map<string,string>"), lambda m, p: _put(m, p["name"], p["value"])
-        )
-        return F.when((F.size(pairs) > 0) & good, later)
+        return F.when((F.size(pairs) > 0) & good, _last_wins(pairs))
 
-    def pair(x):
+    def pair(x, i):
         return F.struct(
-            strip(string_only(x, "name")).alias("name"), string_only(x, "value").alias("value")
+            strip(string_only(x, "name")).alias("name"), i.alias("at"), string_only(x, "value").alias("value")
         )
 
     return bind(F.transform(items, pair), merged)

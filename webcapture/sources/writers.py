@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -52,16 +52,40 @@ def _files(folder: str) -> Callable:
     return write
 
 
-def write_exports(df: DataFrame, path: str, layout: str = "table", mode: str = "append") -> None:
+def _write_batch(good: DataFrame, path: str, batch: int | str, compact: bool) -> None:
+    name = str(batch)
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", name):
+        raise ValueError(f"batch {name!r} is no word of letters, digits, - and _")
+    written = Observation()
+    if compact:
+        good = good.hint("rebalance")
+    rows = good.observe(written, F.count(F.lit(1)).alias("rows")).withColumn("batch", F.lit(name))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+    if not written.get["rows"]:
+        # Nothing was written, so nothing was replaced: an earlier run of the batch may have left rows.
+        good.write.mode("overwrite").parquet(f"{path}/batch={name}")
+
+
+def write_exports(
+    df: DataFrame, path: str, layout: str = "table", mode: str = "append", batch: int | str | None = None, compact: bool = False
+) -> None:
     """Write ``export_name`` and ``export_text`` of the rows whose ``outcome`` is ok.
 
-    ``table`` appends parquet, the form that scales. ``files`` writes one file per export name under
-    ``path``, whole or not at all, and replaces only those of successful rows: files of failed rows are
-    neither created nor touched. Of rows with one name, the text that sorts last is written. The executors
-    write the files themselves, so ``path`` must be a folder that they share. Use it for small selections.
+    ``table`` appends parquet, the form that scales. With ``batch``, the rows become the partition of that name in
+    the column ``batch``, written aside and put in its place when the job ends: a batch that is written twice, or
+    was killed half way and is run again, leaves each of its rows once and no other batch changed; ``mode`` does not
+    matter then. ``compact`` deals the rows of a batch anew to files of
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, for which its texts are shuffled once.
+
+    ``files`` writes one file per export name under ``path``, whole or not at all, and replaces only those of
+    successful rows: files of failed rows are neither created nor touched. Of rows with one name, the text that sorts
+    last is written. The executors write the files themselves, so ``path`` must be a folder that they share. Use it
+    for small selections.
     """
     good = df.filter(F.col("outcome") == "ok").select("export_name", "export_text")
-    if layout == "table":
+    if layout == "table" and batch is not None:
+        _write_batch(good, path, batch, compact)
+    elif layout == "table":
         good.write.mode(mode).parquet(path)
     elif layout == "files":
         one = good.groupBy("export_name").agg(F.max("export_text").alias("export_text"))

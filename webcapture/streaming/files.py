@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from webcapture.sources.writers import write_exports
+
 
 def stream_table(
     spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1000
@@ -33,3 +35,13 @@ def write_available(
     location = checkpoint or checkpoint_location(df.sparkSession, name)
     writer = df.writeStream.queryName(name).option("checkpointLocation", location)
     return writer.format(fmt).outputMode("append").trigger(availableNow=True).start(path)
+
+
+def write_exports_available(df: DataFrame, path: str, name: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Exports of all files that are there, as ``write_exports`` with a batch per micro-batch.
+
+    A micro-batch that runs again after a loss keeps its number, so it replaces what it wrote before.
+    """
+    location = checkpoint or checkpoint_location(df.sparkSession, name)
+    writer = df.writeStream.queryName(name).option("checkpointLocation", location)
+    return writer.foreachBatch(lambda rows, number: write_exports(rows, path, batch=number)).trigger(availableNow=True).start()
