@@ -60,6 +60,18 @@ def test_rewriting_templates_are_found(spark):
     assert whole == streamed and not any(r.rewrites for r in whole)
 
 
+def test_declared_templates_are_tried_on_whole_prefixes(spark):
+    """A template that rewrites two turns back and declares one is found out in the first turns."""
+
+    def drop_older(messages):
+        return "".join(f"[{m['text'] if i >= len(messages) - 2 else '-'}]" for i, m in enumerate(messages))
+
+    turns = spark.createDataFrame([(1, i, "user", f"t{i}") for i in range(9)], "conv_id long, turn long, role string, text string")
+    got = sorted(chat_format.format_chats(turns, chat_format.Template(drop_older, lookback=1)).collect(), key=lambda r: r.seq)
+    assert [r.rewrites for r in got] == [False, False, True, True, True, True, False, False, False]
+    assert chat_format.TURNS.lookback >= 1 and not any(r.rewrites for r in chat_format.format_chats(turns).collect())
+
+
 # WARC
 
 

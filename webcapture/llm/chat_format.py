@@ -33,12 +33,15 @@ _PROBES = [chr(c) for c in range(0xE000, 0xF8FF)]
 class Template:
     """``render`` maps messages to text; ``lookback`` is how many earlier messages a turn's output depends on.
 
-    With ``lookback`` None every prefix is rendered whole. Otherwise a prefix is rendered from ``lookback``
-    messages before its last on, which bounds time and memory for conversations of any length.
+    With ``lookback`` None every prefix is rendered whole. Otherwise the first ``trial`` prefixes of a conversation
+    are, and later ones from ``lookback`` messages before their last on, which bounds time and memory for
+    conversations of any length. A declaration gives up this much: a turn beyond ``trial`` that changes output of
+    more than ``lookback`` turns before it is not seen to do so. With a ``lookback`` of 0 nothing is compared there.
     """
 
     render: Callable[[list[Message]], str]
     lookback: int | None = None
+    trial: int = 6
 
 
 def escape(text: str) -> str:
@@ -63,7 +66,7 @@ def render_turns(messages: list[Message]) -> str:
     return "".join(f"{START}{_escape_role(m['role'])}\n{escape(m['text'])}{END}\n" for m in messages)
 
 
-TURNS = Template(render_turns, lookback=0)
+TURNS = Template(render_turns, lookback=1)
 
 
 def read_turns(formatted: str) -> Iterator[tuple[str, str, int, int]]:
@@ -84,11 +87,17 @@ class _State:
     messages: list[Message]
     before: str = ""
     length: int = 0
+    seen: int = 0
 
 
 def _added(template: Template, state: _State, message: Message) -> tuple[str, bool]:
-    """What the next message adds to the output, and whether the output before it was changed."""
-    if template.lookback is not None:
+    """What the next message adds to the output, and whether the output before it was changed.
+
+    Leaves in ``state.length`` where the addition begins in the output of the whole conversation.
+    """
+    whole = template.lookback is None or state.seen < template.trial
+    state.seen += 1
+    if not whole:
         state.messages = state.messages[len(state.messages) - template.lookback :] if template.lookback else []
         state.before = template.render(state.messages) if state.messages else ""
     state.messages.append(message)
@@ -96,6 +105,8 @@ def _added(template: Template, state: _State, message: Message) -> tuple[str, bo
     kept = state.before.startswith(before)
     if not kept:
         before = os.path.commonprefix([before, state.before])
+    if whole:
+        state.length = len(before)
     return state.before[len(before) :], not kept
 
 
@@ -127,8 +138,7 @@ def _formatted(template: Template, learn: str) -> Callable:
                     conv, state, seq = own, _State([]), 0
                 message = {"role": role or "", "text": text or ""}
                 added, rewrites = _added(template, state, message)
-                start = len(state.before) - len(added) if template.lookback is None else state.length
-                state.length = start + len(added)
+                start, state.length = state.length, state.length + len(added)
                 span = _text_span(template, state) if message["role"] == learn else None
                 shift = state.length - len(state.before)
                 loss = (span[0] + shift, span[1] + shift) if span else (None, None)
