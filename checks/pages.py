@@ -105,6 +105,11 @@ def _(spark, sf):
     return capture_pages(table(spark, sf, "pages"))
 
 
+@query("capture_pages_balanced", ORACLES["capture_pages"])
+def _(spark, sf):
+    return capture_pages(table(spark, sf, "pages"), partitions=2 * spark.sparkContext.defaultParallelism, balance=True)
+
+
 _RARE = ['li:has(a[href="/de"])']
 _FALLBACK = f"""SELECT page_id, NOT contains(html, 'href="/de"') AS used_fallback,
     CASE WHEN contains(html, 'href="/de"') THEN array_to_string(list_transform(regexp_extract_all(html, 'href="/de"'), lambda x: '- [de](/de)'), chr(10) || chr(10)) ELSE {_EVERYTHING} END AS markdown FROM pages"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcapture.functions.text import strip_base64_images, text_window
+from webcapture.operators.balance import balanced_by_bytes
 from webcapture.operators.pages import metadata, page_events, render_with_fallback, with_fallback
 from webcapture.operators.requests import limit_per_request
 from webcapture.operators.responses import av_records, classify, parse_records, scholar_results, scrape_records, search_results, split_outcomes
@@ -20,18 +21,24 @@ def capture_pages(
     partitions: int | None = None,
     max_chars: int | None = None,
     start: int = 0,
+    balance: bool = False,
 ) -> DataFrame:
     """Pages ``(page_id, url, html)`` to captures with ``export_text``.
 
     A page whose Markdown comes out as exactly ``""`` is rendered again from all its events, without
     any selector; ``used_fallback`` marks it. The events of a page hold both answers, so there is no
     second read and no join, and the job also runs on a stream. There is no shuffle either, unless
-    ``partitions`` asks for one: give it when few large row groups would leave cores idle. ``max_chars`` and
-    ``start`` keep a window of the Markdown. A page without HTML (null) has the outcome ``empty``, no Markdown
+    ``partitions`` asks for one: give it when few large row groups would leave cores idle. With
+    ``balance`` the pages are dealt to them by bytes, after a first pass over the lengths: for tables where few pages
+    hold most of the bytes. ``max_chars`` and ``start`` keep a window of the Markdown. A page without HTML (null) has the outcome ``empty``, no Markdown
     and no success; ``write_exports`` passes it over.
     """
     pages = df.select("page_id", "url", "html")
-    if partitions is not None:
+    if balance:
+        if partitions is None:
+            raise ValueError("balance needs a number of partitions")
+        pages = balanced_by_bytes(pages, "html", ["page_id", "url"], partitions)
+    elif partitions is not None:
         pages = pages.repartition(partitions)
     pages = pages.withColumn("_found", F.col("html").isNotNull())
     events = page_events(pages, exclude, include, empty_tags).drop("html")
