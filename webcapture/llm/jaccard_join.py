@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from webcapture.llm.common import LOWER, Hasher, by_bytes, mix, saved, utf8, word_places
+from webcapture.llm.common import LOWER, BitFilter, Hasher, by_bytes, mix, saved, utf8, word_places
 from webcapture.llm.components import components, groups
 
 WORD = np.ones(256, bool)
@@ -175,30 +175,11 @@ def _posted(k: int, limit: Threshold, boundary: int, bits: int, sketch) -> Calla
     return post
 
 
-def _bits(values: np.ndarray) -> np.ndarray:
-    """Places in the filter of wanted texts, a row per value."""
-    seeds = np.array([0x632BE59BD9B4E019, 0xE220A8397B1DCDAF, 0x9E6C63D0676A9A99], np.uint64)
-    return (mix(values.view(np.uint64)[:, None] + seeds) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-def _marked(batches):
-    """The filter's bytes that a task's values set, whole, as one row."""
-    marks, some = np.zeros(1 << FILTER_BITS, bool), False
-    for batch in batches:
-        marks[_bits(batch.column("th").to_numpy())] = True
-        some = True
-    if some:
-        packed = np.packbits(marks)
-        where = np.flatnonzero(packed)
-        yield pa.record_batch([pa.array(where), pa.array(packed[where].astype(np.int32))], names=["place", "bits"])
-
-
 def _sets(k: int, wanted) -> Callable:
     def whole(batches):
-        packed, seen = wanted.value, set()
+        wants, seen = BitFilter(FILTER_BITS, wanted.value), set()
         for batch in by_bytes(batches, "text"):
-            place = _bits(batch.column("th").to_numpy())
-            hit = ((packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).all(axis=1)
+            hit = wants.lets(batch.column("th").to_numpy())
             keep = [i for i in np.flatnonzero(hit).tolist() if not ((th := batch.column("th")[i].as_py()) in seen or seen.add(th))]
             if keep:
                 found = list(shingle_sets(batch.take(pa.array(keep)), "text", k))
@@ -236,19 +217,21 @@ class _Corpus:
     def sets(self, classes: DataFrame) -> DataFrame:
         """The whole sets of some classes, from the texts that a filter of fixed size lets through."""
         spark = self.docs.sparkSession
-        texts = self.rows.join(classes, "cls", "left_semi").select("th").distinct()
-        marks = texts.mapInArrow(_marked, "place long, bits int").groupBy("place").agg(F.bit_or("bits").alias("bits"))
-        packed = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-        for place, bits in marks.toLocalIterator():
-            packed[place] = bits
-        wanted = spark.sparkContext.broadcast(packed)
-        return saved(self.docs.mapInArrow(_sets(self.k, wanted), "cls long, n int, elements binary").join(classes, "cls", "left_semi"), "sets")
+        wanted = spark.sparkContext.broadcast(BitFilter.of(self.rows.join(classes, "cls", "left_semi").select("th"), FILTER_BITS).packed)
+        sets = saved(self.docs.mapInArrow(_sets(self.k, wanted), "cls long, n int, elements binary").join(classes, "cls", "left_semi"), "sets")
+        wanted.destroy()
+        return sets
 
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are links: by slot counts first; what these leave open, by the sets themselves."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        """The pairs that are links: by slot counts first; what these leave open, by the sets themselves.
+
+        The pairs are written before each of the two, so that what finds them is planned and run once.
+        """
+        pairs = saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         for column in ("slots", "elements"):
-            classes = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+            if pairs.isEmpty():
+                break
+            classes = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
             if column == "slots":
                 known = self.rows.join(classes, "cls", "left_semi").groupBy("cls").agg(F.min("n").alias("n"), F.min("slots").alias("slots"))
             else:
@@ -354,7 +337,7 @@ def _boundary(sizes: dict[int, int], limit: Threshold, scan_cost: float) -> int:
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100, sketch_bits: int = 20, scan_cost: float = 4.0
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100, sketch_bits: int = 20, scan_cost: float = 4.0, hashes: bool = False
 ) -> DataFrame:
     """A row per document: its id, ``n_shingles``, and ``component_id``, the smallest id that links reach from it.
 
@@ -363,7 +346,9 @@ def jaccard_components(
     when ``den * overlap >= num * union``. A null or blank text has an empty set, links with nothing and is
     its own component. Repeated rows are returned as often as given. Ids are 64-bit integers; a row with a
     null id links like any other and takes the smallest id of its component, null if that has none. Other
-    columns are ignored. An empty table gives an empty result.
+    columns are ignored. An empty table gives an empty result. With ``hashes`` each row also has ``text_hash``
+    and that of the text that stands for its component, the smallest of those under ``component_id``: where ids
+    repeat, the two tell which row that is.
 
     Documents of one set are one class throughout. ``sketch_bits`` sets the size of the table of shingle
     counts that orders shingles from rare to frequent (4 bytes each, whatever the input): any order gives the
@@ -393,6 +378,7 @@ def jaccard_components(
     ends = Window.partitionBy("kind", "h").orderBy("n", "cls").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     low, high = F.first(F.struct("n", "cls")).over(ends), F.last(F.struct("n", "cls")).over(ends)
     posts = saved(posts.filter(met).select("kind", "h", "cls", "n").withColumn("low", low).withColumn("high", high), "posts")
+    sketch.destroy()
 
     corpus = _Corpus(docs, rows, k, limit)
     to_low = posts.select("kind", F.col("cls").alias("a"), F.col("low.cls").alias("b"), "n", F.col("low.n").alias("m")).filter("a != b")
@@ -406,13 +392,17 @@ def jaccard_components(
     for closest, label in ((True, groups), (False, components)):
         labels = label(found).withColumnRenamed("node", "cls")
         pairs = _across(rest, labels, rows).mapInArrow(_met(limit, closest), "a long, b long")
-        found = found.union(corpus.linked(pairs))
-    labels = components(found)
-
-    classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("row").alias("low"))
-    classes = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    lowest = classes.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_class = classes.join(lowest, "component").select("cls", "component_id")
+        new = corpus.linked(pairs)
+        found = found.union(new)
+    # Without a new link in the second round its labels are those of the end.
+    labels = labels if new.isEmpty() else components(found).withColumnRenamed("node", "cls")
+
+    own = F.struct("row", "th")
+    classes = rows.filter("cls is not null").groupBy("cls").agg(F.min(F.when(F.col("row").isNotNull(), own)).alias("low"))
+    classes = classes.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    lowest = classes.groupBy("component").agg(F.min("low").alias("lowest"))
+    of_class = classes.join(lowest, "component").select("cls", "lowest")
     result = rows.join(of_class, "cls", "left")
-    whole = F.when(F.col("cls").isNull(), F.col("row")).otherwise(F.col("component_id"))
-    return result.select(F.col("row").alias(id_col), F.col("n").cast("long").alias("n_shingles"), whole.alias("component_id"))
+    whole = F.when(F.col("cls").isNull(), own).otherwise(F.col("lowest"))
+    columns = [F.col("row").alias(id_col), F.col("n").cast("long").alias("n_shingles"), whole["row"].alias("component_id")]
+    return result.select(*columns, *([F.col("th").alias("text_hash"), whole["th"].alias("component_hash")] if hashes else []))
