@@ -38,15 +38,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8, the one with the smallest id stays.
 
-    Rows without an id stay, as no other can be told to stand for them; of repeated rows one stays.
+    Rows without an id stay, as no other can be told to stand for them. Of rows with the same id and text one
+    stays; rows with one id but different texts are different documents, of which a linked group keeps the one
+    whose text has the smallest hash. Rows without words stay.
     """
     _prepare(spark)
-    found = jaccard_components(docs, k=5, num=80, den=100)
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if not repeated.isEmpty():
+    found = saved(jaccard_components(docs, k=5, num=80, den=100, hashes=True), "components")
+    # Only where some row stands twice: without one there is nothing to drop.
+    if not found.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
         docs = docs.dropDuplicates(["doc_id", "text"])
-    dropped = found.filter("doc_id is not null and doc_id != component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    stands = (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("component_hash"))
+    dropped = found.filter(F.col("doc_id").isNotNull() & ~stands).select("doc_id", "text_hash").distinct()
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+    return docs.join(dropped, ["doc_id", "text_hash"], "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
