@@ -91,3 +91,16 @@ def test_empty_documents(spark, tmp_path):
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         assert docs.count() == 0
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """One id with several texts: each text is judged by itself; equal rows leave one, null ids included."""
+    base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
+    near, other = base + " nineteen", "quite another text that has nothing to do with any of the rest of them here"
+    texts = [(1, base), (2, base), (2, other), (3, near), (4, other + " x y"), (5, "alone in the whole table with words of its own to tell"), (5, near), (None, base), (None, base), (7, None), (7, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, base), (2, other), (5, texts[5][1]), (7, None), (8, ""), (None, base)], key=str)
+    twins = docs.filter("doc_id = 5").union(spark.createDataFrame([(5, base, "en", "s", 0)], docs.schema))
+    left = [r.text for r in corpus_pipeline.near_duplicates(spark, twins, "").collect()]
+    assert len(left) == 2 and texts[5][1] in left and len({near, base} & set(left)) == 1
