@@ -97,7 +97,7 @@ def _(spark, sf):
 
 @query(
     "capture_pages",
-    f"""SELECT page_id, url, title, CAST(NULL AS VARCHAR) AS description, language, markdown, false AS used_fallback, CAST(NULL AS BIGINT) AS "creditsUsed", true AS success, 'ok' AS outcome, CAST(NULL AS VARCHAR) AS message,
+    f"""SELECT page_id, url, title, CAST(NULL AS VARCHAR) AS description, language, markdown, false AS used_fallback, CAST(NULL AS DOUBLE) AS "creditsUsed", true AS success, 'ok' AS outcome, CAST(NULL AS VARCHAR) AS message,
         concat('## title: ', title, chr(10), '## description: ', chr(10), '## url: ', url, chr(10), '## language: ', language, chr(10), '## creditsUsed: ', chr(10), chr(10),
         '---', chr(10), chr(10), markdown, chr(10)) AS export_text FROM (SELECT page_id, url, {_TITLE} AS title, {_LANG} AS language, {_CLEANED} AS markdown FROM pages)""",
 )

@@ -170,13 +170,14 @@ def _scrape_responses(spark, sf):
     )
     meta = F.concat(
         lit('{"title":'), title, lit(',"language":null,"proxyUsed":"basic"'), keys,
-        F.when(m < 3, F.concat(lit(',"creditsUsed":'), F.col("page_id"))).otherwise(lit("")), lit("}"),
+        F.when(m < 3, F.concat(lit(',"creditsUsed":'), F.col("page_id"), F.when(m == 1, lit(".5")).otherwise(lit("")))).otherwise(lit("")), lit("}"),
     )
     raw = F.concat(lit('{"success":true,"creditsUsed":1,"data":{"metadata":'), meta, markdown, lit("}}"))
     named = pages.select(F.col("page_id").cast("string").alias("response_id"), F.concat(lit("asked:"), F.col("url")).alias("target_url"), raw.alias("raw"))
     return parse_responses(named)
 
 
+_SCRAPE_CREDITS = "CAST(CASE page_id % 5 WHEN 0 THEN page_id WHEN 1 THEN page_id + 0.5 WHEN 2 THEN page_id END AS DOUBLE)"
 _SCRAPE_URL = "CASE WHEN page_id % 5 < 3 THEN url ELSE concat('asked:', url) END"
 _SCRAPE_MD = "CASE page_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE concat(title, chr(10), 'end%zz') END"
 
@@ -184,7 +185,7 @@ _SCRAPE_MD = "CASE page_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN NULL
 @query(
     "scrape_records",
     f"""SELECT response_id, true AS success, 'basic' AS "proxyUsed", title, CAST(NULL AS VARCHAR) AS description, {_SCRAPE_URL} AS url,
-        CAST(NULL AS VARCHAR) AS language, {_SCRAPE_MD} AS markdown, CASE WHEN page_id % 5 < 3 THEN page_id END AS "creditsUsed" FROM {_PAGES}""",
+        CAST(NULL AS VARCHAR) AS language, {_SCRAPE_MD} AS markdown, {_SCRAPE_CREDITS} AS "creditsUsed" FROM {_PAGES}""",
 )
 def _(spark, sf):
     return scrape_records(_scrape_responses(spark, sf))
@@ -202,14 +203,14 @@ def _(spark, sf):
 @query(
     "parse_records",
     f"""SELECT response_id, title, {_SCRAPE_URL} AS url, CAST(NULL AS VARCHAR) AS language,
-        CASE WHEN page_id % 5 < 3 THEN page_id ELSE 1 END AS "creditsUsed", {_SCRAPE_MD} AS markdown FROM {_PAGES}""",
+        coalesce({_SCRAPE_CREDITS}, 1) AS "creditsUsed", {_SCRAPE_MD} AS markdown FROM {_PAGES}""",
 )
 def _(spark, sf):
     return parse_records(_scrape_responses(spark, sf))
 
 
 @query("flatten_scrapes", f"""SELECT response_id, concat('## title: ', title, chr(10), '## description: ', chr(10), '## url: ', {_SCRAPE_URL}, chr(10), '## language: ', chr(10),
-    '## creditsUsed: ', CASE WHEN page_id % 5 < 3 THEN CAST(page_id AS VARCHAR) ELSE '' END, chr(10), chr(10), '---', chr(10), chr(10), coalesce({_SCRAPE_MD}, ''), chr(10)) AS export_text FROM {_PAGES}""")
+    '## creditsUsed: ', CASE page_id % 5 WHEN 1 THEN concat(page_id, '.5') WHEN 0 THEN CAST(page_id AS VARCHAR) WHEN 2 THEN CAST(page_id AS VARCHAR) ELSE '' END, chr(10), chr(10), '---', chr(10), chr(10), coalesce({_SCRAPE_MD}, ''), chr(10)) AS export_text FROM {_PAGES}""")
 def _(spark, sf):
     return flatten_scrapes(_scrape_responses(spark, sf))[0].select("response_id", "export_text")
 
@@ -243,8 +244,8 @@ def _(spark, sf):
 
 @query(
     "credits_used",
-    f"""SELECT response_id, CAST(1 AS BIGINT) AS root, CASE WHEN page_id % 5 < 3 THEN page_id END AS meta,
-        CASE WHEN page_id % 5 < 3 THEN page_id ELSE 1 END AS either FROM {_PAGES}""",
+    f"""SELECT response_id, CAST(1 AS DOUBLE) AS root, {_SCRAPE_CREDITS} AS meta,
+        coalesce({_SCRAPE_CREDITS}, 1) AS either FROM {_PAGES}""",
 )
 def _(spark, sf):
     return _scrape_responses(spark, sf).select(
@@ -256,7 +257,7 @@ def _(spark, sf):
 
 
 def _av_sql(kind, rest):
-    return f"""SELECT CAST(doc_id AS VARCHAR) AS response_id, CAST(n_chars AS BIGINT) AS "creditsUsed", source AS title, lang AS description,
+    return f"""SELECT CAST(doc_id AS VARCHAR) AS response_id, CAST(n_chars AS DOUBLE) AS "creditsUsed", source AS title, lang AS description,
         CASE WHEN doc_id % 2 = {rest} THEN concat('https://media.example/', doc_id) END AS {kind}, true AS success FROM documents"""
 
 
@@ -283,7 +284,7 @@ def _(spark, sf):
 
 @query(
     "credit_snapshots",
-    """SELECT CAST(c_custkey AS VARCHAR) AS response_id, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey END AS "remainingCredits", CAST(c_nationkey AS BIGINT) AS "planCredits",
+    """SELECT CAST(c_custkey AS VARCHAR) AS response_id, CAST(CASE WHEN c_custkey % 4 <> 0 THEN c_custkey END AS DOUBLE) AS "remainingCredits", CAST(c_nationkey AS DOUBLE) + 0.25 AS "planCredits",
        TIMESTAMP '2025-01-01 00:00:00' + to_days(CAST(c_nationkey AS INTEGER)) AS "billingPeriodStart", CAST(NULL AS TIMESTAMP) AS "billingPeriodEnd" FROM customer""",
 )
 def _(spark, sf):
@@ -291,7 +292,7 @@ def _(spark, sf):
     start = F.date_format(F.date_add(lit("2025-01-01").cast("date"), F.col("c_nationkey")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     remaining = F.when(F.col("c_custkey") % 4 == 0, lit('"many"')).otherwise(F.col("c_custkey").cast("string"))
     raw = F.concat(
-        lit('{"success":true,"data":{"remainingCredits":'), remaining, lit(',"planCredits":'), F.col("c_nationkey"),
+        lit('{"success":true,"data":{"remainingCredits":'), remaining, lit(',"planCredits":'), F.col("c_nationkey"), lit(".25"),
         lit(',"billingPeriodStart":"'), start, lit('","billingPeriodEnd":"soon"}}'),
     )
     named = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("response_id"), raw.alias("raw"))

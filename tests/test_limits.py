@@ -35,6 +35,20 @@ def test_top_papers_over_groups(spark):
     assert [(-r.score, r.paperId) for r in top_papers(df, 9).collect()] == want
 
 
+def test_top_papers_of_a_hot_key(spark):
+    """Most rows under one key, ties and nulls: the same k, cut in groups of the key before they meet."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("q"),
+        F.col("id").cast("string").alias("paperId"), F.when(F.col("id") % 11 > 0, (F.col("id") % 37).cast("double")).alias("score"),
+    )
+    df = df.unionByName(df.filter("paperId < '2'"))
+    rows = sorted(map(tuple, df.collect()), key=lambda r: (r[2] is None, -(r[2] or 0), r[1]))
+    want = sorted(x for q in {r[0] for r in rows} for x in [r for r in rows if r[0] == q][:8])
+    best = top_papers(df, 8, "q")
+    assert sorted(map(tuple, best.collect())) == want and best.columns == df.columns
+    assert best._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 3
+
+
 def test_equal_names_are_split(spark):
     df = spark.createDataFrame([("France",)] * 50 + [(None,)] * 50, "name string")
     index = spark.createDataFrame([("france", "FR")], "key string, code string")

@@ -19,6 +19,7 @@ from webcapture.operators.responses import (
 )
 from webcapture.plans.capture import flatten_scrapes, flatten_search
 from webcapture.sources.readers import parse_responses, read_responses
+from webcapture.sources.writers import render_capture
 
 
 @pytest.fixture(scope="module")
@@ -104,6 +105,18 @@ def test_parse_and_av_credits(responses):
         av_records(responses(body), "film")
 
 
+@pytest.mark.parametrize("given,value,text", [
+    ("1.5", 1.5, "1.5"), ("3", 3, "3"), ("2.0", 2, "2"), ("0", 0, "0"), ("-0.25", -0.25, "-0.25"), ("4503599627370497", 4503599627370497, "4503599627370497"),
+    ("null", None, ""), ('"many"', None, ""), ('"NaN"', None, ""), ("[1]", None, ""),
+])
+def test_credits_as_given(responses, given, value, text):
+    raw = '{"success":true,"data":{"markdown":"m","remainingCredits":%s,"metadata":{"creditsUsed":%s}}}' % (given, given)
+    df = responses(raw)
+    assert scrape_records(df).first().creditsUsed == parse_records(df).first().creditsUsed == av_records(df, "audio").first().creditsUsed == value
+    assert credit_snapshots(df).first().remainingCredits == value
+    assert f"## creditsUsed: {text}\n" in render_capture(scrape_records(df)).first().export_text
+
+
 def test_credit_snapshot(responses):
     body = {"success": True, "data": {"remainingCredits": 1000, "planCredits": 500000, "billingPeriodStart": "2025-01-01T00:00:00Z", "billingPeriodEnd": "x"}}
     row = credit_snapshots(responses(body, "{}")).orderBy("response_id").first()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -134,10 +136,23 @@ def resolved_url(v, target=None) -> Column:
     return F.coalesce(*found, _col(target) if target is not None else F.lit(None).cast("string"))
 
 
+def number(v, *keys: str) -> Column:
+    """The number at the path as it is given, fractions included; null where there is none."""
+    value = pick(v, *keys, as_type="double")
+    return F.when(F.abs(value) <= sys.float_info.max, value)
+
+
+def number_text(c) -> Column:
+    """A number as JSON writes it: whole ones without a fraction, up to the size that a double holds exactly."""
+    c = _col(c)
+    whole = (c == F.floor(c)) & (F.abs(c) <= 2**53)
+    return F.when(whole, c.cast("long").cast("string")).otherwise(c.cast("string"))
+
+
 def credits_used(v, scope: str) -> Column:
     """Credits by record kind: search reads the root, scrape the metadata, parse and av both."""
-    root = pick(v, "creditsUsed", as_type="long")
-    meta = pick(v, "data", "metadata", "creditsUsed", as_type="long")
+    root = number(v, "creditsUsed")
+    meta = number(v, "data", "metadata", "creditsUsed")
     if scope == "search":
         return root
     if scope == "scrape":

@@ -193,16 +193,17 @@ def top_papers(
 ) -> DataFrame:
     """The k best by score, then id; per ``partition`` when one is given.
 
-    Both forms keep at most k rows per map task (and key) before any shuffle. Without ``partition`` the
-    rows of all tasks are first cut to k in each of ``_BUCKETS`` groups, so that no task sees k of every task.
+    Both forms keep at most k rows per map task (and key) before any shuffle. The rows of all tasks are then
+    first cut to k in each of ``_BUCKETS`` groups (of each key), so that no task sees k of every task, even
+    where one key holds most rows.
     """
     if not 1 <= k <= MAX_RESULTS["scholar"]:
         raise ValueError("k must be from 1 to 500")
     order = [F.col(score).desc_nulls_last(), F.col(tie).asc()]
+    bucket = F.pmod(F.xxhash64(tie), F.lit(_BUCKETS))
+    rank = F.row_number().over(Window.partitionBy(*([partition] if partition else []), "_bucket").orderBy(*order))
+    df = df.withColumn("_bucket", bucket).withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_bucket", "_rank")
     if partition is None:
-        bucket = F.pmod(F.xxhash64(tie), F.lit(_BUCKETS))
-        rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-        best = df.withColumn("_bucket", bucket).withColumn("_rank", rank).filter(F.col("_rank") <= k)
-        return best.drop("_bucket", "_rank").orderBy(*order).limit(k)
+        return df.orderBy(*order).limit(k)
     rank = F.row_number().over(Window.partitionBy(partition).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")

@@ -13,6 +13,7 @@ from webcapture.functions.variant import (
     is_large,
     is_object,
     large_markdown,
+    number,
     pick,
     resolved_url,
     string_only,
@@ -171,13 +172,13 @@ def av_records(df: DataFrame, kind: str) -> DataFrame:
 
 
 def credit_snapshots(df: DataFrame) -> DataFrame:
-    def field(name, as_type):
-        return pick("v", "data", name, as_type=as_type).alias(name)
+    def field(name):
+        return number("v", "data", name).alias(name)
 
     return df.select(
         "response_id",
-        field("remainingCredits", "long"),
-        field("planCredits", "long"),
+        field("remainingCredits"),
+        field("planCredits"),
         F.try_to_timestamp(pick("v", "data", "billingPeriodStart")).alias("billingPeriodStart"),
         F.try_to_timestamp(pick("v", "data", "billingPeriodEnd")).alias("billingPeriodEnd"),
     )

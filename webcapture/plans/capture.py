@@ -58,7 +58,7 @@ def capture_pages(
         "_meta.language",
         F.when(found, strip_base64_images(text_window("_text.markdown", max_chars, start))).alias("markdown"),
         (found & F.col("_text.used_fallback")).alias("used_fallback"),
-        F.lit(None).cast("long").alias("creditsUsed"),
+        F.lit(None).cast("double").alias("creditsUsed"),
         found.alias("success"),
         F.when(found, "ok").otherwise("empty").alias("outcome"),
         F.when(~found, "page has no HTML").alias("message"),

@@ -10,24 +10,28 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from webcapture.functions.variant import number_text
 
-def _render(fields, tail: str) -> Column:
+
+def _render(df: DataFrame, fields, tail: str) -> Column:
     lines = []
     for name in fields:
-        lines += [F.lit(f"## {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("")), F.lit("\n")]
+        value = number_text(name) if isinstance(df.schema[name].dataType, T.FractionalType) else F.col(name).cast("string")
+        lines += [F.lit(f"## {name}: "), F.coalesce(value, F.lit("")), F.lit("\n")]
     return F.concat(*lines, F.lit(tail), F.coalesce(F.col("markdown"), F.lit("")), F.lit("\n"))
 
 
 def render_capture(df: DataFrame) -> DataFrame:
     """Add ``export_text``: metadata lines, a rule, the Markdown."""
     fields = ("title", "description", "url", "language", "creditsUsed")
-    return df.withColumn("export_text", _render(fields, "\n---\n\n"))
+    return df.withColumn("export_text", _render(df, fields, "\n---\n\n"))
 
 
 def render_parsed(df: DataFrame) -> DataFrame:
     """As ``render_capture`` for parsed documents: no description, no rule."""
-    return df.withColumn("export_text", _render(("title", "url", "language", "creditsUsed"), "\n"))
+    return df.withColumn("export_text", _render(df, ("title", "url", "language", "creditsUsed"), "\n"))
 
 
 def _files(folder: str) -> Callable:
