@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from webcapture.functions.batches import pieces
 from webcapture.functions.text import WS, _col, strip
 
 
-@F.pandas_udf(StringType())
-def _nfkd(s: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def _nfkd(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     # Spark has no Unicode normalisation; ASCII text is already in normal form.
-    return s.map(
-        lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKD", x),
-        na_action="ignore",
-    )
+    for texts in pieces(batches):
+        found = (x if x is None or x.isascii() else unicodedata.normalize("NFKD", x) for x in texts.to_pylist())
+        yield pa.array(found, texts.type)
 
 
 def nfkd(c) -> Column:
