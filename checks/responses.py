@@ -467,5 +467,6 @@ def _(spark, sf):
     name = export_path(F.concat(F.lit("doc"), F.col("doc_id")), "exports")
     folder = new_path(spark, "exports")
     write_exports(render_capture(_records(spark, sf)).withColumn("export_name", name), folder, layout="files")
-    files = spark.read.text(f"{folder}/exports", wholetext=True).withColumn("path", F.input_file_name())
-    return files.select(F.concat(F.lit("exports/"), F.substring_index("path", "/", -1)).alias("export_name"), F.col("value").alias("export_text"))
+    # As binary files: the reader of whole texts sets up a Hadoop job for each of them.
+    files = spark.read.format("binaryFile").load(f"{folder}/exports")
+    return files.select(F.concat(F.lit("exports/"), F.substring_index("path", "/", -1)).alias("export_name"), F.col("content").cast("string").alias("export_text"))

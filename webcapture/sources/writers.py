@@ -37,12 +37,15 @@ def render_parsed(df: DataFrame) -> DataFrame:
 def _files(folder: str) -> Callable:
     def write(batches):
         where, root = fs.FileSystem.from_uri(re.sub("^file:/+", "/", folder))
+        made = None
         for batch in batches:
             for name, text in zip(*(batch.column(n).to_pylist() for n in ("export_name", "export_text")), strict=True):
                 if ".." in name.split("/"):
                     raise ValueError(f"export name leaves the folder: {name}")
                 target = f"{root}/{name.lstrip('/')}"
-                where.create_dir(target.rpartition("/")[0], recursive=True)
+                if (parent := target.rpartition("/")[0]) != made:
+                    where.create_dir(parent, recursive=True)
+                    made = parent
                 part = f"{target}.{uuid.uuid4().hex}.part"
                 with where.open_output_stream(part, compression=None) as out:
                     out.write(text.encode())
