@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from webcapture.functions.batches import pieces
 from webcapture.llm.common import LOWER, Hasher, by_bytes, saved, utf8, word_places
 
 #: Digits, letters and everything beyond ASCII; upper case has been lowered before.
@@ -30,11 +31,15 @@ _SHARD = pa.schema(
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in a row, and how many precede each text."""
-    data, offsets = utf8(texts)
-    data = LOWER[data]
-    starts, ends, first = word_places(data, offsets, WORD)
-    return Hasher(data)(starts, ends), first
+    """Hashes of all words in a row, and how many precede each text. Texts are hashed piece by piece."""
+    words, first = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for piece in pieces([texts]):
+        data, offsets = utf8(piece)
+        data = LOWER[data]
+        starts, ends, own = word_places(data, offsets, WORD)
+        words.append(Hasher(data)(starts, ends))
+        first.append(own[1:] + first[-1][-1])
+    return np.concatenate(words), np.concatenate(first)
 
 
 def _posted(batches):
