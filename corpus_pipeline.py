@@ -23,9 +23,13 @@ PASSAGE, GRAM, WORDS = 250, 96, 51
 
 
 def _prepare(spark: SparkSession) -> None:
-    """Sends the code to the executors and bounds what a batch of whole texts takes there."""
+    """Sends the code to the executors, bounds what a batch of whole texts takes there, and lets shuffles go with their job.
+
+    Every job of a stage ends in a table that is read back, so no later one reads its shuffles again.
+    """
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

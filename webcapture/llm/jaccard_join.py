@@ -235,7 +235,7 @@ class _Corpus:
             if column == "slots":
                 known = self.rows.join(classes, "cls", "left_semi").groupBy("cls").agg(F.min("n").alias("n"), F.min("slots").alias("slots"))
             else:
-                known = self.sets(classes)
+                known = self.sets(saved(classes, "classes"))  # asked for twice
             one = known.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col(column).alias(f"{column}_a"))
             other = known.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col(column).alias(f"{column}_b"))
             compared = pairs.join(one, "a").join(other, "b").mapInArrow(_compared(self.limit, column, column == "elements"), "a long, b long")
